@@ -66,7 +66,7 @@ def compare(spark, con, folder: str, name: str, fn, sql: str) -> list[str]:
     problems = []
     types = {d[0]: str(d[1]) for d in cur.description}
     for c, ty in df.dtypes:
-        w = TYPE_OF.get(ty, ty)
+        w = TYPE_OF.get(ty, ty.upper())
         if types[c] != w and not (w.startswith("TIMESTAMP") and types[c].startswith("TIMESTAMP")):
             problems.append(f"type of {c}: spark {ty}, sql {types[c]}")
     if len(got) != len(want):

@@ -66,6 +66,10 @@ def _inside(by: list[str], order: list) -> Window:
     return Window.partitionBy(*by, CHUNK).orderBy(*order)
 
 
+def _position(order: list[str]) -> Column:
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def _across(by: list[str]) -> Window:
     # one row per (group, chunk): at most side² rows for any group
     return Window.partitionBy(*by).orderBy(CHUNK)
@@ -76,18 +80,18 @@ def _join_summary(df: DataFrame, summary: DataFrame, by: list[str]) -> DataFrame
 
 
 def lead_value(
-    df: DataFrame, by: list[str], order: str, value: str, out: str, side: int = DEFAULT_SIDE
+    df: DataFrame, by: list[str], order: list[str], value: str, out: str, side: int = DEFAULT_SIDE
 ) -> DataFrame:
     """``out`` = ``value`` of the next row of the group; null on its last row.
 
     (by, order) must be unique.
     """
-    d = with_chunk(df, order, side)
-    firsts = d.groupBy(*by, CHUNK).agg(F.min_by(value, order).alias(_TMP + "first"))
+    d = with_chunk(df, order[0], side)
+    firsts = d.groupBy(*by, CHUNK).agg(F.min_by(value, _position(order)).alias(_TMP + "first"))
     carry = firsts.select(
         *by, CHUNK, F.lead(_TMP + "first").over(_across(by)).alias(_TMP + "carry")
     )
-    w = _inside(by, [order])
+    w = _inside(by, order)
     d = d.select(
         "*",
         F.lead(value).over(w).alias(_TMP + "v"),
@@ -102,15 +106,15 @@ def lead_value(
 
 
 def lag_value(
-    df: DataFrame, by: list[str], order: str, value: str, out: str, side: int = DEFAULT_SIDE
+    df: DataFrame, by: list[str], order: list[str], value: str, out: str, side: int = DEFAULT_SIDE
 ) -> DataFrame:
     """``out`` = ``value`` of the previous row of the group; null on its first row."""
-    d = with_chunk(df, order, side)
-    lasts = d.groupBy(*by, CHUNK).agg(F.max_by(value, order).alias(_TMP + "last"))
+    d = with_chunk(df, order[0], side)
+    lasts = d.groupBy(*by, CHUNK).agg(F.max_by(value, _position(order)).alias(_TMP + "last"))
     carry = lasts.select(
         *by, CHUNK, F.lag(_TMP + "last").over(_across(by)).alias(_TMP + "carry")
     )
-    w = _inside(by, [order])
+    w = _inside(by, order)
     d = d.select(
         "*",
         F.lag(value).over(w).alias(_TMP + "v"),
@@ -139,7 +143,7 @@ def fill_value(
     """
     d = with_chunk(df, order[0], side)
     filled = d.filter(F.col(value).isNotNull())
-    position = F.struct(*order)
+    position = _position(order)
     summary = filled.groupBy(*by, CHUNK).agg(
         F.max_by(value, position).alias(_TMP + "end"),
         F.min_by(value, position).alias(_TMP + "start"),
