@@ -12,7 +12,7 @@ from tidemark.session import prepare
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
 _MODULES = [
-    "cursor", "change", "partition", "coerce", "shape",
+    "cursor", "change", "partition", "coerce", "shape", "select", "family", "reports",
 
 ]
 
