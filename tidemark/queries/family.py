@@ -34,29 +34,29 @@ def h02(t):
 
 
 def _nested(t):
-    """Customers with a nested list of orders, each with its status kept in the child."""
-    kids = t.orders.groupBy("o_custkey").agg(
-        F.collect_list(F.struct("o_orderkey", F.col("o_orderstatus").alias("status"), "o_totalprice")).alias("kids")
-    )
-    return t.customer.select("c_custkey", "c_mktsegment", F.lit("parent").alias("status")).join(
-        kids, F.col("c_custkey") == F.col("o_custkey"), "left"
-    ).drop("o_custkey")
+    """Lines as documents with a list of what they refer to; each child has its own key."""
+    child = lambda n, c: F.struct(F.lit(n).alias("kind"), F.col(c).alias("ref"))
+    kids = F.when(F.col("l_returnflag") == "N", F.array(child("part", "l_partkey"))).when(
+        F.col("l_returnflag") == "R", F.array(child("part", "l_partkey"), child("supplier", "l_suppkey"))
+    ).otherwise(F.slice(F.array(child("part", "l_partkey")), 1, 0))
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", F.lit("line").alias("kind"), kids.alias("kids"))
 
 
 @query(
     "h03_explode_children",
-    "select c_custkey, c_mktsegment, o_orderkey, o_orderstatus as status, o_totalprice from customer join orders on o_custkey = c_custkey",
+    """select l_orderkey, l_linenumber, l_quantity, 'part' as kind, l_partkey as ref from lineitem where l_returnflag in ('N', 'R')
+       union all select l_orderkey, l_linenumber, l_quantity, 'supplier', l_suppkey from lineitem where l_returnflag = 'R'""",
 )
 def h03(t):
-    return fm.explode_children(_nested(t), "kids", ["c_custkey", "c_mktsegment"])
+    return fm.explode_children(_nested(t), "kids", ["l_orderkey", "l_linenumber", "l_quantity"])
 
 
 @query(
     "h04_explode_filtered_children",
-    "select c_custkey, c_mktsegment, o_orderkey, o_orderstatus as status, o_totalprice from customer join orders on o_custkey = c_custkey where o_orderstatus = 'F'",
+    "select l_orderkey, l_linenumber, 'supplier' as kind, l_suppkey as ref from lineitem where l_returnflag = 'R'",
 )
 def h04(t):
-    return fm.explode_filtered_children(_nested(t), "kids", ["c_custkey", "c_mktsegment", "status"], lambda x: x["status"] == "F")
+    return fm.explode_filtered_children(_nested(t), "kids", ["l_orderkey", "l_linenumber", "kind"], lambda x: x["kind"] == "supplier")
 
 
 @query(
@@ -98,11 +98,12 @@ def h07(t):
        join customer on c_nationkey = n_nationkey join orders on o_custkey = c_custkey""",
 )
 def h08(t):
-    # one document per customer, as an expanded read returns it
-    orders = t.orders.groupBy("o_custkey").agg(F.collect_list(F.struct("o_orderkey", "o_totalprice")).alias("orders"))
-    cust = t.customer.join(orders, F.col("c_custkey") == F.col("o_custkey"))
-    doc = cust.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "n_nationkey", F.array(F.struct("c_custkey", "orders")).alias("customers")
+    # documents as an expanded read returns them: nation -> customers -> orders
+    orders = F.array(F.struct("o_orderkey", "o_totalprice")).alias("orders")
+    doc = (
+        t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey"))
+        .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select("n_nationkey", F.array(F.struct("c_custkey", orders)).alias("customers"))
     )
     return fm.flatten_expand(doc, [("customers", ["n_nationkey"]), ("orders", ["c_custkey"])])
 

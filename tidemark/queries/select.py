@@ -39,12 +39,12 @@ def g02(t):
 
 @query(
     "g03_sort_nulls",
-    """select o_orderkey, bal from (select o_orderkey, case when o_orderstatus <> 'F' then o_totalprice end as bal from orders)
-       order by bal desc nulls first, o_orderkey limit 6000""",
+    """select o_orderkey, case when o_orderstatus <> 'F' then o_totalprice end as bal from orders
+       order by bal desc nulls first, o_orderkey""",
 )
 def g03(t):
     df = t.orders.select("o_orderkey", F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice")).alias("bal"))
-    return sl.sort_nulls(df, "bal", "desc", ["o_orderkey"]).limit(6000)
+    return sl.sort_nulls(df, "bal", "desc", ["o_orderkey"])
 
 
 @query("g04_page_offset", "select o_orderkey, o_orderdate from orders order by o_orderdate, o_orderkey limit 100 offset 250")
