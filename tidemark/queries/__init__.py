@@ -12,8 +12,8 @@ from tidemark.session import prepare
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
 _MODULES = [
-    "cursor", "change", "partition", "coerce", "shape", "select", "family", "timeseries",
-    "quality", "reports",
+    "scans", "cursor", "change", "partition", "coerce", "shape", "select", "family", "timeseries",
+    "quality", "ingest", "reports",
 ]
 
 

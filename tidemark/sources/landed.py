@@ -1,0 +1,176 @@
+"""A registered data source over landed parquet with a cursor: ``format("tidemark_landed")``.
+
+The driver reads file footers only. They give the newest cursor (the latest offset) and the
+row groups that can hold rows of a range; each task then reads its own row groups. Options:
+``path`` (a folder or file), ``cursor`` (column), ``rowGroupsPerPartition``. For tables with
+very many files use the native file stream in ``files`` instead: it needs no footers.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import glob
+import os
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+
+
+class RowGroups(InputPartition):
+    """Some row groups of one file, and the cursor range to keep."""
+
+    def __init__(self, path: str, groups: list[int], since: str | None, until: str | None):
+        self.path, self.groups, self.since, self.until = path, groups, since, until
+
+
+def _files(path: str) -> list[str]:
+    if os.path.isfile(path):
+        return [path]
+    found = glob.glob(os.path.join(path, "**", "*.parquet"), recursive=True)
+    return sorted(f for f in found if not os.path.basename(f).startswith(("_", ".")))
+
+
+def _text(v) -> str | None:
+    return v.isoformat() if isinstance(v, (dt.datetime, dt.date)) else (None if v is None else str(v))
+
+
+def _value(text: str | None, kind):
+    import pyarrow as pa
+
+    if text is None:
+        return None
+    if pa.types.is_timestamp(kind):
+        return dt.datetime.fromisoformat(text)
+    if pa.types.is_date(kind):
+        return dt.date.fromisoformat(text)
+    if pa.types.is_integer(kind):
+        return int(text)
+    return float(text) if pa.types.is_floating(kind) else text
+
+
+class _Plan:
+    """Footer statistics of the cursor: (file, row group, min, max)."""
+
+    def __init__(self, options: dict):
+        self.path, self.cursor = options["path"], options["cursor"]
+        self.per_part = int(options.get("rowgroupsperpartition", options.get("rowGroupsPerPartition", 8)))
+
+    def footers(self) -> list[tuple]:
+        import pyarrow.parquet as pq
+
+        def one(path: str) -> list[tuple]:
+            md = pq.ParquetFile(path).metadata
+            at = md.schema.to_arrow_schema().names.index(self.cursor)
+            out = []
+            for g in range(md.num_row_groups):
+                st = md.row_group(g).column(at).statistics
+                has = st is not None and st.has_min_max
+                out.append((path, g, st.min if has else None, st.max if has else None))
+            return out
+
+        with ThreadPoolExecutor(16) as pool:
+            return [x for part in pool.map(one, _files(self.path)) for x in part]
+
+    def newest(self) -> str | None:
+        stats = self.footers()
+        if any(hi is None for *_, hi in stats):
+            raise ValueError(f"the files carry no statistics for {self.cursor}")
+        return _text(max((hi for *_, hi in stats), default=None))
+
+    def kind(self):
+        import pyarrow.parquet as pq
+
+        return pq.read_schema(_files(self.path)[0]).field(self.cursor).type
+
+    def partitions(self, since: str | None, until: str | None) -> list[RowGroups]:
+        """Row groups that can hold rows with ``since < cursor <= until``, in file order."""
+        if since == until and since is not None:
+            return []
+        kind = self.kind() if _files(self.path) else None
+        lo, hi = _value(since, kind), _value(until, kind)
+        by_file: dict[str, list[int]] = {}
+        for path, g, a, b in self.footers():
+            outside = (lo is not None and b is not None and b <= lo) or (hi is not None and a is not None and a > hi)
+            if not outside:
+                by_file.setdefault(path, []).append(g)
+        n = self.per_part
+        return [RowGroups(p, gs[i : i + n], since, until) for p, gs in by_file.items() for i in range(0, len(gs), n)]
+
+
+def _read(part: RowGroups, cursor: str):
+    import pyarrow.compute as pc
+    import pyarrow.parquet as pq
+
+    f = pq.ParquetFile(part.path)
+    kind = f.schema_arrow.field(cursor).type
+    lo, hi = _value(part.since, kind), _value(part.until, kind)
+    for batch in f.iter_batches(row_groups=part.groups):
+        keep = None
+        if lo is not None:
+            keep = pc.greater(batch[cursor], lo)
+        if hi is not None:
+            upper = pc.less_equal(batch[cursor], hi)
+            keep = upper if keep is None else pc.and_(keep, upper)
+        yield batch if keep is None else batch.filter(keep)
+
+
+class _Batch(DataSourceReader):
+    def __init__(self, options: dict):
+        self.plan = _Plan(options)
+
+    def partitions(self):
+        return self.plan.partitions(None, None)
+
+    def read(self, partition):
+        yield from _read(partition, self.plan.cursor)
+
+
+class _Stream(DataSourceStreamReader):
+    def __init__(self, options: dict):
+        self.plan = _Plan(options)
+        self.last = None
+
+    def initialOffset(self) -> dict:
+        return {"cursor": None}
+
+    def latestOffset(self) -> dict:
+        newest = self.plan.newest()
+        # the offset never moves backwards
+        if self.last is not None and newest is not None and newest < self.last:
+            newest = self.last
+        self.last = newest
+        return {"cursor": newest}
+
+    def partitions(self, start: dict, end: dict):
+        return self.plan.partitions(start["cursor"], end["cursor"])
+
+    def read(self, partition):
+        yield from _read(partition, self.plan.cursor)
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
+class LandedCursorSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "tidemark_landed"
+
+    def schema(self):
+        import pyarrow.parquet as pq
+        from pyspark.sql.pandas.types import from_arrow_schema
+
+        files = _files(self.options["path"])
+        if not files:
+            raise ValueError(f"no parquet files below {self.options['path']}")
+        return from_arrow_schema(pq.read_schema(files[0]).remove_metadata(), prefer_timestamp_ntz=True)
+
+    def reader(self, schema):
+        return _Batch(dict(self.options))
+
+    def streamReader(self, schema):
+        return _Stream(dict(self.options))
+
+
+def register(spark) -> None:
+    spark.dataSource.register(LandedCursorSource)
