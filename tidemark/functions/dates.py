@@ -9,7 +9,8 @@ from tidemark.functions.coerce import to_timestamp
 
 MS_DATE = r"^/Date\((-?\d+)([+-]\d{4})?\)/"
 RELATIVE = r"^\*-(\d+)([mhd])$"
-HL7_DTM = r"^(\d{4})(\d{2})?(\d{2})?(\d{2})?(\d{2})?(\d{2})?(?:\.\d+)?([+-]\d{4})?$"
+HL7_DTM = r"^(\d{4}(?:\d{2}){0,5})(?:\.\d+)?([+-]\d{4})?$"
+HL7_FILL = "00000101000000"  # month and day 1, time 0 where the precision is partial
 
 
 def ms_date_to_iso(text: Column) -> Column:
@@ -49,17 +50,6 @@ def relative_time(text: Column, now: Column) -> Column:
 def hl7_dtm(text: Column) -> Column:
     """HL7 date-time text (4 to 14 digits, fraction dropped, offset applied) as ISO text in UTC."""
     t = F.regexp_replace(F.trim(text), r"^[()]+|[()]+$", "")
-
-    def part(i: int, default: int) -> Column:
-        return F.coalesce(F.nullif(F.regexp_extract(t, HL7_DTM, i), F.lit("")).cast("int"), F.lit(default))
-
-    at = F.try_make_timestamp(part(1, 0), part(2, 1), part(3, 1), part(4, 0), part(5, 0), part(6, 0).cast("decimal(8,6)"), F.lit("UTC"))
-    off = F.regexp_extract(t, HL7_DTM, 7)
-    minutes = F.when(
-        off != "",
-        (F.substring(off, 2, 2).cast("int") * 60 + F.substring(off, 4, 2).cast("int"))
-        * F.when(off.startswith("-"), -1).otherwise(1),
-    ).otherwise(0)
-    utc = at - F.make_interval(mins=minutes)
-    valid = t.rlike(HL7_DTM) & (part(6, 0) < 60)
-    return F.when(valid, F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"))
+    digits, offset = F.regexp_extract(t, HL7_DTM, 1), F.regexp_extract(t, HL7_DTM, 2)
+    full = F.concat(digits, F.substring(F.lit(HL7_FILL), F.length(digits) + 1, F.lit(14)), F.when(offset == "", "Z").otherwise(offset))
+    return F.date_format(F.try_to_timestamp(full, F.lit("yyyyMMddHHmmssXX")), "yyyy-MM-dd'T'HH:mm:ss")
