@@ -1,9 +1,9 @@
 """HL7 v2 text to typed segment tables, set-based and with native expressions only.
 
 A file's text is split into messages, messages into segment rows, and a segment's layout
-(``hl7_layouts``) is compiled into two projections. Separators are per message; they are
-mapped to control characters first, so every split has a constant pattern and decoded
-escape sequences cannot be mistaken for separators.
+(``hl7_layouts``) is compiled into two projections. Separators are per message: a message
+with unusual ones is mapped to the usual ones first (and its texts back at the end), so every
+split has a constant pattern and ordinary messages pay nothing for it.
 """
 
 from __future__ import annotations
@@ -18,10 +18,14 @@ from tidemark.sources.hl7_layouts import COMPOSITES, SEGMENTS, SINGLE
 
 ENVELOPE = ["FHS", "BHS", "BTS", "FTS"]
 GENERIC_FIELDS = 25
-# The separators when MSH names none (field, component, repetition, escape, sub).
-DEFAULT_SEPARATORS = "|^~\\&"
-# What the separators are mapped to inside the job: field, component, repetition, sub.
-FS, CS, RS, SS = "\x1c", "\x1d", "\x1e", "\x1f"
+# The usual separators (field, component, repetition, sub-component, escape) and
+# the order in which MSH names the last four.
+USUAL = "|^~&\\"
+MSH_ORDER = "^~\\&"
+FS, CS, RS, SS = r"\|", r"\^", "~", "&"
+# Stand-ins inside the job: separators that came out of an escape sequence, and usual
+# separator characters that are ordinary text in a message with other separators.
+DECODED, ORDINARY = "\x1c\x1d\x1e\x1f", "\x01\x02\x03\x04\x05"
 
 
 def _translate(c, old: Column, new: Column) -> Column:
@@ -38,57 +42,70 @@ def decode_payload(text: Column) -> Column:
     return F.decode(F.unbase64(text), "UTF-8")
 
 
+def _message_lines(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """(keep..., __lines): one row per message with its non-blank lines, envelope lines dropped."""
+    cr = F.concat(F.lit("\r"), F.replace(F.replace(F.col(text), F.lit("\r\n"), F.lit("\r")), F.lit("\n"), F.lit("\r")))
+    parts = df.select(*keep, F.explode(F.split(F.regexp_replace(cr, "\r((?i)MSH)", "\x00$1"), "\x00")).alias("__part"))
+    lines = F.filter(
+        F.split("__part", "\r"), lambda x: (F.trim(x) != "") & ~F.upper(F.substring(x, 1, 3)).isin(ENVELOPE)
+    )
+    return parts.select(*keep, lines.alias("__lines")).filter(F.size("__lines") > 0)
+
+
 def split_messages(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """(keep..., message): a batch is cut before each MSH line, envelope lines are dropped.
 
     Lines before the first MSH form a fragment of their own.
     """
-    cr = F.concat(F.lit("\r"), F.regexp_replace(F.trim(text), "\r\n|\n", "\r"), F.lit("\r"))
-    solid = F.regexp_replace(cr, r"\r(?:\s*\r|(?i:" + "|".join(ENVELOPE) + r")[^\r]*(?=\r))*", "\r")
-    parts = F.split(solid, r"\r(?=(?i:MSH))")
-    clean = F.filter(F.transform(parts, lambda x: F.regexp_replace(x, "^\r+|\r+$", "")), lambda x: x != "")
-    return df.select(*keep, F.explode(clean).alias("message"))
+    return _message_lines(df, text, keep).select(*keep, F.array_join("__lines", "\r").alias("message"))
+
+
+def _prepared(lines: DataFrame, keep: list[str]) -> DataFrame:
+    """Messages with MSH: keep..., message columns, ``__lines`` with the usual separators,
+    ``__plain`` (nothing was mapped) and ``__own`` (the message's characters, to map back)."""
+    head = lines.select(*keep, "__lines", F.get("__lines", F.lit(0)).alias("__msh"))
+    m = F.col("__msh")
+    head = head.filter(F.upper(F.substring(m, 1, 3)).eqNullSafe("MSH") & (F.length(m) >= 4))
+    rest = F.when(F.length(m) >= 8, F.substring(m, 5, 4)).otherwise(F.lit(MSH_ORDER))
+    at = lambda i: F.substring(rest, i, 1)
+    own = F.concat(F.substring(m, 4, 1), at(1), at(2), at(4), at(3))
+    head = head.select(*keep, "__lines", own.alias("__own")).withColumn("__plain", F.col("__own") == USUAL)
+    odd = F.transform("__lines", lambda x: _translate(x, F.concat("__own", F.lit(USUAL)), F.lit(USUAL + ORDINARY)))
+    head = head.select(*keep, "__own", "__plain", F.when(F.col("__plain"), F.col("__lines")).otherwise(odd).alias("__lines"))
+    head = head.select("*", F.split(F.get("__lines", F.lit(0)), FS).alias("__m"))
+    part = lambda n: _blank(_back(F.get("__m", F.lit(n - 1)), "__plain"))  # noqa: E731 - MSH-n sits one lower here
+    return head.select(
+        *keep, part(10).alias("message_id"), part(7).alias("message_timestamp"), part(12).alias("hl7_version"), "__own", "__plain", "__lines"
+    )
 
 
-def _prepared(df: DataFrame, message: str, keep: list[str]) -> DataFrame:
-    """Messages with MSH: keep..., message columns, separators, ``__lines`` in control characters."""
-    m = F.col(message)
-    full = F.instr(F.concat(m, F.lit("\r")), "\r") > 8  # the MSH line reaches the five separators
+def _back(c: Column, as_is: str) -> Column:
+    """Text with the message's own characters again; unchanged where the flag ``as_is`` is set."""
+    own = F.col("__own")
+    mapped = _translate(c, F.lit(USUAL + DECODED + ORDINARY), F.concat(own, F.substring(own, 1, 4), F.lit(USUAL)))
+    return F.when(F.col(as_is), c).otherwise(mapped)
 
-    def sep(i: int) -> Column:
-        return F.when(full, F.substring(m, 4 + i, 1)).otherwise(F.lit(DEFAULT_SEPARATORS[i]))
 
-    base = df.filter(F.upper(F.substring(m, 1, 3)).eqNullSafe("MSH") & (F.length(m) >= 4)).select(
-        *keep, m.alias("__text"), F.substring(m, 4, 1).alias("__fs"), sep(1).alias("__cs"), sep(2).alias("__rs"), sep(3).alias("__esc"), sep(4).alias("__ss")
-    )
-    outer = F.concat("__fs", "__cs", "__rs", "__ss")
-    base = base.select("*", F.split(_translate("__text", outer, F.lit(FS + CS + RS + SS)), "\r").alias("__lines"), F.concat("__cs", "__rs", "__ss").alias("__back"))
-    msh = base.select("*", F.split(F.get("__lines", F.lit(0)), FS).alias("__m"))
-    at = lambda n: _blank(_back(F.get("__m", F.lit(n - 1))))  # noqa: E731 - MSH-n sits one lower here
-    return msh.select(
-        *keep, at(10).alias("message_id"), at(7).alias("message_timestamp"), at(12).alias("hl7_version"),
-        "__fs", "__cs", "__rs", "__ss", "__esc", "__back", "__lines",
-    )
+def _raw(c: Column) -> Column:
+    return _back(c, "__plain")
 
 
-def _back(c: Column) -> Column:
-    """Text with the message's own separators again."""
-    return _translate(c, F.lit(CS + RS + SS), F.col("__back"))
+def _dec(c: Column) -> Column:
+    return _back(c, "__asis")
 
 
 def _unescaped(line: Column) -> Column:
     """Escape sequences decoded: separators, highlighting dropped, the escape itself last."""
-    e = F.col("__esc")
     out = line
-    for letter, value in (
-        ("F", F.col("__fs")), ("S", F.col("__cs")), ("T", F.col("__ss")), ("R", F.col("__rs")), ("H", F.lit("")), ("N", F.lit("")), ("E", e),
-    ):
-        out = F.replace(out, F.concat(e, F.lit(letter), e), value)
-    return F.when(F.contains(line, e), out).otherwise(line)
+    for letter, value in zip("FSRT", DECODED):
+        out = F.replace(out, F.lit(f"\\{letter}\\"), F.lit(value))
+    for seq, value in (("\\H\\", ""), ("\\N\\", ""), ("\\E\\", "\\")):
+        out = F.replace(out, F.lit(seq), F.lit(value))
+    return out
 
 
 def _segment_name(line: Column) -> Column:
-    return F.upper(F.trim(F.substring_index(line, FS, 1)))
+    return F.upper(F.trim(F.substring_index(line, "|", 1)))
 
 
 def _with_fields(rows: DataFrame) -> DataFrame:
@@ -97,11 +114,22 @@ def _with_fields(rows: DataFrame) -> DataFrame:
     def cut(line: Column) -> Column:
         parts = F.split(line, FS)
         rest = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
-        return F.when(F.col("segment") == "MSH", F.concat(F.array(F.lit("MSH"), F.col("__fs")), rest)).otherwise(parts)
+        return F.when(F.col("segment") == "MSH", F.concat(F.array(F.lit("MSH"), F.lit("|")), rest)).otherwise(parts)
 
     line = F.col("__line")
-    raw = _translate(line, F.lit(FS + CS + RS + SS), F.concat(F.col("__fs"), F.col("__back")))
-    return rows.select("*", raw.alias("raw_segment"), cut(line).alias("fields"), cut(_unescaped(line)).alias("decoded")).drop("__line")
+    rows = rows.select("*", F.contains(line, F.lit("\\")).alias("__esc"), _raw(line).alias("raw_segment"), cut(line).alias("fields"))
+    decoded = F.when(F.col("__esc"), cut(_unescaped(line))).otherwise(F.col("fields"))
+    asis = F.col("__plain") & ~F.col("__esc")
+    return rows.select("*", decoded.alias("decoded"), asis.alias("__asis")).drop("__line", "__esc")
+
+
+def _segments(lines: DataFrame, keep: list[str], only: str | None) -> DataFrame:
+    base = _prepared(lines, keep)
+    wanted = F.filter("__lines", lambda x: _segment_name(x) == only) if only else F.col("__lines")
+    head = [c for c in base.columns if c != "__lines"]
+    rows = base.select(*head, F.posexplode(wanted).alias("__pos", "__line"))
+    named = rows.select(*head, (F.col("__pos") + 1).alias("ordinal"), _segment_name(F.col("__line")).alias("segment"), "__line")
+    return _with_fields(named.filter(F.col("segment") != ""))
 
 
 def segments(df: DataFrame, message: str, keep: list[str], only: str | None = None) -> DataFrame:
@@ -110,12 +138,7 @@ def segments(df: DataFrame, message: str, keep: list[str], only: str | None = No
     The ordinal counts from 1 among the segments of the message, or, with ``only``, among
     those of that name. Messages without an MSH line are dropped.
     """
-    base = _prepared(df, message, keep)
-    lines = F.filter("__lines", lambda x: _segment_name(x) == only) if only else F.col("__lines")
-    head = [c for c in base.columns if c != "__lines"]
-    rows = base.select(*head, F.posexplode(lines).alias("__pos", "__line"))
-    named = rows.select(*head, (F.col("__pos") + 1).alias("ordinal"), _segment_name(F.col("__line")).alias("segment"), "__line")
-    return _with_fields(named.filter(F.col("segment") != ""))
+    return _segments(df.select(*keep, F.split(message, "\r").alias("__lines")), keep, only)
 
 
 # --- access -----------------------------------------------------------------------------
@@ -123,7 +146,7 @@ def segments(df: DataFrame, message: str, keep: list[str], only: str | None = No
 
 def field(n: int) -> Column:
     """Raw field n of a segment row, empty is null."""
-    return _blank(_back(F.get("fields", F.lit(n))))
+    return _blank(_raw(F.get("fields", F.lit(n))))
 
 
 def repetitions(n: int) -> Column:
@@ -132,17 +155,17 @@ def repetitions(n: int) -> Column:
 
 
 def first_repetition(n: int) -> Column:
-    return _blank(_back(F.substring_index(F.get("fields", F.lit(n)), RS, 1)))
+    return _blank(_raw(F.substring_index(F.get("fields", F.lit(n)), "~", 1)))
 
 
 def component(n: int, c: int) -> Column:
     """Component c of field n, decoded; out of range or empty is null."""
-    return _blank(_back(F.get(F.split(F.get("decoded", F.lit(n)), CS), F.lit(c - 1))))
+    return _blank(_dec(F.get(F.split(F.get("decoded", F.lit(n)), CS), F.lit(c - 1))))
 
 
 def sub_component(n: int, c: int, s: int) -> Column:
     comp = F.get(F.split(F.get("decoded", F.lit(n)), CS), F.lit(c - 1))
-    return _blank(_back(F.get(F.split(comp, SS), F.lit(s - 1))))
+    return _blank(_dec(F.get(F.split(comp, SS), F.lit(s - 1))))
 
 
 # --- compiling layouts ------------------------------------------------------------------
@@ -160,16 +183,16 @@ def parts_of(spec: str) -> list[tuple[str, int, int | None, bool, bool]]:
     return out
 
 
-def _members(spec: str, comps: Column) -> list[Column]:
+def _members(spec: str, comps: Column, back) -> list[Column]:
     """The parts of a composite from its component array."""
     cols = []
     for name, comp, sub, whole, dtm in parts_of(spec):
         raw = F.get(comps, F.lit(comp - 1))
         if sub is None:
-            value = _blank(_back(raw))
+            value = _blank(back(raw))
         else:
-            value = _blank(_back(F.get(F.split(raw, SS), F.lit(sub - 1))))
-            value = F.coalesce(value, _blank(_back(raw))) if whole else value
+            value = _blank(back(F.get(F.split(raw, SS), F.lit(sub - 1))))
+            value = F.coalesce(value, _blank(back(raw))) if whole else value
         cols.append((hl7_dtm(value) if dtm else value).alias(name))
     return cols
 
@@ -182,12 +205,12 @@ def _filled(cols: list[Column]) -> Column:
 EIP_SIDES = ["placer_assigned_identifier", "filler_assigned_identifier"]
 
 
-def _pair(comps: Column) -> list[Column]:
+def _pair(comps: Column, back) -> list[Column]:
     """Entity identifier pair: placer and filler, each made of sub-components."""
 
     def side(i: int) -> Column:
         subs = F.split(F.get(comps, F.lit(i)), SS)
-        return _filled([_blank(F.get(subs, F.lit(j))).alias(p[0]) for j, p in enumerate(parts_of(COMPOSITES["EI"]))])
+        return _filled([_blank(back(F.get(subs, F.lit(j)))).alias(p[0]) for j, p in enumerate(parts_of(COMPOSITES["EI"]))])
 
     return [side(i).alias(n) for i, n in enumerate(EIP_SIDES)]
 
@@ -196,9 +219,9 @@ def composite(comps: Column, kind: str) -> Column:
     """One composite as a struct, from its component array. A coded value or designator stays
     a struct of nulls when its text is only separators; the others become null."""
     if kind == "EIP":
-        sides = _pair(comps)
+        sides = _pair(comps, _dec)
         return F.when(sides[0].isNotNull() | sides[1].isNotNull(), F.struct(*sides))
-    cols = _members(COMPOSITES[kind], comps)
+    cols = _members(COMPOSITES[kind], comps, _dec)
     return F.when(comps.isNotNull(), F.struct(*cols)) if kind in ("CWE", "HD") else _filled(cols)
 
 
@@ -206,14 +229,14 @@ def repeated(n: int, kind: str) -> Column:
     """All non-empty repetitions of field n as an array; none is null."""
     reps = repetitions(n)
     if kind == "st":
-        out = F.transform(reps, _back)
+        out = F.transform(reps, _raw)
     elif kind == "id":
-        out = F.filter(F.transform(reps, lambda r: _back(F.substring_index(r, CS, 1))), lambda r: r != "")
+        out = F.filter(F.transform(reps, lambda r: _raw(F.substring_index(r, "^", 1))), lambda r: r != "")
     elif kind == "dtm":
-        out = F.filter(F.transform(reps, lambda r: hl7_dtm(_back(r))), lambda r: r.isNotNull())
+        out = F.filter(F.transform(reps, lambda r: hl7_dtm(_raw(r))), lambda r: r.isNotNull())
     else:
         comps = F.transform(reps, lambda r: F.split(r, CS))
-        make = _pair if kind == "EIP" else lambda c: _members(COMPOSITES[kind], c)
+        make = (lambda c: _pair(c, _raw)) if kind == "EIP" else (lambda c: _members(COMPOSITES[kind], c, _raw))
         out = F.transform(comps, lambda c: F.struct(*make(c)))
     return F.get(F.filter(F.array(out), lambda a: F.size(a) > 0), F.lit(0))
 
@@ -266,7 +289,7 @@ def _rows(df: DataFrame, text: str, segment: str, source_file: str, send_time: s
     body = decode_payload(F.col(text)) if base64 else F.col(text)
     raw = df.select(F.col(source_file).alias("source_file"), sent.alias("send_time"), made.alias("create_time"), body.alias("__text"))
     keep = ["source_file", "send_time", "create_time"]
-    return segments(split_messages(raw, "__text", keep), "message", keep, segment.upper())
+    return _segments(_message_lines(raw, "__text", keep), keep, segment.upper())
 
 
 def table(df: DataFrame, text: str, segment: str, source_file: str, send_time: str | None = None, create_time: str | None = None, base64: bool = False, columns: list[str] | None = None) -> DataFrame:
