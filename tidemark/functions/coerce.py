@@ -279,7 +279,7 @@ def _build(x: _Value, kind: T.DataType, path: str, json_path: str = "", fields:
     out = _loose(kind)
     none = F.lit(None).cast(out)
     if isinstance(kind, T.StructType):
-        good = x.shape.startswith("OBJECT") & (F.to_json(v) != "{}")
+        good = x.shape.startswith("OBJECT") & (x.shape != "OBJECT<>")
         members, errors = [], []
         for f in kind.fields:
             step = f'["{f.name}"]'
@@ -350,15 +350,30 @@ def coerce(df: DataFrame, body: str, schema: T.StructType, mode: str = "strict",
     whole = F.array(
         F.struct(F.lit("").alias("path"), raw_text.alias("value"), F.lit(schema.simpleString()).alias("type"))
     ).cast(ERROR_TYPE)
-    found = F.when(bad_text | ~_kind(v).startswith("OBJECT"), whole).otherwise(F.concat(*errors))
+    # a JSON object starts with a brace: cheaper than the kind of the whole record
+    is_object = F.ltrim("__raw").startswith("{") if is_text else _kind(v).startswith("OBJECT")
+    found = F.when(bad_text | ~is_object, whole).otherwise(F.concat(*errors))
     out = parsed.select(*keep, *cols, found.alias(ERRORS))
     if mode == "quarantine":
         return out
-    first = F.col(ERRORS)[0]
-    fail = F.raise_error(
-        F.concat(F.lit("cannot convert "), F.coalesce(first["value"], F.lit("null")), F.lit(" at "), first["path"], F.lit(" to "), first["type"])
-    ).cast("boolean")
-    return out.filter(F.when(F.size(ERRORS) > 0, fail).otherwise(True)).drop(ERRORS)
+    return _fail_on_error(out)
+
+
+def _fail_on_error(df: DataFrame) -> DataFrame:
+    """Drop ``_errors``; a row with an entry fails the query.
+
+    The check guards the row as one struct. As a filter it would be pushed below the
+    projections and every expression evaluated twice.
+    """
+    data = [c for c in df.columns if c != ERRORS]
+    first = F.get(ERRORS, F.lit(0))
+    text = F.concat(
+        F.lit("cannot convert "), F.coalesce(first["value"], F.lit("null")), F.lit(" at "), first["path"], F.lit(" to "), first["type"]
+    )
+    row = F.struct(*[F.col(f"`{c}`") for c in data])
+    kind = T.StructType([df.schema[c] for c in data])
+    guarded = F.when(F.size(ERRORS) > 0, F.raise_error(text).cast(_loose(kind))).otherwise(row)
+    return df.select(guarded.alias("__row")).select(*[F.col("__row").getField(c).alias(c) for c in data])
 
 
 def coerce_text(df: DataFrame, types: dict[str, T.DataType], mode: str = "strict") -> DataFrame:
@@ -377,9 +392,7 @@ def coerce_text(df: DataFrame, types: dict[str, T.DataType], mode: str = "strict
     out = df.select(*cols, F.array_compact(F.array(*errors)).cast(ERROR_TYPE).alias(ERRORS))
     if mode == "quarantine":
         return out
-    first = F.col(ERRORS)[0]
-    fail = F.raise_error(F.concat(F.lit("cannot convert "), first["value"], F.lit(" at "), first["path"])).cast("boolean")
-    return out.filter(F.when(F.size(ERRORS) > 0, fail).otherwise(True)).drop(ERRORS)
+    return _fail_on_error(out)
 
 
 def any_of(conditions: list[Column]) -> Column:

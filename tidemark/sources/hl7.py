@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import hl7_dtm
+from tidemark.functions.dates import HL7_DTM, HL7_FILL
 from tidemark.sources.hl7_layouts import COMPOSITES, SEGMENTS, SINGLE
 
 ENVELOPE = ["FHS", "BHS", "BTS", "FTS"]
@@ -42,14 +42,19 @@ def decode_payload(text: Column) -> Column:
     return F.decode(F.unbase64(text), "UTF-8")
 
 
-def _message_lines(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """(keep..., __lines): one row per message with its non-blank lines, envelope lines dropped."""
+# No filter is put on top of these projections: it would be pushed below them and repeat the
+# splitting. What is not wanted becomes null or an empty list, which ``explode`` drops.
+
+
+def _parts(text: str) -> Column:
+    """The text cut before every MSH line; line ends are carriage returns."""
     cr = F.concat(F.lit("\r"), F.replace(F.replace(F.col(text), F.lit("\r\n"), F.lit("\r")), F.lit("\n"), F.lit("\r")))
-    parts = df.select(*keep, F.explode(F.split(F.regexp_replace(cr, "\r((?i)MSH)", "\x00$1"), "\x00")).alias("__part"))
-    lines = F.filter(
-        F.split("__part", "\r"), lambda x: (F.trim(x) != "") & ~F.upper(F.substring(x, 1, 3)).isin(ENVELOPE)
-    )
-    return parts.select(*keep, lines.alias("__lines")).filter(F.size("__lines") > 0)
+    return F.split(F.regexp_replace(cr, "\r((?i)MSH)", "\x00$1"), "\x00")
+
+
+def _lines(part: Column) -> Column:
+    """Non-blank lines, envelope lines dropped."""
+    return F.filter(F.split(part, "\r"), lambda x: (F.trim(x) != "") & ~F.upper(F.substring(x, 1, 3)).isin(ENVELOPE))
 
 
 def split_messages(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
@@ -57,21 +62,24 @@ def split_messages(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
 
     Lines before the first MSH form a fragment of their own.
     """
-    return _message_lines(df, text, keep).select(*keep, F.array_join("__lines", "\r").alias("message"))
+    whole = F.transform(_parts(text), lambda p: F.array_join(_lines(p), "\r"))
+    return df.select(*keep, F.explode(F.filter(whole, lambda m: m != "")).alias("message"))
 
 
 def _prepared(lines: DataFrame, keep: list[str]) -> DataFrame:
-    """Messages with MSH: keep..., message columns, ``__lines`` with the usual separators,
+    """keep..., message columns, ``__lines`` with the usual separators (null without MSH),
     ``__plain`` (nothing was mapped) and ``__own`` (the message's characters, to map back)."""
     head = lines.select(*keep, "__lines", F.get("__lines", F.lit(0)).alias("__msh"))
     m = F.col("__msh")
-    head = head.filter(F.upper(F.substring(m, 1, 3)).eqNullSafe("MSH") & (F.length(m) >= 4))
     rest = F.when(F.length(m) >= 8, F.substring(m, 5, 4)).otherwise(F.lit(MSH_ORDER))
     at = lambda i: F.substring(rest, i, 1)
-    own = F.concat(F.substring(m, 4, 1), at(1), at(2), at(4), at(3))
+    own = F.when(
+        (F.upper(F.substring(m, 1, 3)) == "MSH") & (F.length(m) >= 4), F.concat(F.substring(m, 4, 1), at(1), at(2), at(4), at(3))
+    )
     head = head.select(*keep, "__lines", own.alias("__own")).withColumn("__plain", F.col("__own") == USUAL)
     odd = F.transform("__lines", lambda x: _translate(x, F.concat("__own", F.lit(USUAL)), F.lit(USUAL + ORDINARY)))
-    head = head.select(*keep, "__own", "__plain", F.when(F.col("__plain"), F.col("__lines")).otherwise(odd).alias("__lines"))
+    mapped = F.when(F.col("__plain"), F.col("__lines")).when(F.col("__own").isNotNull(), odd)
+    head = head.select(*keep, "__own", "__plain", mapped.alias("__lines"))
     head = head.select("*", F.split(F.get("__lines", F.lit(0)), FS).alias("__m"))
     part = lambda n: _blank(_back(F.get("__m", F.lit(n - 1)), "__plain"))  # noqa: E731 - MSH-n sits one lower here
     return head.select(
@@ -125,11 +133,11 @@ def _with_fields(rows: DataFrame) -> DataFrame:
 
 def _segments(lines: DataFrame, keep: list[str], only: str | None) -> DataFrame:
     base = _prepared(lines, keep)
-    wanted = F.filter("__lines", lambda x: _segment_name(x) == only) if only else F.col("__lines")
+    wanted = F.filter("__lines", lambda x: _segment_name(x) == only if only else _segment_name(x) != "")
     head = [c for c in base.columns if c != "__lines"]
     rows = base.select(*head, F.posexplode(wanted).alias("__pos", "__line"))
     named = rows.select(*head, (F.col("__pos") + 1).alias("ordinal"), _segment_name(F.col("__line")).alias("segment"), "__line")
-    return _with_fields(named.filter(F.col("segment") != ""))
+    return _with_fields(named)
 
 
 def segments(df: DataFrame, message: str, keep: list[str], only: str | None = None) -> DataFrame:
@@ -169,6 +177,8 @@ def sub_component(n: int, c: int, s: int) -> Column:
 
 
 # --- compiling layouts ------------------------------------------------------------------
+# A layout becomes SQL text: one short expression per column, parsed by Spark, instead of
+# thousands of small column objects.
 
 _PART = re.compile(r"^(\w+?)(?:@(\d+)(?:\.(\d+))?(\?)?)?(:dtm)?$")
 
@@ -183,66 +193,87 @@ def parts_of(spec: str) -> list[tuple[str, int, int | None, bool, bool]]:
     return out
 
 
-def _members(spec: str, comps: Column, back) -> list[Column]:
-    """The parts of a composite from its component array."""
-    cols = []
-    for name, comp, sub, whole, dtm in parts_of(spec):
-        raw = F.get(comps, F.lit(comp - 1))
-        if sub is None:
-            value = _blank(back(raw))
-        else:
-            value = _blank(back(F.get(F.split(raw, SS), F.lit(sub - 1))))
-            value = F.coalesce(value, _blank(back(raw))) if whole else value
-        cols.append((hl7_dtm(value) if dtm else value).alias(name))
-    return cols
+def _text(x: str, flag: str) -> str:
+    """``_back`` and empty-to-null as SQL; ``__from``/``__to`` hold the characters."""
+    return f"nullif(if({flag}, {x}, translate({x}, __from, __to)), '')"
+
+
+def _dtm(x: str) -> str:
+    """``hl7_dtm`` as SQL."""
+    t = f"regexp_replace(trim({x}), '^[()]+|[()]+$', '')"
+    digits, offset = f"regexp_extract({t}, r'{HL7_DTM}', 1)", f"regexp_extract({t}, r'{HL7_DTM}', 2)"
+    full = f"concat({digits}, substring('{HL7_FILL}', length({digits}) + 1, 14), if({offset} = '', 'Z', {offset}))"
+    return f"""date_format(try_to_timestamp({full}, 'yyyyMMddHHmmssXX'), "yyyy-MM-dd'T'HH:mm:ss")"""
+
 
+def _int(x: str) -> str:
+    return f"if(trim({x}) rlike r'^[+-]?\\d+$', try_cast(trim({x}) as bigint), null)"
 
-def _filled(cols: list[Column]) -> Column:
+
+def _cut(x: str, sep: str) -> str:
+    return f"split({x}, r'{sep}')"
+
+
+def _struct(named: list[tuple[str, str]]) -> str:
+    return "named_struct(" + ", ".join(f"'{n}', {e}" for n, e in named) + ")"
+
+
+def _filled(named: list[tuple[str, str]]) -> str:
     """The struct of the parts, or null when all of them are null."""
-    return F.when(F.coalesce(*cols).isNotNull(), F.struct(*cols))
+    seen = ", ".join(f"({e}) is not null" for _, e in named)
+    return f"if(array_contains(array({seen}), true), {_struct(named)}, null)"
 
 
-EIP_SIDES = ["placer_assigned_identifier", "filler_assigned_identifier"]
+def _members(spec: str, comps: str, flag: str) -> list[tuple[str, str]]:
+    """The parts of a composite from its component array."""
+    out = []
+    for name, comp, sub, whole, dtm in parts_of(spec):
+        raw = f"get({comps}, {comp - 1})"
+        value = _text(raw, flag)
+        if sub is not None:
+            piece = _text(f"get({_cut(raw, SS)}, {sub - 1})", flag)
+            value = f"coalesce({piece}, {value})" if whole else piece
+        out.append((name, _dtm(value) if dtm else value))
+    return out
 
 
-def _pair(comps: Column, back) -> list[Column]:
+def _pair(comps: str, flag: str) -> list[tuple[str, str]]:
     """Entity identifier pair: placer and filler, each made of sub-components."""
+    names = [p[0] for p in parts_of(COMPOSITES["EI"])]
 
-    def side(i: int) -> Column:
-        subs = F.split(F.get(comps, F.lit(i)), SS)
-        return _filled([_blank(back(F.get(subs, F.lit(j)))).alias(p[0]) for j, p in enumerate(parts_of(COMPOSITES["EI"]))])
+    def side(i: int) -> str:
+        subs = _cut(f"get({comps}, {i})", SS)
+        return _filled([(n, _text(f"get({subs}, {j})", flag)) for j, n in enumerate(names)])
 
-    return [side(i).alias(n) for i, n in enumerate(EIP_SIDES)]
+    return [("placer_assigned_identifier", side(0)), ("filler_assigned_identifier", side(1))]
 
 
-def composite(comps: Column, kind: str) -> Column:
-    """One composite as a struct, from its component array. A coded value or designator stays
-    a struct of nulls when its text is only separators; the others become null."""
+def _composite(comps: str, kind: str) -> str:
+    """One composite as a struct. A coded value or designator stays a struct of nulls when
+    its text is only separators; the others become null."""
     if kind == "EIP":
-        sides = _pair(comps, _dec)
-        return F.when(sides[0].isNotNull() | sides[1].isNotNull(), F.struct(*sides))
-    cols = _members(COMPOSITES[kind], comps, _dec)
-    return F.when(comps.isNotNull(), F.struct(*cols)) if kind in ("CWE", "HD") else _filled(cols)
+        return _filled(_pair(comps, "__asis"))
+    members = _members(COMPOSITES[kind], comps, "__asis")
+    return f"if({comps} is not null, {_struct(members)}, null)" if kind in ("CWE", "HD") else _filled(members)
 
 
-def repeated(n: int, kind: str) -> Column:
+def _repeated(n: int, kind: str) -> str:
     """All non-empty repetitions of field n as an array; none is null."""
-    reps = repetitions(n)
+    reps = f"filter({_cut(f'get(fields, {n})', RS)}, r -> r <> '')"
     if kind == "st":
-        out = F.transform(reps, _raw)
+        out = f"transform({reps}, r -> {_text('r', '__plain')})"
     elif kind == "id":
-        out = F.filter(F.transform(reps, lambda r: _raw(F.substring_index(r, "^", 1))), lambda r: r != "")
+        out = f"array_compact(transform({reps}, r -> {_text(_first('r', '^'), '__plain')}))"
     elif kind == "dtm":
-        out = F.filter(F.transform(reps, lambda r: hl7_dtm(_raw(r))), lambda r: r.isNotNull())
+        out = f"array_compact(transform({reps}, r -> {_dtm(_text('r', '__plain'))}))"
     else:
-        comps = F.transform(reps, lambda r: F.split(r, CS))
-        make = (lambda c: _pair(c, _raw)) if kind == "EIP" else (lambda c: _members(COMPOSITES[kind], c, _raw))
-        out = F.transform(comps, lambda c: F.struct(*make(c)))
-    return F.get(F.filter(F.array(out), lambda a: F.size(a) > 0), F.lit(0))
+        named = _pair("c", "__plain") if kind == "EIP" else _members(COMPOSITES[kind], "c", "__plain")
+        out = f"transform(transform({reps}, r -> {_cut('r', CS)}), c -> {_struct(named)})"
+    return f"get(filter(array({out}), a -> size(a) > 0), 0)"
 
 
-def _int(c: Column) -> Column:
-    return F.when(c.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(c).try_cast("bigint"))
+def _first(x: str, sep: str) -> str:
+    return f"substring_index({x}, '{sep}', 1)"
 
 
 def layout(segment: str) -> list[tuple[int, str, str, bool]]:
@@ -255,27 +286,25 @@ def layout(segment: str) -> list[tuple[int, str, str, bool]]:
     return out
 
 
-def compile_field(n: int, name: str, kind: str, repeating: bool) -> list[Column]:
-    """The output columns of one field."""
+def compile_field(n: int, name: str, kind: str, repeating: bool) -> list[tuple[str, str]]:
+    """(column, SQL) of one field."""
+    whole = _text(f"get(fields, {n})", "__plain")
+    first = _text(_first(f"get(fields, {n})", "~"), "__plain")
+    part = lambda i: _text(f"get({_cut(f'get(decoded, {n})', CS)}, {i})", "__asis")
     if repeating:
-        return [repeated(n, kind).alias(name)]
+        return [(name, _repeated(n, kind))]
     if kind == "range":
-        return [hl7_dtm(component(n, 1)).alias(f"{name}_start"), hl7_dtm(component(n, 2)).alias(f"{name}_end")]
+        return [(f"{name}_start", _dtm(part(0))), (f"{name}_end", _dtm(part(1)))]
     if kind == "authority":
-        return [component(n, i + 1).alias(name + s) for i, s in enumerate(["", "_universal_id", "_universal_id_type"])]
+        return [(name + s, part(i)) for i, s in enumerate(["", "_universal_id", "_universal_id_type"])]
     if kind == "message":
-        return [component(n, i + 1).alias(s) for i, s in enumerate(["message_code", "trigger_event", "message_structure"])]
+        return [(s, part(i)) for i, s in enumerate(["message_code", "trigger_event", "message_structure"])]
     if kind in COMPOSITES or kind == "EIP":
-        return [composite(F.col(f"__c{n}"), kind).alias(name)]
-    value = {
-        "st": lambda: field(n),
-        "int": lambda: _int(field(n)),
-        "seq": lambda: F.coalesce(_int(field(n)), F.lit(1).cast("bigint")),
-        "dtm": lambda: hl7_dtm(field(n)),
-        "first": lambda: first_repetition(n),
-        "firstdtm": lambda: hl7_dtm(first_repetition(n)),
-    }[kind]()
-    return [value.alias(name)]
+        return [(name, _composite(f"__c{n}", kind))]
+    plain = {
+        "st": whole, "int": _int(whole), "seq": f"coalesce({_int(whole)}, 1L)", "dtm": _dtm(whole), "first": first, "firstdtm": _dtm(first),
+    }
+    return [(name, plain[kind])]
 
 
 METADATA = ["message_id", "message_timestamp", "hl7_version", "source_file", "send_time", "create_time", "raw_segment"]
@@ -289,7 +318,8 @@ def _rows(df: DataFrame, text: str, segment: str, source_file: str, send_time: s
     body = decode_payload(F.col(text)) if base64 else F.col(text)
     raw = df.select(F.col(source_file).alias("source_file"), sent.alias("send_time"), made.alias("create_time"), body.alias("__text"))
     keep = ["source_file", "send_time", "create_time"]
-    return _segments(_message_lines(raw, "__text", keep), keep, segment.upper())
+    parts = raw.select(*keep, F.explode(_parts("__text")).alias("__part"))
+    return _segments(parts.select(*keep, _lines(F.col("__part")).alias("__lines")), keep, segment.upper())
 
 
 def table(df: DataFrame, text: str, segment: str, source_file: str, send_time: str | None = None, create_time: str | None = None, base64: bool = False, columns: list[str] | None = None) -> DataFrame:
@@ -309,14 +339,18 @@ def table(df: DataFrame, text: str, segment: str, source_file: str, send_time: s
         fields = [f for f in fields if any(c in wanted for c in _names(f))]
     # the components of single composites are cut once, in a projection of their own
     single = [n for n, _, kind, many in fields if not many and (kind in COMPOSITES or kind == "EIP")]
-    rows = rows.select("*", *[F.split(_blank(F.get("decoded", F.lit(n))), CS).alias(f"__c{n}") for n in single])
-    cols = [c for f in fields for c in compile_field(*f)]
+    own = F.col("__own")
+    rows = rows.select(
+        "*", F.lit(USUAL + DECODED + ORDINARY).alias("__from"), F.concat(own, F.substring(own, 1, 4), F.lit(USUAL)).alias("__to")
+    )
+    rows = rows.selectExpr("*", *[f"split(nullif(get(decoded, {n}), ''), r'{CS}') as __c{n}" for n in single])
+    cols = [f"{sql} as {column}" for f in fields for column, sql in compile_field(*f)]
     if name not in SINGLE and not any(f[1] == "set_id" for f in layout(name)):
-        cols.insert(0, F.col("ordinal").cast("bigint").alias("set_id"))
+        cols.insert(0, "bigint(ordinal) as set_id")
     # a message has one MSH row; other segments may repeat
     if name == "MSH":
         rows = rows.filter(F.col("ordinal") == 1)
-    return rows.select(*METADATA, *cols)
+    return rows.selectExpr(*METADATA, *cols)
 
 
 def _names(f: tuple[int, str, str, bool]) -> list[str]:
