@@ -3,7 +3,7 @@
 A plain ``Window.partitionBy(key)`` puts all rows of one key in one task. Here rows are
 first cut into chunks along the order column at approximate quantiles of the *whole*
 column, so no (key, chunk) group can hold more than about 1/n of the table, however the
-keys are distributed. The window runs inside each (key, chunk); what must cross a chunk
+keys are distributed; n follows the number of shuffle partitions. The window runs inside each (key, chunk); what must cross a chunk
 border (last value, next value, running total) comes from a per-chunk summary.
 
 Group columns must be non-null (they are keys). The first order column must be numeric,
@@ -12,6 +12,7 @@ date, timestamp or string and non-null.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 CHUNK = "__chunk"
 _CUTS = "__cuts"
 _TMP = "__w_"
-DEFAULT_SIDE = 8  # chunks = side * side
+MIN_SIDE, MAX_SIDE = 4, 64  # chunks = side * side
 
 
 def _number_for(df: DataFrame, name: str) -> Column:
@@ -35,12 +36,20 @@ def _number_for(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def with_chunk(df: DataFrame, order_col: str, side: int = DEFAULT_SIDE) -> DataFrame:
+def default_side(df: DataFrame) -> int:
+    """About one chunk per shuffle partition: what the cluster is set up for is also the size
+    one hot group must be cut down to."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(MAX_SIDE, max(MIN_SIDE, math.isqrt(max(parts - 1, 0)) + 1))
+
+
+def with_chunk(df: DataFrame, order_col: str, side: int | None = None) -> DataFrame:
     """Add ``__chunk``: a number that never decreases along ``order_col``.
 
     The cut points are one small array (side² - 1 values) computed by an aggregate and
     read as a scalar subquery; nothing is collected. ``side=1`` keeps one chunk.
     """
+    side = side or default_side(df)
     if side <= 1:
         return df.withColumn(CHUNK, F.lit(0))
     n = side * side
@@ -80,7 +89,7 @@ def _join_summary(df: DataFrame, summary: DataFrame, by: list[str]) -> DataFrame
 
 
 def lead_value(
-    df: DataFrame, by: list[str], order: list[str], value: str, out: str, side: int = DEFAULT_SIDE
+    df: DataFrame, by: list[str], order: list[str], value: str, out: str, side: int | None = None
 ) -> DataFrame:
     """``out`` = ``value`` of the next row of the group; null on its last row.
 
@@ -106,7 +115,7 @@ def lead_value(
 
 
 def lag_value(
-    df: DataFrame, by: list[str], order: list[str], value: str, out: str, side: int = DEFAULT_SIDE
+    df: DataFrame, by: list[str], order: list[str], value: str, out: str, side: int | None = None
 ) -> DataFrame:
     """``out`` = ``value`` of the previous row of the group; null on its first row."""
     d = with_chunk(df, order[0], side)
@@ -135,7 +144,7 @@ def fill_value(
     value: str,
     out_last: str | None = None,
     out_next: str | None = None,
-    side: int = DEFAULT_SIDE,
+    side: int | None = None,
 ) -> DataFrame:
     """Nearest non-null ``value`` at or before (``out_last``) / at or after (``out_next``) a row.
 
@@ -181,7 +190,7 @@ def running_total(
     order: list[str],
     value: Column,
     out: str,
-    side: int = DEFAULT_SIDE,
+    side: int | None = None,
 ) -> DataFrame:
     """``out`` = sum of ``value`` over the rows of the group up to and including this one."""
     d = with_chunk(df.withColumn(_TMP + "val", value), order[0], side)
@@ -199,7 +208,7 @@ def running_total(
 
 
 def row_index(
-    df: DataFrame, by: list[str], order: list[str], out: str, side: int = DEFAULT_SIDE
+    df: DataFrame, by: list[str], order: list[str], out: str, side: int | None = None
 ) -> DataFrame:
     """``out`` = 0-based position of the row in its group under the total order ``order``."""
     return running_total(df, by, order, F.lit(1).cast("bigint"), out, side).withColumn(

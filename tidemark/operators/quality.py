@@ -83,19 +83,20 @@ def declared_paths(kind: T.DataType, path: str = "") -> list[str]:
     return []
 
 
-def _json_paths(v: Column, path: Column, kind_of: bool, depth: int) -> Column:
-    """All (path, kind) pairs of a variant, arrays looked through, ``depth`` levels down."""
+_NODE = "array<struct<path:string,v:variant,item:boolean>>"
+
+
+def _children(v: Column, path: Column) -> Column:
+    """Members of an object and items of a list; an item keeps the path of its list."""
     shape = F.schema_of_variant(v)
     members = F.map_entries(F.when(shape.startswith("OBJECT"), F.try_variant_get(v, "$", "map<string,variant>")))
-    name = lambda e: F.when(path == "", e["key"]).otherwise(F.concat(path, F.lit("."), e["key"]))
-    mine = F.transform(members, lambda e: F.struct(name(e).alias("path"), json_kind(e["value"]).alias("kind")))
-    empty = F.array().cast("array<struct<path:string,kind:string>>")
-    if depth == 0:
-        return F.coalesce(mine, empty)
-    below = F.flatten(F.transform(members, lambda e: _json_paths(e["value"], name(e), kind_of, depth - 1)))
     items = F.when(shape.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
-    inside = F.flatten(F.transform(items, lambda x: _json_paths(x, path, kind_of, depth - 1)))
-    return F.concat(F.coalesce(mine, empty), F.coalesce(below, empty), F.coalesce(inside, empty))
+    name = lambda e: F.when(path == "", e["key"]).otherwise(F.concat(path, F.lit("."), e["key"]))
+    none = F.array().cast(_NODE)
+    return F.concat(
+        F.coalesce(F.transform(members, lambda e: F.struct(name(e).alias("path"), e["value"].alias("v"), F.lit(False).alias("item"))), none),
+        F.coalesce(F.transform(items, lambda x: F.struct(path.alias("path"), x.alias("v"), F.lit(True).alias("item"))), none),
+    )
 
 
 def json_kind(v: Column) -> Column:
@@ -107,15 +108,21 @@ def json_kind(v: Column) -> Column:
     )
 
 
-def data_paths(df: DataFrame, body: str, depth: int = 3) -> DataFrame:
-    """Distinct (path, kind) pairs present in a JSON column."""
-    v = df.select(F.try_parse_json(body).alias("v"))
-    return v.select(F.explode(F.array_distinct(_json_paths(F.col("v"), F.lit(""), True, depth))).alias("x")).select("x.*").distinct()
+def data_paths(df: DataFrame, body: str, depth: int = 6) -> DataFrame:
+    """Distinct (path, kind) pairs present in a JSON column; lists are looked through.
+
+    One projection per level, each built from the one before it.
+    """
+    d = df.select(F.try_parse_json(body).alias("__v")).select(_children(F.col("__v"), F.lit("")).alias("__l0"))
+    for i in range(1, depth):
+        d = d.select("*", F.flatten(F.transform(f"__l{i - 1}", lambda n: _children(n["v"], n["path"]))).alias(f"__l{i}"))
+    nodes = F.filter(F.concat(*[f"__l{i}" for i in range(depth)]), lambda n: ~n["item"])
+    pairs = F.transform(nodes, lambda n: F.struct(n["path"].alias("path"), json_kind(n["v"]).alias("kind")))
+    return d.select(F.explode(F.array_distinct(pairs)).alias("x")).select("x.*").distinct()
 
 
-def schema_diff(df: DataFrame, body: str, schema: T.StructType, depth: int = 3) -> DataFrame:
+def schema_diff(df: DataFrame, body: str, schema: T.StructType, depth: int = 6) -> DataFrame:
     """(path, side): ``undeclared`` paths of the data and ``absent`` declared ones."""
-    spark = df.sparkSession
     declared = declared_paths(schema)
     rows = [(p, "^" + "\\.".join("[^.]+" if s == "*" else _quote(s) for s in p.split(".")) + "$") for p in declared]
     found = data_paths(df, body, depth).select("path").distinct()
@@ -128,14 +135,14 @@ def schema_diff(df: DataFrame, body: str, schema: T.StructType, depth: int = 3)
         F.explode(F.array(*[F.struct(F.lit(p).alias("path"), F.col(str(i)).alias("hit")) for i, (p, _) in enumerate(rows)])).alias("x")
     )
     absent = seen.filter("not x.hit").select("x.path", F.lit("absent").alias("side"))
-    return undeclared.unionByName(absent) if spark else undeclared
+    return undeclared.unionByName(absent)
 
 
 def _quote(text: str) -> str:
     return "\\Q" + text + "\\E"
 
 
-def shape_diff(a: DataFrame, b: DataFrame, body: str, depth: int = 3) -> DataFrame:
+def shape_diff(a: DataFrame, b: DataFrame, body: str, depth: int = 6) -> DataFrame:
     """(path, left, right): fields whose JSON kinds differ; null fits every kind."""
     def kinds(df: DataFrame, name: str) -> DataFrame:
         p = data_paths(df, body, depth).filter("kind <> 'null'")

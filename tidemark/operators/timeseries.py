@@ -50,10 +50,24 @@ def recorded(df: DataFrame, tags: list[str], start, end, max_count: int, tag: st
     return ordered.row_index(d, [tag], [ts], "__i").filter(F.col("__i") < max_count).drop("__i")
 
 
+GRID_BLOCK = 10_000
+
+
 def grid(df: DataFrame, start: dt.datetime, end: dt.datetime, interval: dt.timedelta, tag: str = "tag", ts: str = "ts") -> DataFrame:
-    """Every (tag, grid point); the number of points is fixed by the interval."""
-    points = F.sequence(F.lit(start), F.lit(end), F.make_dt_interval(secs=F.lit(interval.total_seconds())))
-    return df.select(tag).distinct().select(tag, F.explode(points).alias(ts))
+    """Every (tag, grid point); the number of points is fixed by the interval.
+
+    A long grid is made in blocks that are spread over the cluster before they are filled,
+    so neither one row nor one task holds all points of a tag.
+    """
+    step = F.make_dt_interval(secs=F.lit(interval.total_seconds()))
+    tags = df.select(tag).distinct()
+    if (end - start) / interval < GRID_BLOCK:
+        return tags.select(tag, F.explode(F.sequence(F.lit(start), F.lit(end), step)).alias(ts))
+    block = interval * GRID_BLOCK
+    starts = F.sequence(F.lit(start), F.lit(end), F.make_dt_interval(secs=F.lit(block.total_seconds())))
+    blocks = tags.select(tag, F.explode(starts).alias("__from")).repartition(tag, "__from")
+    stop = F.least(F.col("__from") + F.make_dt_interval(secs=F.lit((block - interval).total_seconds())), F.lit(end))
+    return blocks.select(tag, F.explode(F.sequence(F.col("__from"), stop, step)).alias(ts))
 
 
 def _around(samples: DataFrame, points: DataFrame, tag: str, ts: str, value: str) -> DataFrame:

@@ -95,7 +95,7 @@ class Ingestion:
                 return flow, AppendTarget(self.spark, path, schema, [k.strip() for k in keys.split(",")], flow.sequence)
             return flow, None
         return flow, MergeTarget(
-            self.spark, path, schema, flow.keys, flow.sequence, flow.scd_type, self.buckets, 8 if flow.scd_type == 2 else 1, flow.cluster_by
+            self.spark, path, schema, flow.keys, flow.sequence, flow.scd_type, self.buckets, flow.cluster_by
         )
 
     def read(self, table: str) -> DataFrame:

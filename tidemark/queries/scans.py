@@ -141,7 +141,7 @@ def _changes(t):
 def _merged(t, scd_type: int):
     df = _changes(t)
     src = files.Landed(_landed_copy(t, df, 6, "merge-in"))
-    target = MergeTarget(t.spark, scratch_dir(t.spark, "merge"), df.schema, ["o_custkey"], "seq", scd_type, 8, 2)
+    target = MergeTarget(t.spark, scratch_dir(t.spark, "merge"), df.schema, ["o_custkey"], "seq", scd_type, 8)
     finish(apply_stream(files.read_stream(t.spark, src, 3), target, scratch_dir(t.spark, "merge-ck")))
     return target.read()
 

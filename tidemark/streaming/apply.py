@@ -78,9 +78,9 @@ class MergeTarget:
     2, every event of a key, so late and repeated rows give the same result as one batch.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], seq: str, scd_type: int = 1, buckets: int = 32, spread: int = 1, cluster_by: list[str] | None = None):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], seq: str, scd_type: int = 1, buckets: int = 32, cluster_by: list[str] | None = None):
         self.spark, self.keys, self.seq, self.scd_type = spark, keys, seq, scd_type
-        self.buckets, self.spread, self.cluster_by = buckets, spread, cluster_by
+        self.buckets, self.cluster_by = buckets, cluster_by
         self.folder = ManifestFolder(spark, path)
         fields = [f for f in schema if f.name not in (ch.DELETED, ch.START_AT, ch.END_AT)]
         self.columns = [f.name for f in fields]
@@ -147,9 +147,9 @@ class MergeTarget:
             batch.unpersist()
 
     def _write(self, df: DataFrame, where: str) -> None:
-        # a bucket is written by ``spread`` tasks, so one hot key of a type 2 table is split
-        salt = F.pmod(F.xxhash64(*self.keys, self.seq), F.lit(self.spread))
-        out = df.repartition(F.col(BUCKET), salt)
+        # rebalancing joins small buckets in one task and splits a large one, or one hot key's
+        # history, over several
+        out = df.hint("rebalance", BUCKET)
         if self.cluster_by:
             out = out.sortWithinPartitions(BUCKET, *self.cluster_by)
         out.write.partitionBy(BUCKET).parquet(f"{self.folder.path}/{where}")
