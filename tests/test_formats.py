@@ -12,10 +12,10 @@ from tidemark.sources.hl7_layouts import SEGMENTS
 MESSAGES = (
     "FHS|^~\\&|X\r\nMSH|^~\\&|APP^1.2^ISO|FAC|R|RF|20240102030405+0100||ADT^A01^ADT_A01|M1|P|2.5\r\n"
     "PID|1||123^^^HOSP&1.2&ISO^MR~456^^^X||Doe^Jo\\T\\n^Q~Roe^J||19800101|M|||12 Main^^City^ST^12345\r\n"
-    "PV1||I^In|W1&a^2^B^FAC|||||||||||||||||V1||||||20240101~20240102|||||||||||||||||||||||20240101~20240102\r\n"
-    "OBX|1|NM|8480-6^Sys^LN||120~130|mmHg\r\nOBX||TX|note||b\\T\\c\r\nORC|RE|P1^NS||||||A&ns^B\r\nORC|RF|P2\r\nNTE|0|L|a~b\r\n"
+    + "PV1||I^In|W1&a^2^B^FAC" + "|" * 16 + "V1" + "|" * 6 + "20240101~20240102" + "|" * 19 + "20240101~20240102\r\n"
+    + "OBX|1|NM|8480-6^Sys^LN||120~130|mmHg\r\nOBX||TX|note||b\\T\\c\r\nORC|RE|P1^NS||||||A&ns^B\r\nORC|RF|P2\r\nNTE|0|L|a~b\r\n"
     "SPM|1|A&n^B|||||||||||||||20240101^2024010203\r\nZPD|x|y\r\n"
-    "MSH|#*+%@|APP#F2||||20240101||ORU*R01|M2|P|2.3\rNTE|1\rNTE#2##a|b@S@c\rFTS|1\r"
+    "MSH#*+%@#APP*F2####20240101##ORU*R01#M2#P#2.3\rNTE|9\rNTE#2##a|b%S%c\rFTS|1\r"
 )
 
 
@@ -55,7 +55,7 @@ def test_hl7_single_composites_and_dates(hl7_df):
     assert r["contract_effective_date"] == ["2024-01-01T00:00:00", "2024-01-02T00:00:00"]
     m = hl7.table(hl7_df, "t", "MSH", "f").orderBy("message_id").collect()
     assert m[0]["message_datetime"] == "2024-01-02T02:04:05" and m[0]["sending_application_universal_id"] == "1.2"
-    assert m[1]["field_separator"] == "#" and m[1]["encoding_characters"] == "*+%@" or m[1]["encoding_characters"] == "*+@%"
+    assert m[1]["field_separator"] == "#" and m[1]["encoding_characters"] == "*+%@" and m[1]["sending_application_universal_id"] == "F2"
     assert m[1]["message_code"] == "ORU" and m[1]["trigger_event"] == "R01"
 
 
@@ -67,7 +67,7 @@ def test_hl7_repeats_and_ordinals(hl7_df):
     assert orc[0]["parent_order"][0]["placer_assigned_identifier"]["namespace_id"] == "ns"
     assert orc[0]["parent_order"][0]["filler_assigned_identifier"]["entity_identifier"] == "B"
     nte = hl7.table(hl7_df, "t", "NTE", "f").orderBy("message_id").collect()
-    assert nte[0]["set_id"] == 0 and nte[1]["set_id"] == 2 and nte[1]["raw_segment"] == "NTE#2##a|b@S@c" and nte[1]["comment"] == ["a|b@S@c"]
+    assert nte[0]["set_id"] == 0 and nte[1]["set_id"] == 2 and nte[1]["raw_segment"] == "NTE#2##a|b%S%c" and nte[1]["comment"] == ["a|b%S%c"]
     spm = _one(hl7.table(hl7_df, "t", "SPM", "f"))
     assert spm["specimen_collection_datetime_start"] == "2024-01-01T00:00:00" and spm["specimen_collection_datetime_end"] == "2024-01-02T03:00:00"
     assert spm["specimen_id"]["placer_assigned_identifier"]["entity_identifier"] == "A"

@@ -98,7 +98,7 @@ def read_ndjson(spark: SparkSession, path: str, **options: str) -> tuple[DataFra
 
 def read_json_array(spark: SparkSession, path: str, **options: str) -> tuple[DataFrame, DataFrame]:
     """One JSON document per file (an array or an envelope)."""
-    return _records(spark.read.options(wholetext="true", **options).text(path), "value", [])
+    return _records(spark.read.options(**options).text(path, wholetext=True), "value", [])
 
 
 def read_csv_report(spark: SparkSession, path: str, **options: str) -> DataFrame:
@@ -113,14 +113,14 @@ def read_files_modified(spark: SparkSession, path: str, since: dt.datetime | Non
     The reader's own options prune the listing to the second; the exact bound is applied to
     the file's time.
     """
-    opts = {"wholetext": "true"}
+    opts = {}
     if since:
         opts["modifiedAfter"] = (since - dt.timedelta(seconds=1)).strftime("%Y-%m-%dT%H:%M:%S")
     if until:
         opts["modifiedBefore"] = (until + dt.timedelta(seconds=1)).strftime("%Y-%m-%dT%H:%M:%S")
     if glob:
         opts["pathGlobFilter"] = glob
-    df = spark.read.options(**opts).text(path).select(
+    df = spark.read.options(**opts).text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modified"), F.col("value").alias("text")
     )
     if since:
