@@ -29,6 +29,13 @@ def fan_out(parents: DataFrame, children: DataFrame, on: dict[str, str], stamp:
     return children.join(side, cond).drop(*names.values())
 
 
+def sample_parents(parents: DataFrame, key: str, ids: list | None, n: int) -> DataFrame:
+    """The parents a fan-out covers: those named, else the first ``n`` in key order."""
+    if ids:
+        return parents.filter(F.col(key).isin(ids))
+    return parents.orderBy(key).limit(n)
+
+
 def fk_names(levels: list[tuple[str, list[str]]], leaf_columns: list[str]) -> list[dict[str, str]]:
     """Per level: key -> ``<segment>_<key>``, with leading underscores until it is unique."""
     used, out = set(leaf_columns), []

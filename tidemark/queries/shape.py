@@ -268,7 +268,7 @@ def f22(t):
 )
 def f23(t):
     text = F.col("text")
-    return t.documents.select("doc_id", F.sha2(sh.redact_emails(text), 256).alias("digest"), text.rlike(sh.EMAIL).alias("found"))
+    return t.documents.select("doc_id", F.sha2(sh.redact_emails(text), 256).alias("digest"), sh.has_email(text).alias("found"))
 
 
 @query("f23_redact_headers", "select event_id, 'REDACTED' as cookie, event_type as kind from events")
