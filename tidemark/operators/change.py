@@ -44,15 +44,15 @@ def split_null_sequence(feed: DataFrame, keys: list[str], seq: str | list[str])
     return feed.filter(ok), feed.filter(~ok)
 
 
-def latest(feed: DataFrame, keys: list[str], seq: str | list[str], deleted: str | None = None) -> DataFrame:
+def latest(feed: DataFrame, keys: list[str], seq: str | list[str], deleted: str | None = None, hashed: list[str] | None = None) -> DataFrame:
     """The winning row of every key, tombstones included.
 
     ``max_by`` is combined before the shuffle, so a key with most of the rows costs each
-    task one row.
+    task one row. ``hashed`` names the columns of the tie-breaking hash (default: all).
     """
     rest = [c for c in feed.columns if c not in keys]
     dead = [F.coalesce(F.col(deleted), F.lit(False)).cast("int")] if deleted else []
-    rank = F.struct(*[F.col(c) for c in _seq_list(seq)], *dead, row_hash(feed, feed.columns))
+    rank = F.struct(*[F.col(c) for c in _seq_list(seq)], *dead, row_hash(feed, hashed or feed.columns))
     win = feed.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("__row"))
     return win.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in feed.columns])
 
@@ -76,19 +76,26 @@ def apply_scd1_deletes(upserts: DataFrame, deletes: DataFrame, keys: list[str],
     return apply_scd1(with_delete_flow(upserts, deletes, keys, seq), keys, seq, DELETED)
 
 
-def scd2_events(feed: DataFrame, keys: list[str], seq: str, deleted: str | None = None) -> DataFrame:
-    """One event per (key, sequence): repeats collapse, ties are decided."""
-    return latest(feed, [*keys, seq], seq, deleted)
+def scd2_versions(feed: DataFrame, keys: list[str], seq: str, deleted: str | None = None) -> DataFrame:
+    """One row per (key, sequence) with ``__START_AT`` and ``__END_AT`` (the next sequence of
+    the key, deletes included). Repeats collapse, ties are decided.
 
-
-def scd2_close(events: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    """Add ``__START_AT`` and ``__END_AT`` (the next event's sequence) to unique events."""
-    return ordered.lead_value(events, keys, [seq], seq, END_AT).withColumn(START_AT, F.col(seq))
+    Copies collapse before the first shuffle, so a group of copies of any size costs each
+    task one row; the second shuffle, by (key, chunk), serves the interval window and the
+    join with the chunk borders. Cut points and borders come from scans of the keys and the
+    sequence alone.
+    """
+    cut = ordered.with_chunk(feed, seq)
+    chunk = [*keys, ordered.CHUNK]
+    events = latest(cut, [*chunk, seq], seq, deleted, feed.columns)
+    firsts = cut.groupBy(*chunk).agg(F.min(seq).alias(ordered.FIRST))
+    out = ordered.lead_value(events, keys, [seq], seq, END_AT, firsts=firsts)
+    return out.drop(ordered.CHUNK).withColumn(START_AT, F.col(seq))
 
 
 def apply_scd2(feed: DataFrame, keys: list[str], seq: str, deleted: str | None = None) -> DataFrame:
     """All versions of every key. A delete closes the open version and yields no row."""
-    out = scd2_close(scd2_events(feed, keys, seq, deleted), keys, seq)
+    out = scd2_versions(feed, keys, seq, deleted)
     if not deleted:
         return out
     return out.filter(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted)

@@ -6,6 +6,9 @@ column, so no (key, chunk) group can hold more than about 1/n of the table, howe
 keys are distributed; n follows the number of shuffle partitions. The window runs inside each (key, chunk); what must cross a chunk
 border (last value, next value, running total) comes from a per-chunk summary.
 
+A frame that already has ``__chunk`` (from ``with_chunk``) is used as it is and keeps it, so
+several operators on one frame share one partitioning.
+
 Group columns must be non-null (they are keys). The first order column must be numeric,
 date, timestamp or string and non-null.
 """
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 CHUNK = "__chunk"
 _CUTS = "__cuts"
 _TMP = "__w_"
+FIRST = _TMP + "first"
 MIN_SIDE, MAX_SIDE = 4, 64  # chunks = side * side
 
 
@@ -49,6 +53,8 @@ def with_chunk(df: DataFrame, order_col: str, side: int | None = None) -> DataFr
     The cut points are one small array (side² - 1 values) computed by an aggregate and
     read as a scalar subquery; nothing is collected. ``side=1`` keeps one chunk.
     """
+    if CHUNK in df.columns:
+        return df
     side = side or default_side(df)
     if side <= 1:
         return df.withColumn(CHUNK, F.lit(0))
@@ -88,17 +94,24 @@ def _join_summary(df: DataFrame, summary: DataFrame, by: list[str]) -> DataFrame
     return df.join(summary, [*by, CHUNK], "left")
 
 
+def _finish(df: DataFrame, given: DataFrame, *temporary: str) -> DataFrame:
+    drop = [*temporary] if CHUNK in given.columns else [*temporary, CHUNK]
+    return df.drop(*drop)
+
+
 def lead_value(
-    df: DataFrame, by: list[str], order: list[str], value: str, out: str, side: int | None = None
+    df: DataFrame, by: list[str], order: list[str], value: str, out: str, side: int | None = None, firsts: DataFrame | None = None
 ) -> DataFrame:
     """``out`` = ``value`` of the next row of the group; null on its last row.
 
-    (by, order) must be unique.
+    (by, order) must be unique. ``firsts`` may give the first value of each (group, chunk)
+    as ``__w_first`` when there is a cheaper way to it than through ``df``.
     """
     d = with_chunk(df, order[0], side)
-    firsts = d.groupBy(*by, CHUNK).agg(F.min_by(value, _position(order)).alias(_TMP + "first"))
+    if firsts is None:
+        firsts = d.groupBy(*by, CHUNK).agg(F.min_by(value, _position(order)).alias(FIRST))
     carry = firsts.select(
-        *by, CHUNK, F.lead(_TMP + "first").over(_across(by)).alias(_TMP + "carry")
+        *by, CHUNK, F.lead(FIRST).over(_across(by)).alias(_TMP + "carry")
     )
     w = _inside(by, order)
     d = d.select(
@@ -107,11 +120,8 @@ def lead_value(
         F.lead(F.lit(True)).over(w).alias(_TMP + "has"),
     )
     res = F.when(F.col(_TMP + "has"), F.col(_TMP + "v")).otherwise(F.col(_TMP + "carry"))
-    return (
-        _join_summary(d, carry, by)
-        .withColumn(out, res)
-        .drop(CHUNK, _TMP + "v", _TMP + "has", _TMP + "carry")
-    )
+    done = _join_summary(d, carry, by).withColumn(out, res)
+    return _finish(done, df, _TMP + "v", _TMP + "has", _TMP + "carry")
 
 
 def lag_value(
@@ -130,11 +140,8 @@ def lag_value(
         F.lag(F.lit(True)).over(w).alias(_TMP + "has"),
     )
     res = F.when(F.col(_TMP + "has"), F.col(_TMP + "v")).otherwise(F.col(_TMP + "carry"))
-    return (
-        _join_summary(d, carry, by)
-        .withColumn(out, res)
-        .drop(CHUNK, _TMP + "v", _TMP + "has", _TMP + "carry")
-    )
+    done = _join_summary(d, carry, by).withColumn(out, res)
+    return _finish(done, df, _TMP + "v", _TMP + "has", _TMP + "carry")
 
 
 def fill_value(
@@ -181,7 +188,7 @@ def fill_value(
         d = d.withColumn(out_last, F.coalesce(_TMP + "l", _TMP + "prev"))
     if out_next:
         d = d.withColumn(out_next, F.coalesce(_TMP + "n", _TMP + "next"))
-    return d.drop(CHUNK, _TMP + "l", _TMP + "n", _TMP + "prev", _TMP + "next")
+    return _finish(d, df, _TMP + "l", _TMP + "n", _TMP + "prev", _TMP + "next")
 
 
 def running_total(
@@ -199,12 +206,9 @@ def running_total(
     carry = sums.select(*by, CHUNK, F.sum(_TMP + "sum").over(before).alias(_TMP + "carry"))
     w = _inside(by, order).rowsBetween(Window.unboundedPreceding, 0)
     d = d.select("*", F.sum(_TMP + "val").over(w).alias(_TMP + "v"))
-    zero = F.lit(0)
-    return (
-        _join_summary(d, carry, by)
-        .withColumn(out, F.col(_TMP + "v") + F.coalesce(F.col(_TMP + "carry"), zero))
-        .drop(CHUNK, _TMP + "val", _TMP + "v", _TMP + "carry")
-    )
+    res = F.col(_TMP + "v") + F.coalesce(F.col(_TMP + "carry"), F.lit(0))
+    done = _join_summary(d, carry, by).withColumn(out, res)
+    return _finish(done, df, _TMP + "val", _TMP + "v", _TMP + "carry")
 
 
 def row_index(

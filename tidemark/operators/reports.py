@@ -54,7 +54,7 @@ def sessions(df: DataFrame, user: str, ts: str, tie: str, gap_seconds: int) -> D
     Gaps and islands instead of a session window: the events of one user are split along
     time, so a user with a large part of the table does not end up in one task.
     """
-    e = df.select(user, ts, tie)
+    e = ordered.with_chunk(df.select(user, ts, tie), ts)  # both steps share its partitioning
     e = ordered.lag_value(e, [user], [ts, tie], ts, "__prev")
     pause = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("__prev").cast("timestamp"))
     first = F.col("__prev").isNull() | (pause >= gap_seconds * 1_000_000)

@@ -134,8 +134,7 @@ class MergeTarget:
                 held = self._load(manifest["parts"], touched).select(*self.columns, ch.DELETED)
                 both = held.unionByName(good)
                 if self.scd_type == 2:
-                    events = ch.scd2_events(both, self.keys, self.seq, ch.DELETED)
-                    new = ch.scd2_close(events, self.keys, self.seq)
+                    new = ch.scd2_versions(both, self.keys, self.seq, ch.DELETED)
                 else:
                     new = ch.latest(both, self.keys, self.seq, ch.DELETED)
                 self._write(new.withColumn(BUCKET, bucket), f"data/{version}")
