@@ -44,10 +44,20 @@ def test_same_as_plain_window(spark, kind, side):
 
 def test_hot_group_is_split(spark):
     df = spark.range(10_000).select(F.lit("hot").alias("g"), F.col("id").alias("o"))
-    sizes = [r["count"] for r in ordered.with_chunk(df, "o", 8).groupBy("g", ordered.CHUNK).count().collect()]
+    sizes = [r["count"] for r in ordered.with_chunk(df, ["o"], 8).groupBy("g", ordered.CHUNK).count().collect()]
     assert len(sizes) == 64 and max(sizes) < 10_000 / 64 * 1.5
 
 
+def test_frequent_value_is_split_along_the_second_column(spark):
+    rows = [("hot", 50 if i % 3 else i % 100, i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g string, o int, id int")
+    sizes = [r["count"] for r in ordered.with_chunk(df, ["o", "id"], 8).groupBy("g", ordered.CHUNK).count().collect()]
+    assert max(sizes) < 800  # two thirds of the rows share one order value
+    got = ordered.row_index(df, ["g"], ["o", "id"], "i", 8).collect()
+    want = {key: i for i, key in enumerate(sorted((o, n) for _, o, n in rows))}
+    assert all(r["i"] == want[(r["o"], r["id"])] for r in got) and len(got) == 6000
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "g string, o bigint, v bigint")
     assert ordered.lead_value(df, ["g"], ["o"], "v", "n", 4).collect() == []

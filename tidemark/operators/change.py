@@ -85,7 +85,7 @@ def scd2_versions(feed: DataFrame, keys: list[str], seq: str, deleted: str | Non
     join with the chunk borders. Cut points and borders come from scans of the keys and the
     sequence alone.
     """
-    cut = ordered.with_chunk(feed, seq)
+    cut = ordered.with_chunk(feed, [seq])
     chunk = [*keys, ordered.CHUNK]
     events = latest(cut, [*chunk, seq], seq, deleted, feed.columns)
     firsts = cut.groupBy(*chunk).agg(F.min(seq).alias(ordered.FIRST))

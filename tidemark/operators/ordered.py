@@ -9,7 +9,7 @@ border (last value, next value, running total) comes from a per-chunk summary.
 A frame that already has ``__chunk`` (from ``with_chunk``) is used as it is and keeps it, so
 several operators on one frame share one partitioning.
 
-Group columns must be non-null (they are keys). The first order column must be numeric,
+Group columns must be non-null (they are keys). The first two order columns must be numeric,
 date, timestamp or string and non-null.
 """
 
@@ -47,11 +47,19 @@ def default_side(df: DataFrame) -> int:
     return min(MAX_SIDE, max(MIN_SIDE, math.isqrt(max(parts - 1, 0)) + 1))
 
 
-def with_chunk(df: DataFrame, order_col: str, side: int | None = None) -> DataFrame:
-    """Add ``__chunk``: a number that never decreases along ``order_col``.
+def _rank(cut: Column, value: Column, count: int, start: Column | int = 0) -> Column:
+    """How many of ``count`` cut points after ``start`` lie below ``value``."""
+    parts = [F.when(F.get(cut, F.lit(start) + i) < value, 1).otherwise(0) for i in range(count)]
+    return reduce(lambda a, b: a + b, parts)
 
-    The cut points are one small array (side² - 1 values) computed by an aggregate and
-    read as a scalar subquery; nothing is collected. ``side=1`` keeps one chunk.
+
+def with_chunk(df: DataFrame, order: list[str], side: int | None = None) -> DataFrame:
+    """Add ``__chunk``: a number that never decreases along the order.
+
+    The cut points are small arrays (side² - 1 values of the first order column, side - 1 of
+    the second) computed by one aggregate and read as a scalar subquery; nothing is
+    collected. A value of the first column so frequent that it is a cut point itself is
+    divided along the second. ``side=1`` keeps one chunk.
     """
     if CHUNK in df.columns:
         return df
@@ -59,22 +67,29 @@ def with_chunk(df: DataFrame, order_col: str, side: int | None = None) -> DataFr
     if side <= 1:
         return df.withColumn(CHUNK, F.lit(0))
     n = side * side
-    num = _number_for(df, order_col)
-    cuts = df.agg(F.percentile_approx(num, [i / n for i in range(1, n)], 50 * n)).scalar()
-    wide = df.select("*", cuts.alias(_CUTS), num.alias(_TMP + "num"))
-    cut, value = F.col(_CUTS), F.col(_TMP + "num")
-
-    def passed(index: Column) -> Column:
-        return F.when(F.get(cut, index - 1) < value, 1).otherwise(0)
-
-    def total(parts: list[Column]) -> Column:
-        return reduce(lambda a, b: a + b, parts)
-
-    coarse = total([passed(F.lit(side * i)) for i in range(1, side)])
-    wide = wide.withColumn(_TMP + "coarse", coarse)
-    start = F.col(_TMP + "coarse") * side
-    fine = total([passed(start + j) for j in range(1, side)])
-    return wide.withColumn(CHUNK, start + fine).drop(_CUTS, _TMP + "num", _TMP + "coarse")
+    nums = [_number_for(df, c) for c in order[:2]]
+    steps = [n, side]
+    quantiles = [
+        F.percentile_approx(v, [i / k for i in range(1, k)], 50 * n).alias(f"q{j}") for j, (v, k) in enumerate(zip(nums, steps))
+    ]
+    cuts = df.agg(F.struct(*quantiles).alias("q")).scalar()
+    wide = df.select("*", cuts.alias(_CUTS), *[v.alias(f"{_TMP}num{j}") for j, v in enumerate(nums)])
+    wide = wide.select("*", *[F.col(_CUTS)[f"q{j}"].alias(f"{_CUTS}{j}") for j in range(len(nums))])
+    first, value = F.col(_CUTS + "0"), F.col(_TMP + "num0")
+    # two rounds of ``side`` comparisons instead of side²
+    coarse = reduce(
+        lambda a, b: a + b, [F.when(F.get(first, F.lit(side * i - 1)) < value, 1).otherwise(0) for i in range(1, side)]
+    )
+    wide = wide.withColumn(_TMP + "from", coarse * side)
+    start = F.col(_TMP + "from")
+    wide = wide.withColumn(CHUNK, start + _rank(first, value, side - 1, start))
+    if len(nums) > 1:
+        # rows equal to the cut point that ends their chunk come last in it
+        at_cut = F.get(first, F.col(CHUNK)).eqNullSafe(value)
+        part = F.when(at_cut, 1 + _rank(F.col(_CUTS + "1"), F.col(_TMP + "num1"), side - 1)).otherwise(0)
+        wide = wide.withColumn(CHUNK, F.col(CHUNK) * (side + 1) + part)
+    extra = [f"{p}{j}" for j in range(len(nums)) for p in (_CUTS, _TMP + "num")]
+    return wide.drop(_CUTS, _TMP + "from", *extra)
 
 
 def _inside(by: list[str], order: list) -> Window:
@@ -107,7 +122,7 @@ def lead_value(
     (by, order) must be unique. ``firsts`` may give the first value of each (group, chunk)
     as ``__w_first`` when there is a cheaper way to it than through ``df``.
     """
-    d = with_chunk(df, order[0], side)
+    d = with_chunk(df, order, side)
     if firsts is None:
         firsts = d.groupBy(*by, CHUNK).agg(F.min_by(value, _position(order)).alias(FIRST))
     carry = firsts.select(
@@ -128,7 +143,7 @@ def lag_value(
     df: DataFrame, by: list[str], order: list[str], value: str, out: str, side: int | None = None
 ) -> DataFrame:
     """``out`` = ``value`` of the previous row of the group; null on its first row."""
-    d = with_chunk(df, order[0], side)
+    d = with_chunk(df, order, side)
     lasts = d.groupBy(*by, CHUNK).agg(F.max_by(value, _position(order)).alias(_TMP + "last"))
     carry = lasts.select(
         *by, CHUNK, F.lag(_TMP + "last").over(_across(by)).alias(_TMP + "carry")
@@ -157,7 +172,7 @@ def fill_value(
 
     Rows of a group are ordered by all ``order`` columns; ``value`` may be a struct.
     """
-    d = with_chunk(df, order[0], side)
+    d = with_chunk(df, order[:1], side)
     filled = d.filter(F.col(value).isNotNull())
     position = _position(order)
     summary = filled.groupBy(*by, CHUNK).agg(
@@ -200,7 +215,7 @@ def running_total(
     side: int | None = None,
 ) -> DataFrame:
     """``out`` = sum of ``value`` over the rows of the group up to and including this one."""
-    d = with_chunk(df.withColumn(_TMP + "val", value), order[0], side)
+    d = with_chunk(df.withColumn(_TMP + "val", value), order, side)
     sums = d.groupBy(*by, CHUNK).agg(F.sum(_TMP + "val").alias(_TMP + "sum"))
     before = _across(by).rowsBetween(Window.unboundedPreceding, -1)
     carry = sums.select(*by, CHUNK, F.sum(_TMP + "sum").over(before).alias(_TMP + "carry"))

@@ -48,40 +48,42 @@ def active_users(df: DataFrame, user: str, ts: str, by: str | None = None, unit:
     return df.groupBy(F.to_date(F.date_trunc(unit, ts)).alias("date"), segment.alias("segment")).agg(count.alias("count"))
 
 
-def sessions(df: DataFrame, user: str, ts: str, tie: str, gap_seconds: int) -> DataFrame:
+def sessions(df: DataFrame, user: str, ts: str, gap_seconds: int) -> DataFrame:
     """(user, start, end, seconds, events): a pause of ``gap_seconds`` or more ends a session.
 
     Gaps and islands instead of a session window: the events of one user are split along
-    time, so a user with a large part of the table does not end up in one task.
+    time, so a user with a large part of the table does not end up in one task. Events of a
+    user at the same instant are counted together before the first shuffle.
     """
-    e = ordered.with_chunk(df.select(user, ts, tie), ts)  # both steps share its partitioning
-    e = ordered.lag_value(e, [user], [ts, tie], ts, "__prev")
+    e = df.groupBy(user, ts).agg(F.count(F.lit(1)).alias("__n"))
+    e = ordered.with_chunk(e, [ts])  # both steps share its partitioning
+    e = ordered.lag_value(e, [user], [ts], ts, "__prev")
     pause = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("__prev").cast("timestamp"))
     first = F.col("__prev").isNull() | (pause >= gap_seconds * 1_000_000)
-    e = ordered.running_total(e, [user], [ts, tie], first.cast("bigint"), "__sid")
-    s = e.groupBy(user, "__sid").agg(F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("events"))
+    e = ordered.running_total(e, [user], [ts], first.cast("bigint"), "__sid")
+    s = e.groupBy(user, "__sid").agg(F.min(ts).alias("start"), F.max(ts).alias("end"), F.sum("__n").alias("events"))
     micros = F.unix_micros(F.col("end").cast("timestamp")) - F.unix_micros(F.col("start").cast("timestamp"))
     return s.select(user, "start", "end", (micros / 1e6).alias("seconds"), "events")
 
 
-def avg_session_length(df: DataFrame, user: str, ts: str, tie: str, gap_seconds: int) -> DataFrame:
+def avg_session_length(df: DataFrame, user: str, ts: str, gap_seconds: int) -> DataFrame:
     """(date, length): mean seconds of the sessions that start on the day."""
-    s = sessions(df, user, ts, tie, gap_seconds)
+    s = sessions(df, user, ts, gap_seconds)
     return s.groupBy(F.to_date("start").alias("date")).agg(F.avg("seconds").alias("length"))
 
 
-def session_length_distribution(df: DataFrame, user: str, ts: str, tie: str, gap_seconds: int, bounds: list[int]) -> DataFrame:
+def session_length_distribution(df: DataFrame, user: str, ts: str, gap_seconds: int, bounds: list[int]) -> DataFrame:
     """(bucket, count): sessions per length bucket; ``bounds`` are the lower bounds in seconds."""
-    s = sessions(df, user, ts, tie, gap_seconds)
+    s = sessions(df, user, ts, gap_seconds)
     label = F.lit(f"<{bounds[0]}")
     for lo, hi in zip(bounds, [*bounds[1:], None]):
         label = F.when(F.col("seconds") >= lo, F.lit(f"{lo}-{hi}" if hi else f">={lo}")).otherwise(label)
     return s.groupBy(label.alias("bucket")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def sessions_per_user(df: DataFrame, user: str, ts: str, tie: str, gap_seconds: int) -> DataFrame:
+def sessions_per_user(df: DataFrame, user: str, ts: str, gap_seconds: int) -> DataFrame:
     """(date, avg_sessions): sessions per user that started one on the day."""
-    s = sessions(df, user, ts, tie, gap_seconds)
+    s = sessions(df, user, ts, gap_seconds)
     per = s.groupBy(F.to_date("start").alias("date"), user).agg(F.count(F.lit(1)).alias("n"))
     return per.groupBy("date").agg((F.sum("n") / F.count(F.lit(1))).alias("avg_sessions"))
 

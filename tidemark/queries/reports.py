@@ -41,12 +41,12 @@ def n02(t):
 
 @query("n03_sessions", SESS + ' select user_id, "start", "end", seconds, events from s')
 def n03_sessions(t):
-    return rp.sessions(t.events, "user_id", "ts", "event_id", GAP)
+    return rp.sessions(t.events, "user_id", "ts", GAP)
 
 
 @query("n03_avg_session_length", SESS + ' select cast("start" as date) as date, round(avg(seconds), 4) as length from s group by 1')
 def n03(t):
-    return rp.avg_session_length(t.events, "user_id", "ts", "event_id", GAP).withColumn("length", F.round("length", 4))
+    return rp.avg_session_length(t.events, "user_id", "ts", GAP).withColumn("length", F.round("length", 4))
 
 
 @query(
@@ -55,7 +55,7 @@ def n03(t):
       count(*) as count from s group by 1""",
 )
 def n04(t):
-    return rp.session_length_distribution(t.events, "user_id", "ts", "event_id", GAP, [600, 3600, 36000])
+    return rp.session_length_distribution(t.events, "user_id", "ts", GAP, [600, 3600, 36000])
 
 
 @query(
@@ -63,7 +63,7 @@ def n04(t):
     SESS + """ select cast("start" as date) as date, round(count(*) / count(distinct user_id), 6) as avg_sessions from s group by 1""",
 )
 def n05(t):
-    return rp.sessions_per_user(t.events, "user_id", "ts", "event_id", GAP).withColumn("avg_sessions", F.round("avg_sessions", 6))
+    return rp.sessions_per_user(t.events, "user_id", "ts", GAP).withColumn("avg_sessions", F.round("avg_sessions", 6))
 
 
 @query("n06_events_list", "select event_type, count(*) as totals from events group by 1")
