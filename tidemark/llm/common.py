@@ -42,15 +42,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts the lineage and survives lost executors."""
     path = scratch(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
 
 
-def removed(spark: SparkSession, *tables: DataFrame) -> None:
+def removed(*tables: DataFrame) -> None:
     """Delete tables made by ``written`` that no later plan reads."""
     for t in tables:
-        for f in {x.rsplit("/", 1)[0] for x in t.inputFiles()}:
-            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        p = t.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(t._scratch)
+        p.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, quality, toxicity
+from tidemark.llm import byte_bpe, merkle, mixing, near_dup, quality, substring, toxicity
 
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents").select(*DOCUMENT))
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model = toxicity.fit(documents, labels)
@@ -24,6 +28,15 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.compared(table(spark, folder, "documents"))
+
+
+def op7_substring(spark: SparkSession, folder: str) -> DataFrame:
+    out = substring.dedup(table(spark, folder, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", "removed_chars", "removed_words", F.size("removed").cast("long").alias("n_removed"))
+
+
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -31,12 +44,17 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(table(spark, folder, "documents"), path, pattern), path, pattern))
 
 
+def op9_near_dup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, folder, "documents"))
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return quality.score(documents, quality.fit(documents, labels))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_toxicity, op8_byte_bpe, op10_quality)
+    f.__name__: f
+    for f in (op1_mixing, op3_toxicity, op4_merkle, op7_substring, op8_byte_bpe, op9_near_dup, op10_quality)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE}
