@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, merkle, mixing, near_dup, quality, substring, toxicity
+from tidemark.llm import byte_bpe, merkle, mixing, near_dup, neighbours, quality, substring, toxicity
 
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -20,6 +20,10 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents").select(*DOCUMENT))
 
 
+def op2_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model = toxicity.fit(documents, labels)
@@ -55,6 +59,6 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mixing, op3_toxicity, op4_merkle, op7_substring, op8_byte_bpe, op9_near_dup, op10_quality)
+    for f in (op1_mixing, op2_neighbours, op3_toxicity, op4_merkle, op7_substring, op8_byte_bpe, op9_near_dup, op10_quality)
 }
 ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE}
