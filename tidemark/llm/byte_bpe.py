@@ -154,3 +154,20 @@ def digests(df: DataFrame) -> DataFrame:
     return df.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids, round_trip): the ids of every text and whether decoding them gives its bytes again."""
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def make():
+        codec = Codec(read_ranks(path), pattern)
+
+        def fn(cols):
+            ids = [codec.encode(t) for t in cols[1]]
+            return [cols[0], [len(x) // 4 for x in ids], ids, [codec.decode(x) == (t or "").encode() for x, t in zip(ids, cols[1])]]
+
+        return fn
+
+    schema = f"doc_id {kind}, n_tokens bigint, ids binary, round_trip boolean"
+    return map_rows(df.select(F.col(id_col).alias("doc_id"), F.col(text_col)), make, schema)
