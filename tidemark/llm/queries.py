@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, language_model, merkle, mixing, near_dup, neighbours, quality, substring, toxicity
+from tidemark.llm import byte_bpe, language_model, licenses, merkle, mixing, near_dup, neighbours, quality, substring, toxicity
 
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -36,6 +36,10 @@ def op4_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.compared(table(spark, folder, "documents"))
 
 
+def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def op6_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score(table(spark, folder, "documents"))
 
@@ -63,6 +67,6 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mixing, op2_neighbours, op3_toxicity, op4_merkle, op6_language_model, op7_substring, op8_byte_bpe, op9_near_dup, op10_quality)
+    for f in (op1_mixing, op2_neighbours, op3_toxicity, op4_merkle, op5_licenses, op6_language_model, op7_substring, op8_byte_bpe, op9_near_dup, op10_quality)
 }
 ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE}
