@@ -1,8 +1,8 @@
 """Toxic passages (operator 3): maximum-scoring segments over token log-odds, calibrated by extreme values.
 
 Fit, on a bounded sample of labelled rows: log-odds of every token and token prefix between toxic and clean
-texts under a Dirichlet prior; tokens whose odds are significant get a positive score, all others a small
-negative one. Score: a linear scan finds every maximal scoring segment of a text; a segment's score has the
+texts under a Dirichlet prior, counted by texts, so that one text's repeats weigh no more than a word; tokens whose odds are
+significant get a positive score at their first place in a text, all others a small negative one. Score: a linear scan finds every maximal scoring segment of a text; a segment's score has the
 expected number E = K m exp(-lambda s) of equals in m clean tokens; the log expectations of the significant segments
 add up to the text's evidence, which a logistic curve (fitted on a fold that the log-odds have not seen) turns into 0 to 1.
 
@@ -15,15 +15,17 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, labelled_sample, map_rows, ship
+from tidemark.llm.common import held_out, labelled_sample, map_rows, ship, written
 
 ship(__name__)
 
@@ -33,15 +35,16 @@ SAMPLE = 32_768
 #: Prefix lengths that stand in for a token's inflected forms.
 PREFIXES = (4, 5, 6)
 #: Mass of the prior that follows the tokens' overall shares, and the mass added to each token.
-PRIOR, FLOOR = 100.0, 0.5
-#: Standard errors above zero from which a token counts, and those taken off its score.
-Z_MIN, Z_OFF = 3.0, 2.0
+PRIOR, FLOOR = 10.0, 0.5
+#: Standard errors above zero from which a token counts, those taken off its score, and the least score left.
+Z_MIN, Z_OFF, LEAST = 3.3, 2.0, 1.0
 #: Score of any other token.
 DRIFT = -0.25
 THRESHOLD = 0.3
 #: Distinct tokens remembered by a task.
 REMEMBERED = 200_000
 WORD = r"\w+"
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
@@ -60,8 +63,31 @@ def features(word: str) -> list[str]:
     return ["w:" + word, *("p:" + word[:k] for k in PREFIXES if len(word) > k)]
 
 
+def copy_keys(text: str | None) -> list[int]:
+    """Four minhashes of the text's shingles of five words; near copies agree in some."""
+    words = [zlib.crc32(w) for w in (text or "").encode().lower().split()]
+    h = np.array(words + [0] * max(0, 5 - len(words)), np.uint64)
+    z = h[: len(h) - 4].copy()
+    for k in range(1, 5):
+        z = z * _MIX + h[k : len(h) - 4 + k]
+    z ^= z >> np.uint64(32)
+    return [int((z * m).min().astype(np.int64)) for m in (_MIX * np.arange(1, 9, 2, dtype=np.uint64))]
+
+
+def without_copies(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The ids that are the least with each of their keys."""
+    keep = np.ones(len(ids), bool)
+    order = np.argsort(ids, kind="stable")
+    for column in keys.T:
+        _, first = np.unique(column[order], return_index=True)
+        least = np.zeros(len(ids), bool)
+        least[order[first]] = True
+        keep &= least
+    return ids[keep]
+
+
 def count_tokens(rows: DataFrame) -> DataFrame:
-    """(token, clean, toxic): occurrences by label of all features of ``rows`` (text, label)."""
+    """(token, clean, toxic): texts by label that hold a feature, of ``rows`` (text, label); all texts under the token "n:"."""
 
     def make():
         counts: Counter = Counter()
@@ -73,11 +99,14 @@ def count_tokens(rows: DataFrame) -> DataFrame:
             return out
 
         def fn(cols):
+            out: list[list] = [[], [], []]
             for text, label in zip(*cols):
-                for word, n in Counter(re.findall(WORD, (text or "").lower())).items():
-                    for f in features(word):
-                        counts[f, label] += n
-            return drain() if len(counts) > 300_000 else []
+                own = {f for word in set(re.findall(WORD, (text or "").lower())) for f in features(word)}
+                counts.update((f, label) for f in own)
+                counts["n:", label] += 1
+                if len(counts) > 300_000:
+                    out = [a + b for a, b in zip(out, drain())]
+            return out
 
         fn.rest = drain
         return fn
@@ -88,17 +117,14 @@ def count_tokens(rows: DataFrame) -> DataFrame:
 
 def significant(counts: DataFrame) -> DataFrame:
     """(token, score) of the tokens whose log-odds exceed zero by ``Z_MIN`` standard errors."""
-    kinds = counts.groupBy(F.substring("token", 1, 1).alias("kind")).agg(
-        F.sum("clean").alias("all_clean"), F.sum("toxic").alias("all_toxic")
-    )
-    rows = counts.filter("toxic > 1").withColumn("kind", F.substring("token", 1, 1)).join(F.broadcast(kinds), "kind")
+    texts = counts.filter("token = 'n:'").select(F.col("clean").alias("all_clean"), F.col("toxic").alias("all_toxic"))
+    rows = counts.filter("toxic > 1 and token <> 'n:'").join(F.broadcast(texts))  # texts is one row
     share = F.lit(PRIOR) * (F.col("clean") + F.col("toxic")) / (F.col("all_clean") + F.col("all_toxic")) + FLOOR
     a, b = F.col("toxic") + share, F.col("clean") + share
-    delta = F.log(a / (F.col("all_toxic") + PRIOR - F.col("toxic") + 1)) - F.log(b / (F.col("all_clean") + PRIOR - F.col("clean") + 1))
+    delta = F.log(a / (F.col("all_toxic") - F.col("toxic") + PRIOR)) - F.log(b / (F.col("all_clean") - F.col("clean") + PRIOR))
     error = F.sqrt(1 / a + 1 / b)
-    return rows.withColumn("delta", delta).withColumn("error", error).filter(F.col("delta") > Z_MIN * F.col("error")).select(
-        "token", (F.col("delta") - Z_OFF * F.col("error")).alias("score")
-    )
+    found = rows.withColumn("delta", delta).withColumn("error", error).filter(F.col("delta") > Z_MIN * F.col("error"))
+    return found.select("token", (F.col("delta") - Z_OFF * F.col("error")).alias("score")).filter(F.col("score") >= LEAST)
 
 
 def maximal_segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[int, int, float]]:
@@ -132,8 +158,12 @@ class Scanner:
     def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
         """(number of tokens, segments in token positions)."""
         words = re.findall(WORD, (text or "").lower())
-        get = self.known.__getitem__
-        return len(words), maximal_segments([(i, s) for i, s in enumerate(map(get, words)) if s], DRIFT)
+        hits, seen = [], set()
+        for i, s in enumerate(map(self.known.__getitem__, words)):
+            if s and words[i] not in seen:
+                seen.add(words[i])
+                hits.append((i, s))
+        return len(words), maximal_segments(hits, DRIFT)
 
     def evidence(self, tokens: int, score: float) -> float:
         """Minus the log of the expected number of clean segments that score as much; 0 if that is 1 or more."""
@@ -180,10 +210,16 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
-    """A model from at most ``bound`` labelled rows outside the held-out fold; three quarters give the odds,
-    the rest the calibration."""
+    """A model from at most ``bound`` labelled rows outside the held-out fold, of near copies one; three quarters give
+    the odds, the rest the calibration."""
     chosen = labelled_sample(labels, "toxic", FOLDS, FOLD, bound)
-    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = written(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxicity")
+    make_keys = lambda: lambda cols: [cols[0], [copy_keys(t) for t in cols[1]]]
+    keys = map_rows(rows.select("doc_id", "text"), make_keys, "doc_id bigint, keys array<bigint>").toArrow()
+    single = without_copies(np.array(keys["keys"].to_pylist(), np.int64).reshape(-1, 4), np.asarray(keys["doc_id"], np.int64))
+    spark = documents.sparkSession
+    single = spark.createDataFrame(pa.table({"doc_id": pa.array(single, pa.int64())}))  # at most ``bound`` ids
+    rows = rows.join(F.broadcast(single), "doc_id", "left_semi")
     calibration = F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(4)) == 0
     model = Model()
     model.odds = {r.token: r.score for r in significant(count_tokens(rows.filter(~calibration))).collect()}
