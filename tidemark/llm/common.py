@@ -23,6 +23,14 @@ def ship(module: str) -> None:
 ship(__name__)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """True where crc32 of the id's text modulo ``folds`` is ``fold``; a null id is never held out."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)) == fold, F.lit(False))

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import fresh
+
 #: Sources whose table of rates is sent to every task, at most; more are joined by a shuffle.
 BROADCAST_SOURCES = 100_000
 _BITS = 52
@@ -62,15 +64,16 @@ def mix(
 ) -> DataFrame:
     """``docs`` repeated to the target weights (source, weight), in shuffled order."""
     docs = docs.drop("copy", "shuffle_key")
-    found = rates(docs, weights, epochs, temperature).withColumnRenamed("source", "_source").withColumnRenamed("rate", "_rate")
+    source, rate, times = (fresh(docs, c) for c in ("_source", "_rate", "_times"))
+    found = rates(docs, weights, epochs, temperature).toDF(source, rate)
     if found.count() <= BROADCAST_SOURCES:
         found = F.broadcast(found)
-    keyed = docs.withColumn("_source", F.coalesce("source", F.lit("\0null"))).join(found, "_source")
-    times = keyed.withColumn("_times", poisson(uniform(seed, F.col("doc_id")), F.col("_rate"))).filter("_times > 0")
-    copies = times.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    keyed = docs.withColumn(source, F.coalesce("source", F.lit("\0null"))).join(found, source)
+    drawn = keyed.withColumn(times, poisson(uniform(seed, F.col("doc_id")), F.col(rate))).filter(F.col(times) > 0)
+    copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(times))))
     key = F.md5(F.concat_ws("|", F.lit(f"order {seed}"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy").cast("string")))
     return (
-        copies.withColumn("shuffle_key", key).drop("_source", "_rate", "_times")
+        copies.withColumn("shuffle_key", key).select(*docs.columns, "copy", "shuffle_key")
         .repartition("shuffle_key").sortWithinPartitions("shuffle_key")
     )
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, removed, ship, written
+from tidemark.llm.common import fresh, map_rows, removed, ship, written
 from tidemark.llm.components import components
 
 ship(__name__)
@@ -240,10 +240,10 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     or without any id in their group; all columns stay."""
     found = written(_members(docs), "members")
     stays = found.filter(F.col("kept") | (F.col("n_shingles") == 0) | F.col("component_id").isNull())
-    keyed = docs.withColumn("_key", row_key())
-    out = keyed.join(stays.select("_key").distinct(), "_key", "left_semi")
-    several = found.filter("n_shingles > 0").groupBy("_key").count().filter("count > 1").select("_key")
+    key = fresh(docs, "_key")
+    out = docs.withColumn(key, row_key()).join(stays.select(F.col("_key").alias(key)).distinct(), key, "left_semi")
+    several = found.filter("n_shingles > 0").groupBy("_key").count().filter("count > 1").select(F.col("_key").alias(key))
     if not several.isEmpty():
-        twice = out.join(several, "_key", "left_semi").dropDuplicates(["_key"])
-        out = out.join(several, "_key", "left_anti").unionByName(twice)
-    return out.drop("_key")
+        twice = out.join(several, key, "left_semi").dropDuplicates([key])
+        out = out.join(several, key, "left_anti").unionByName(twice)
+    return out.select(*docs.columns)

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, ship
+from tidemark.llm.common import fresh, map_rows, ship
 
 ship(__name__)
 
@@ -115,8 +115,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages taken out of ``text``, and ``removed_chars``, ``removed_words``, ``removed``: their
     ranges in code points of the old text."""
     docs = docs.drop("removed_chars", "removed_words", "removed")
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    joined = keyed.join(repeated_chunks(keyed), "_key", "left").drop("_key")
+    key, found = fresh(docs, "_key"), fresh(docs, "_digests")
+    row = F.xxhash64("doc_id", "text")
+    repeated = repeated_chunks(docs.select("doc_id", "text", row.alias("_key"))).toDF(key, found)
+    joined = docs.withColumn(key, row).join(repeated, key, "left")
     names = [c for c in docs.columns if c != "text"]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
 
@@ -145,7 +147,7 @@ def dedup(docs: DataFrame) -> DataFrame:
         return fn
 
     out = map_rows(
-        joined.select(*names, "text", "_digests"), make,
+        joined.select(*names, "text", found), make,
         f"{schema}, text string, removed_chars bigint, removed_words bigint, removed array<struct<start:bigint,end:bigint>>",
     )
     return out.select(*docs.columns, "removed_chars", "removed_words", "removed")
