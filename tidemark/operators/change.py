@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,12 +80,15 @@ def scd2_versions(feed: DataFrame, keys: list[str], seq: str, deleted: str | Non
     """One row per (key, sequence) with ``__START_AT`` and ``__END_AT`` (the next sequence of
     the key, deletes included). Repeats collapse, ties are decided.
 
-    Copies collapse before the first shuffle, so a group of copies of any size costs each
-    task one row; the second shuffle, by (key, chunk), serves the interval window and the
-    join with the chunk borders. Cut points and borders come from scans of the keys and the
-    sequence alone.
+    Copies collapse before the first shuffle, so a group of copies of any size costs each task one row. Rows of
+    keys that are not hot are shuffled once, by key: the same partitioning serves the collapse and the interval window.
     """
-    cut = ordered.with_chunk(feed, [seq])
+    cuts = ordered.hot_cuts(feed, keys, [seq], ordered.default_parts(feed))
+    if not cuts:
+        events = latest(feed.repartition(*keys), [*keys, seq], seq, deleted, feed.columns)
+        out = events.withColumn(END_AT, F.lead(seq).over(Window.partitionBy(*keys).orderBy(seq)))
+        return out.withColumn(START_AT, F.col(seq))
+    cut = ordered.chunked(feed, keys, [seq], cuts)
     chunk = [*keys, ordered.CHUNK]
     events = latest(cut, [*chunk, seq], seq, deleted, feed.columns)
     firsts = cut.groupBy(*chunk).agg(F.min(seq).alias(ordered.FIRST))

@@ -1,95 +1,101 @@
 """Ordered (window-like) operators that split a hot group over many tasks.
 
-A plain ``Window.partitionBy(key)`` puts all rows of one key in one task. Here rows are
-first cut into chunks along the order column at approximate quantiles of the *whole*
-column, so no (key, chunk) group can hold more than about 1/n of the table, however the
-keys are distributed; n follows the number of shuffle partitions. The window runs inside each (key, chunk); what must cross a chunk
-border (last value, next value, running total) comes from a per-chunk summary.
+A plain ``Window.partitionBy(key)`` puts all rows of one key in one task. A bounded sample of keys and order values
+tells which keys hold more rows than one of ``parts`` tasks should get (``parts``: the number of shuffle partitions) and where
+to cut them. Without such keys the operators are plain windows. Otherwise the rows of hot keys are cut into chunks along
+all order columns; the window runs inside each (key, chunk), and what must cross a chunk border (last value, next
+value, running total) comes from a per-chunk summary. The sample decides borders only, never results.
 
 A frame that already has ``__chunk`` (from ``with_chunk``) is used as it is and keeps it, so
 several operators on one frame share one partitioning.
 
-Group columns must be non-null (they are keys). The first two order columns must be numeric,
-date, timestamp or string and non-null.
+Group columns must be non-null (they are keys), order columns non-null and of a type with a literal.
 """
 
 from __future__ import annotations
 
-import math
-from functools import reduce
+from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK = "__chunk"
-_CUTS = "__cuts"
 _TMP = "__w_"
 FIRST = _TMP + "first"
-MIN_SIDE, MAX_SIDE = 4, 64  # chunks = side * side
+#: Sampled rows for each part. The sample goes to the driver: this many times the parts, whatever the table's size.
+SAMPLED = 40
 
 
-def _number_for(df: DataFrame, name: str) -> Column:
-    """A column percentile_approx accepts, non-decreasing in ``name``."""
-    kind = dict(df.dtypes)[name]
-    if kind == "string":
-        # first 7 bytes as an integer: ordered like the string itself, ties share a chunk
-        head = F.rpad(F.substring(F.hex(F.col(name)), 1, 14), 14, "0")
-        return F.conv(head, 16, 10).cast("bigint")
-    if kind == "timestamp_ntz":
-        return F.col(name).cast("timestamp")
-    return F.col(name)
+def default_parts(df: DataFrame) -> int:
+    """One part per shuffle partition: what the cluster is set up for is also the size one hot
+    group must be cut down to."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def default_side(df: DataFrame) -> int:
-    """About one chunk per shuffle partition: what the cluster is set up for is also the size
-    one hot group must be cut down to."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(MAX_SIDE, max(MIN_SIDE, math.isqrt(max(parts - 1, 0)) + 1))
+def hot_cuts(df: DataFrame, by: list[str], order: list[str], parts: int) -> dict[int, list[tuple]]:
+    """Hash of each hot key -> ascending order values at which its rows are cut.
 
-
-def _rank(cut: Column, value: Column, count: int, start: Column | int = 0) -> Column:
-    """How many of ``count`` cut points after ``start`` lie below ``value``."""
-    parts = [F.when(F.get(cut, F.lit(start) + i) < value, 1).otherwise(0) for i in range(count)]
-    return reduce(lambda a, b: a + b, parts)
-
-
-def with_chunk(df: DataFrame, order: list[str], side: int | None = None) -> DataFrame:
-    """Add ``__chunk``: a number that never decreases along the order.
-
-    The cut points are small arrays (side² - 1 values of the first order column, side - 1 of
-    the second) computed by one aggregate and read as a scalar subquery; nothing is
-    collected. A value of the first column so frequent that it is a cut point itself is
-    divided along the second. ``side=1`` keeps one chunk.
+    One count and one Bernoulli sample over the key and order columns alone.
     """
+    narrow = df.select(_key(by).alias("__key"), *order)
+    rows = narrow.count()
+    if rows <= parts or parts <= 1:
+        return {}
+    wanted = SAMPLED * parts
+    taken = narrow if rows <= wanted else narrow.sample(wanted / rows, seed=11)
+    found: dict[int, list[tuple]] = defaultdict(list)
+    seen = 0
+    for r in taken.orderBy(*order).collect():
+        found[r[0]].append(tuple(r[1:]))
+        seen += 1
+    cuts = {}
+    for key, values in found.items():
+        pieces = -(-len(values) * parts // max(seen, 1))
+        if pieces > 1 and len(values) > SAMPLED / 2:
+            cuts[key] = list(dict.fromkeys(values[len(values) * k // pieces] for k in range(1, pieces)))
+    return cuts
+
+
+def _key(by: list[str]) -> Column:
+    return F.xxhash64(*by) if by else F.lit(0).cast("bigint")
+
+
+def _position_of(df: DataFrame, order: list[str], values: tuple | None = None) -> Column:
+    """The order columns, or a cut, as one comparable struct."""
+    kinds = dict(df.dtypes)
+    cols = [F.col(c) for c in order] if values is None else [F.lit(v).cast(kinds[c]) for c, v in zip(order, values)]
+    return F.struct(*[x.alias(f"o{i}") for i, x in enumerate(cols)])
+
+
+def with_chunk(df: DataFrame, by: list[str], order: list[str], parts: int | None = None) -> DataFrame:
+    """Add ``__chunk``: a number that never decreases along the order within a group; 0 for all rows of
+    groups that are not hot."""
     if CHUNK in df.columns:
         return df
-    side = side or default_side(df)
-    if side <= 1:
+    return chunked(df, by, order, hot_cuts(df, by, order, parts or default_parts(df)))
+
+
+def chunked(df: DataFrame, by: list[str], order: list[str], cuts: dict[int, list[tuple]]) -> DataFrame:
+    if not cuts:
         return df.withColumn(CHUNK, F.lit(0))
-    n = side * side
-    nums = [_number_for(df, c) for c in order[:2]]
-    steps = [n, side]
-    quantiles = [
-        F.percentile_approx(v, [i / k for i in range(1, k)], 50 * n).alias(f"q{j}") for j, (v, k) in enumerate(zip(nums, steps))
-    ]
-    cuts = df.agg(F.struct(*quantiles).alias("q")).scalar()
-    wide = df.select("*", cuts.alias(_CUTS), *[v.alias(f"{_TMP}num{j}") for j, v in enumerate(nums)])
-    wide = wide.select("*", *[F.col(_CUTS)[f"q{j}"].alias(f"{_CUTS}{j}") for j in range(len(nums))])
-    first, value = F.col(_CUTS + "0"), F.col(_TMP + "num0")
-    # two rounds of ``side`` comparisons instead of side²
-    coarse = reduce(
-        lambda a, b: a + b, [F.when(F.get(first, F.lit(side * i - 1)) < value, 1).otherwise(0) for i in range(1, side)]
-    )
-    wide = wide.withColumn(_TMP + "from", coarse * side)
-    start = F.col(_TMP + "from")
-    wide = wide.withColumn(CHUNK, start + _rank(first, value, side - 1, start))
-    if len(nums) > 1:
-        # rows equal to the cut point that ends their chunk come last in it
-        at_cut = F.get(first, F.col(CHUNK)).eqNullSafe(value)
-        part = F.when(at_cut, 1 + _rank(F.col(_CUTS + "1"), F.col(_TMP + "num1"), side - 1)).otherwise(0)
-        wide = wide.withColumn(CHUNK, F.col(CHUNK) * (side + 1) + part)
-    extra = [f"{p}{j}" for j in range(len(nums)) for p in (_CUTS, _TMP + "num")]
-    return wide.drop(_CUTS, _TMP + "from", *extra)
+    # constants: at most two cuts for each part
+    entries = [x for k, v in cuts.items() for x in (F.lit(k).cast("bigint"), F.array_sort(F.array(*[_position_of(df, order, c) for c in v])))]
+    own = F.element_at(F.create_map(*entries), _key(by))
+    longest = max(map(len, cuts.values()))
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(longest.bit_length()))])
+    here = _position_of(df, order)
+    at = F.aggregate(
+        steps, F.lit(0), lambda a, step: F.when(F.get(own, a + step - 1) <= here, a + step).otherwise(a)
+    )  # binary search
+    return df.withColumn(CHUNK, F.when(own.isNull(), F.lit(0)).otherwise(at))
+
+
+def _cut(df: DataFrame, by: list[str], order: list[str], parts: int | None) -> tuple[DataFrame, bool]:
+    """(frame with chunks, whether there can be more than one for a group)."""
+    if CHUNK in df.columns:
+        return df, True
+    cuts = hot_cuts(df, by, order, parts or default_parts(df))
+    return chunked(df, by, order, cuts), bool(cuts)
 
 
 def _inside(by: list[str], order: list) -> Window:
@@ -101,7 +107,7 @@ def _position(order: list[str]) -> Column:
 
 
 def _across(by: list[str]) -> Window:
-    # one row per (group, chunk): at most side² rows for any group
+    # one row per (group, chunk): at most as many rows as parts for any group
     return Window.partitionBy(*by).orderBy(CHUNK)
 
 
@@ -115,14 +121,16 @@ def _finish(df: DataFrame, given: DataFrame, *temporary: str) -> DataFrame:
 
 
 def lead_value(
-    df: DataFrame, by: list[str], order: list[str], value: str, out: str, side: int | None = None, firsts: DataFrame | None = None
+    df: DataFrame, by: list[str], order: list[str], value: str, out: str, parts: int | None = None, firsts: DataFrame | None = None
 ) -> DataFrame:
     """``out`` = ``value`` of the next row of the group; null on its last row.
 
     (by, order) must be unique. ``firsts`` may give the first value of each (group, chunk)
     as ``__w_first`` when there is a cheaper way to it than through ``df``.
     """
-    d = with_chunk(df, order, side)
+    d, hot = _cut(df, by, order, parts)
+    if not hot:
+        return df.withColumn(out, F.lead(value).over(Window.partitionBy(*by).orderBy(*order)))
     if firsts is None:
         firsts = d.groupBy(*by, CHUNK).agg(F.min_by(value, _position(order)).alias(FIRST))
     carry = firsts.select(
@@ -140,10 +148,12 @@ def lead_value(
 
 
 def lag_value(
-    df: DataFrame, by: list[str], order: list[str], value: str, out: str, side: int | None = None
+    df: DataFrame, by: list[str], order: list[str], value: str, out: str, parts: int | None = None
 ) -> DataFrame:
     """``out`` = ``value`` of the previous row of the group; null on its first row."""
-    d = with_chunk(df, order, side)
+    d, hot = _cut(df, by, order, parts)
+    if not hot:
+        return df.withColumn(out, F.lag(value).over(Window.partitionBy(*by).orderBy(*order)))
     lasts = d.groupBy(*by, CHUNK).agg(F.max_by(value, _position(order)).alias(_TMP + "last"))
     carry = lasts.select(
         *by, CHUNK, F.lag(_TMP + "last").over(_across(by)).alias(_TMP + "carry")
@@ -166,13 +176,20 @@ def fill_value(
     value: str,
     out_last: str | None = None,
     out_next: str | None = None,
-    side: int | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Nearest non-null ``value`` at or before (``out_last``) / at or after (``out_next``) a row.
 
     Rows of a group are ordered by all ``order`` columns; ``value`` may be a struct.
     """
-    d = with_chunk(df, order[:1], side)
+    d, hot = _cut(df, by, order, parts)
+    if not hot:
+        w = Window.partitionBy(*by).orderBy(*order)
+        if out_last:
+            df = df.withColumn(out_last, F.last(value, True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        if out_next:
+            df = df.withColumn(out_next, F.first(value, True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+        return df
     filled = d.filter(F.col(value).isNotNull())
     position = _position(order)
     summary = filled.groupBy(*by, CHUNK).agg(
@@ -212,10 +229,13 @@ def running_total(
     order: list[str],
     value: Column,
     out: str,
-    side: int | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """``out`` = sum of ``value`` over the rows of the group up to and including this one."""
-    d = with_chunk(df.withColumn(_TMP + "val", value), order, side)
+    d, hot = _cut(df.withColumn(_TMP + "val", value), by, order, parts)
+    if not hot:
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.sum(value).over(w))
     sums = d.groupBy(*by, CHUNK).agg(F.sum(_TMP + "val").alias(_TMP + "sum"))
     before = _across(by).rowsBetween(Window.unboundedPreceding, -1)
     carry = sums.select(*by, CHUNK, F.sum(_TMP + "sum").over(before).alias(_TMP + "carry"))
@@ -227,9 +247,9 @@ def running_total(
 
 
 def row_index(
-    df: DataFrame, by: list[str], order: list[str], out: str, side: int | None = None
+    df: DataFrame, by: list[str], order: list[str], out: str, parts: int | None = None
 ) -> DataFrame:
     """``out`` = 0-based position of the row in its group under the total order ``order``."""
-    return running_total(df, by, order, F.lit(1).cast("bigint"), out, side).withColumn(
+    return running_total(df, by, order, F.lit(1).cast("bigint"), out, parts).withColumn(
         out, F.col(out) - 1
     )

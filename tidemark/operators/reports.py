@@ -56,7 +56,7 @@ def sessions(df: DataFrame, user: str, ts: str, gap_seconds: int) -> DataFrame:
     user at the same instant are counted together before the first shuffle.
     """
     e = df.groupBy(user, ts).agg(F.count(F.lit(1)).alias("__n"))
-    e = ordered.with_chunk(e, [ts])  # both steps share its partitioning
+    e = ordered.with_chunk(e, [user], [ts])  # both steps share its partitioning
     e = ordered.lag_value(e, [user], [ts], ts, "__prev")
     pause = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("__prev").cast("timestamp"))
     first = F.col("__prev").isNull() | (pause >= gap_seconds * 1_000_000)
