@@ -85,12 +85,37 @@ def test_cursor_key_orders_mixed_renderings(spark):
     ]
 
 
-def test_dedup_reemits_changed_and_evicted_rows(spark):
-    df = spark.createDataFrame([(i, i, "a") for i in range(10)], "id int, c int, v string")
-    seen = cur.remember(df, ["id"], "c", cap=4)
-    assert _ids(cur.lookback_dedup(df, seen, ["id"])) == [0, 1, 2, 3, 4, 5]
-    changed = df.withColumn("v", F.when(F.col("id") == 9, "b").otherwise(F.col("v")))
-    assert _ids(cur.lookback_dedup(changed, seen, ["id"])) == [0, 1, 2, 3, 4, 5, 9]
+def test_dedup_reemits_changed_rows_and_forgets_nothing_in_reach(spark):
+    df = spark.range(20_000).select("id", F.col("id").alias("c"), F.lit("a").alias("v"))
+    seen = cur.remember(df, ["id"], "c", horizon=5_000)
+    overlap = df.filter("c > 5000")
+    assert seen.count() == 14_999 and cur.lookback_dedup(overlap, seen, ["id"]).count() == 0
+    changed = overlap.withColumn("v", F.when(F.col("id") == 9_000, "b").otherwise(F.col("v")))
+    assert _ids(cur.lookback_dedup(changed, seen, ["id"])) == [9_000]
+
+
+def test_numbers_order_exactly(spark):
+    import decimal
+    import random
+
+    rng = random.Random(1)
+    texts = ["1.00000000001", "1.00000000002", "0", "-0.0", "+.5", "5.", "1e400", "-1e400", "12345678901234567890123456789012", "1E-30"]
+    texts += [f"{rng.choice(['', '-', '+'])}{rng.randrange(10**rng.randrange(1, 40))}.{rng.randrange(10**rng.randrange(1, 40))}e{rng.randrange(-30, 30)}" for _ in range(200)]
+    df = spark.createDataFrame([(t,) for t in texts], "c string").withColumn("k", cursor_key(F.col("c")))
+    assert df.filter("k.family <> 1").count() == 0
+    got = [decimal.Decimal(r["c"]) for r in df.orderBy("k").collect()]
+    assert got == sorted(got)
+    same = df.alias("a").join(df.alias("b"), F.col("a.k") == F.col("b.k")).select("a.c", F.col("b.c").alias("d")).collect()
+    assert all(decimal.Decimal(r["c"]) == decimal.Decimal(r["d"]) for r in same)
+    kept = cur.refilter_fail_open(df.select("c"), "c", "1.00000000001")
+    assert {r["c"] for r in kept.collect()} == {t for t in texts if decimal.Decimal(t) > decimal.Decimal("1.00000000001")}
+
+
+def test_a_cursor_type_without_floor_fails_on_null(spark):
+    df = spark.createDataFrame([(1, True)], "id int, c boolean")
+    assert cur.cursor_nulls(df, "c", ["id"]).count() == 1
+    with pytest.raises(Exception, match="null cursor"):
+        cur.cursor_nulls(spark.createDataFrame([(1, None)], "id int, c boolean"), "c", ["id"]).collect()
 
 
 def test_groups_advance_independently(spark):

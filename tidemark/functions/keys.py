@@ -8,23 +8,42 @@ from pyspark.sql import functions as F
 # Fixed patterns: extended ISO-8601 date-time, decimal number.
 ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}"
 FRACTION = r"[T ]\d{2}:\d{2}:\d{2}\.(\d+)"
-NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
-FRACTION_DIGITS = 18
+NUMBER = r"^\s*([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?\s*$"
+
+
+def _number(text: Column) -> Column:
+    """Comparable struct in the order of exact decimal values of any length; null if ``text`` is no number.
+
+    sign, then the place of the leading digit, then all significant digits as text. For negative numbers
+    place and digits are turned round, with an end mark above all digits.
+    """
+    whole, part = F.regexp_extract(text, NUMBER, 2), F.regexp_extract(text, NUMBER, 3)
+    power = F.coalesce(F.nullif(F.regexp_extract(text, NUMBER, 4), F.lit("")).try_cast("bigint"), F.lit(0))
+    digits = F.concat(whole, part)
+    leading = F.regexp_replace(digits, "^0+", "")
+    place = F.length(whole) - (F.length(digits) - F.length(leading)) + power
+    body = F.regexp_replace(leading, "0+$", "")
+    minus = F.regexp_extract(text, NUMBER, 1) == "-"
+    huge = F.length(F.regexp_extract(text, NUMBER, 4)) > 17  # exponents beyond any place
+    value = (
+        F.when(leading == "", F.struct(F.lit(0).alias("sign"), F.lit(0).cast("bigint").alias("place"), F.lit("").alias("digits")))
+        .when(minus, F.struct(F.lit(-1).alias("sign"), (-place).cast("bigint").alias("place"), F.concat(F.translate(body, "0123456789", "9876543210"), F.lit("~")).alias("digits")))
+        .otherwise(F.struct(F.lit(1).alias("sign"), place.cast("bigint").alias("place"), body.alias("digits")))
+    )
+    return F.when(text.rlike(NUMBER) & (digits != "") & ~huge, value)
 
 
 def cursor_key(c: Column) -> Column:
     """Comparable struct: time order for ISO texts, exact value for numbers, else raw order.
 
-    Fields: family (0 raw, 1 number, 2 time), ts, fraction digits padded to one width (so
-    sub-microsecond digits still order), num, raw. Fields outside the family are null, and
-    so are the raw texts of times and numbers: two renderings of one instant are equal.
+    Fields: family (0 raw, 1 number, 2 time), ts, fraction digits without trailing zeros (so
+    sub-microsecond digits of any length still order), num, raw. Fields outside the family are null, and
+    so are the raw texts of times and numbers: two renderings of one instant or number are equal.
     """
     text = c.cast("string")
     ts = F.when(text.rlike(ISO_SHAPE), F.try_to_timestamp(text))
-    num = F.when(ts.isNull() & text.rlike(NUMBER), F.trim(text).try_cast("decimal(38,10)"))
-    frac = F.when(
-        ts.isNotNull(), F.rpad(F.regexp_extract(text, FRACTION, 1), FRACTION_DIGITS, "0")
-    )
+    num = F.when(ts.isNull(), _number(text))
+    frac = F.when(ts.isNotNull(), F.regexp_replace(F.regexp_extract(text, FRACTION, 1), "0+$", ""))
     family = F.when(ts.isNotNull(), 2).when(num.isNotNull(), 1).otherwise(0)
     return F.struct(
         family.alias("family"),

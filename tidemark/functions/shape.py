@@ -86,11 +86,25 @@ def empty_struct_to_null(c: Column, kind: T.DataType) -> Column:
     return c
 
 
-def strip_meta_keys(body: Column, depth: int = 4) -> Column:
+def json_depth(df: DataFrame, body: str | Column) -> int:
+    """How deep brackets nest in the JSON texts of a column: one aggregate over the table."""
+    c = F.col(body) if isinstance(body, str) else body
+    bare = F.regexp_replace(F.regexp_replace(c, r'"(?:[^"\\\\]|\\\\.)*+"', ""), r"[^\[\]{}]", "")
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("top"))
+
+    def step(s: Column, ch: Column) -> Column:
+        at = s["at"] + F.when(ch.isin("[", "{"), 1).otherwise(-1)
+        return F.struct(at.alias("at"), F.greatest(s["top"], at).alias("top"))
+
+    deep = F.aggregate(F.filter(F.split(bare, ""), lambda x: x != ""), start, step, lambda s: s["top"])
+    return df.agg(F.max(deep)).first()[0] or 0
+
+
+def strip_meta_keys(body: Column, depth: int) -> Column:
     """JSON text without metadata: ``__*`` keys, keys with ``@``, deferred links.
 
     Nested objects that carry ``__metadata`` are entities and are cleaned too, ``depth``
-    levels down. Result: JSON text.
+    levels down; ``json_depth`` gives the levels that a column has. Result: JSON text.
     """
 
     def clean(v: Column, level: int) -> Column:

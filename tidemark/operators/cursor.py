@@ -312,12 +312,14 @@ def skip_unmodified(df: DataFrame, state: DataFrame, key: str, modified: str) ->
 # --- null cursors -----------------------------------------------------------------------
 
 
-def cursor_nulls(df: DataFrame, c: str, keys: list[str], mode: str = "coalesce", out: str = "__cursor") -> DataFrame:
+def cursor_nulls(df: DataFrame, c: str, keys: list[str], mode: str | None = None, out: str = "__cursor") -> DataFrame:
     """Add ``out``, the cursor used for filtering; the emitted column keeps its nulls.
 
     ``coalesce[:YYYY]``: a typed floor below every real value, spread per key for
-    timestamps. ``error``: fail on a null. ``ignore``: drop the row.
+    timestamps. ``error``: fail on a null. ``ignore``: drop the row. A type without a floor
+    (boolean, binary) falls back to ``error`` unless ``coalesce`` was asked for.
     """
+    asked = mode is not None
     word, _, year = (mode or "coalesce").strip().lower().partition(":")
     if word not in ("coalesce", "error", "ignore"):
         raise ValueError(f"cursor_nulls must be coalesce, error or ignore, got {mode!r}")
@@ -326,6 +328,8 @@ def cursor_nulls(df: DataFrame, c: str, keys: list[str], mode: str = "coalesce",
     if word == "ignore":
         return df.filter(F.col(c).isNotNull()).withColumn(out, F.col(c))
     kind = df.schema[c].dataType
+    if not asked and isinstance(kind, (T.BooleanType, T.BinaryType)):
+        word = "error"
     if word == "error":
         fail = F.raise_error(F.lit(f"null cursor in {c}")).cast(kind)
         return df.withColumn(out, F.when(F.col(c).isNull(), fail).otherwise(F.col(c)))
@@ -363,18 +367,21 @@ def lookback_dedup(df: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame
     """Drop overlap rows already delivered: same key and same full-row hash.
 
     ``seen`` is (keys..., row_hash). An exact anti-join: a changed row has a new hash and
-    is emitted again; so is one whose entry was evicted from ``seen``.
+    is emitted again.
     """
     hashed = df.withColumn("row_hash", row_digest(df.columns))
     return hashed.join(seen.select(*keys, "row_hash"), [*keys, "row_hash"], "left_anti").drop("row_hash")
 
 
-def remember(df: DataFrame, keys: list[str], c: str, seen: DataFrame | None = None, cap: int = 5000) -> DataFrame:
-    """(keys..., row_hash, cursor) to remember: the newest ``cap`` entries, one per key."""
+def remember(df: DataFrame, keys: list[str], c: str, seen: DataFrame | None = None, horizon=None) -> DataFrame:
+    """(keys..., row_hash, cursor) to remember, one entry per key: all those after ``horizon``, the start of
+    the next read's lookback. Older rows are not read again, so nothing is forgotten that could come back."""
     mine = df.select(*keys, row_digest(df.columns).alias("row_hash"), F.col(c).alias("cursor"))
     both = mine if seen is None else mine.unionByName(seen)
+    if horizon is not None:
+        both = both.filter(F.col("cursor").isNull() | (F.col("cursor") > _lit(horizon)))
     newest = both.groupBy(*keys).agg(F.max(F.struct("cursor", "row_hash")).alias("e"))
-    return newest.select(*keys, "e.row_hash", "e.cursor").orderBy(F.desc("cursor"), *keys).limit(cap)
+    return newest.select(*keys, "e.row_hash", "e.cursor")
 
 
 def filter_ignored(df: DataFrame, c: str, since) -> DataFrame:

@@ -12,9 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import checkpointed
+from tidemark.session import checkpointed, discard
 
-MAX_DEPTH = 10
 
 
 def _prefixed(df: DataFrame, cols: list[str], prefix: str) -> list[Column]:
@@ -132,12 +131,12 @@ def flatten_expand(df: DataFrame, levels: list[tuple[str, list[str]]]) -> DataFr
     return here.select(*carried, "__e.*")
 
 
-def hierarchy(df: DataFrame, key: str, parent: str, max_depth: int = MAX_DEPTH) -> DataFrame:
+def hierarchy(df: DataFrame, key: str, parent: str) -> DataFrame:
     """(key, root, depth, path, cycle) of every node; a root has a null or unknown parent.
 
-    Pointer doubling: after k rounds a node knows 2^k ancestors, so depth 10 takes four
+    Pointer doubling: after k rounds a node knows 2^k ancestors, so depth 1000 takes ten
     joins. The state is written to the shared folder after each round, which keeps the plan
-    flat. A node that meets itself is marked ``cycle``; deeper than ``max_depth`` fails.
+    flat; the round before is deleted. A node that meets an ancestor twice is marked ``cycle``.
     """
     nodes = df.select(F.col(key).alias("id"), F.col(parent).alias("up"))
     known = nodes.select(F.col("id").alias("up"))
@@ -146,21 +145,23 @@ def hierarchy(df: DataFrame, key: str, parent: str, max_depth: int = MAX_DEPTH)
     state = nodes.select("id").join(linked, "id", "left").select(
         "id", "top", F.when(F.col("top").isNotNull(), F.array("top")).otherwise(F.array().cast("array<string>")).alias("above")
     )
-    reach = 1
+    twice = F.array_contains("above", F.col("id")) | (F.size(F.array_distinct("above")) < F.size("above"))
+    last = None
     while True:
         state = checkpointed(state, "hierarchy")
-        if reach > max_depth or not state.filter(F.col("top").isNotNull()).limit(1).count():
+        if last is not None:
+            discard(last)
+        last = state
+        if state.filter(F.col("top").isNotNull()).isEmpty():
             break
         right = state.select(F.col("id").alias("top"), F.col("top").alias("next"), F.col("above").alias("more"))
         state = state.join(right, "top", "left").select(
             "id",
-            F.when(~F.array_contains("above", F.col("id")), F.col("next")).alias("top"),
-            F.when(F.col("more").isNotNull() & ~F.array_contains("above", F.col("id")), F.concat("above", "more")).otherwise(F.col("above")).alias("above"),
+            F.when(~twice, F.col("next")).alias("top"),
+            F.when(F.col("more").isNotNull() & ~twice, F.concat("above", "more")).otherwise(F.col("above")).alias("above"),
         )
-        reach *= 2
-    cycle = F.array_contains("above", F.col("id")) | F.col("top").isNotNull() | (F.size(F.array_distinct("above")) < F.size("above"))
-    deep = ~cycle & (F.size("above") > max_depth)
-    depth = F.when(deep, F.raise_error(F.lit(f"hierarchy deeper than {max_depth}")).cast("int")).otherwise(F.size("above"))
+    cycle = twice
+    depth = F.size("above")
     return state.select(
         F.col("id").alias(key),
         F.when(~cycle, F.coalesce(F.element_at(F.when(F.size("above") > 0, F.col("above")), -1), F.col("id"))).alias("root"),

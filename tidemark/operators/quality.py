@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.coerce import ERRORS, coerce
+from tidemark.functions.shape import json_depth
 from tidemark.operators.change import row_hash
 from tidemark.plans.meta import TableMeta
 
@@ -108,11 +109,13 @@ def json_kind(v: Column) -> Column:
     )
 
 
-def data_paths(df: DataFrame, body: str, depth: int = 6) -> DataFrame:
+def data_paths(df: DataFrame, body: str) -> DataFrame:
     """Distinct (path, kind) pairs present in a JSON column; lists are looked through.
 
-    One projection per level, each built from the one before it.
+    One projection per level, each built from the one before it; one aggregate finds how many
+    levels the data has.
     """
+    depth = max(json_depth(df, body), 1)
     d = df.select(F.try_parse_json(body).alias("__v")).select(_children(F.col("__v"), F.lit("")).alias("__l0"))
     for i in range(1, depth):
         d = d.select("*", F.flatten(F.transform(f"__l{i - 1}", lambda n: _children(n["v"], n["path"]))).alias(f"__l{i}"))
@@ -121,11 +124,11 @@ def data_paths(df: DataFrame, body: str, depth: int = 6) -> DataFrame:
     return d.select(F.explode(F.array_distinct(pairs)).alias("x")).select("x.*").distinct()
 
 
-def schema_diff(df: DataFrame, body: str, schema: T.StructType, depth: int = 6) -> DataFrame:
+def schema_diff(df: DataFrame, body: str, schema: T.StructType) -> DataFrame:
     """(path, side): ``undeclared`` paths of the data and ``absent`` declared ones."""
     declared = declared_paths(schema)
     rows = [(p, "^" + "\\.".join("[^.]+" if s == "*" else _quote(s) for s in p.split(".")) + "$") for p in declared]
-    found = data_paths(df, body, depth).select("path").distinct()
+    found = data_paths(df, body).select("path").distinct()
     pattern = "|".join(r for _, r in rows) or "^$"
     undeclared = found.filter(~F.col("path").rlike(pattern)).select("path", F.lit("undeclared").alias("side"))
     flags = [F.coalesce(F.bool_or(F.col("path").rlike(r)), F.lit(False)).alias(str(i)) for i, (_, r) in enumerate(rows)]
@@ -142,14 +145,14 @@ def _quote(text: str) -> str:
     return "\\Q" + text + "\\E"
 
 
-def shape_diff(a: DataFrame, b: DataFrame, body: str, depth: int = 6) -> DataFrame:
+def shape_diff(a: DataFrame, b: DataFrame, body: str) -> DataFrame:
     """(path, left, right): fields whose JSON kinds differ; null fits every kind."""
     def kinds(df: DataFrame, name: str) -> DataFrame:
-        p = data_paths(df, body, depth).filter("kind <> 'null'")
+        p = data_paths(df, body).filter("kind <> 'null'")
         return p.groupBy("path").agg(F.array_join(F.array_sort(F.collect_set("kind")), ",").alias(name))
 
     def present(df: DataFrame, name: str) -> DataFrame:
-        return data_paths(df, body, depth).select("path").distinct().withColumn(name, F.lit(True))
+        return data_paths(df, body).select("path").distinct().withColumn(name, F.lit(True))
 
     j = present(a, "in_left").join(present(b, "in_right"), "path", "full_outer")
     j = j.join(kinds(a, "left"), "path", "left").join(kinds(b, "right"), "path", "left")

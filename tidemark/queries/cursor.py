@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.digest import text_digest
 from tidemark.functions.keys import cursor_key
 from tidemark.operators import cursor as cur
+from tidemark.operators import ordered
 from tidemark.queries import query
 
 D = dt.datetime
@@ -172,17 +173,18 @@ def b20(t):
 
 @query(
     "b21_cursor_key",
-    """select event_id, case event_type when 'view' then strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')
+    """with r as (select event_id, case event_type when 'view' then strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')
          when 'click' then strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '0+00:00'
          when 'error' then strftime(ts + interval 2 hour, '%Y-%m-%dT%H:%M:%S.%f') || '+02:00'
-         else cast(event_id as varchar) end as rendered,
+         when 'signup' then '12345678901234567890123456' || lpad(cast(event_id as varchar), 12, '0')
+         else '-0.00000000000' || lpad(cast(event_id as varchar), 12, '0') || '0e1' end as rendered,
        case when event_type in ('view', 'click', 'error') then 2 else 1 end as family,
        case when event_type in ('view', 'click', 'error') then ts end as instant,
-       case when event_type not in ('view', 'click', 'error') then event_id end as number
-       from events""",
+       case event_type when 'signup' then event_id when 'purchase' then -event_id end as number from events)
+       select *, row_number() over (order by family, instant, number, event_id) as place from r""",
 )
 def b21(t):
-    ts = F.col("ts")
+    ts, e = F.col("ts"), F.col("event_id").cast("string")
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     shown = (
         F.when(F.col("event_type") == "view", F.concat(F.date_format(ts, iso), F.lit("Z")))
@@ -191,42 +193,53 @@ def b21(t):
             F.col("event_type") == "error",
             F.concat(F.date_format(ts + F.expr("interval 2 hours"), iso), F.lit("+02:00")),
         )
-        .otherwise(F.col("event_id").cast("string"))
+        .when(F.col("event_type") == "signup", F.concat(F.lit("12345678901234567890123456"), F.lpad(e, 12, "0")))
+        .otherwise(F.concat(F.lit("-0.00000000000"), F.lpad(e, 12, "0"), F.lit("0e1")))
     )
-    df = t.events.select("event_id", shown.alias("rendered")).withColumn("k", cursor_key(F.col("rendered")))
+    df = t.events.select("event_id", "event_type", shown.alias("rendered")).withColumn("k", cursor_key(F.col("rendered")))
+    parts = [F.col(f"k.{c}") for c in ("family", "ts", "frac", "num.sign", "num.place", "num.digits")]
+    names = [f"__k{i}" for i in range(len(parts))]
+    df = ordered.row_index(df.select("*", *[p.alias(n) for p, n in zip(parts, names)]), [], [*names, "event_id"], "place")
+    sign = F.when(F.col("k.num.sign") < 0, -F.col("event_id")).when(F.col("k.num.sign") > 0, F.col("event_id"))
     return df.select(
-        "event_id", "rendered", "k.family", F.col("k.ts").cast("timestamp_ntz").alias("instant"),
-        F.col("k.num").cast("bigint").alias("number"),
+        "event_id", "rendered", "k.family", F.col("k.ts").cast("timestamp_ntz").alias("instant"), sign.alias("number"),
+        (F.col("place") + 1).alias("place"),
     )
 
 
 @query(
     "b22_refilter_fail_open",
-    """select event_id from events
-       where event_type in ('signup', 'purchase') or ts > timestamp '2024-01-15'""",
+    """select event_id from events where (event_type in ('signup', 'purchase') and event_id > 200)
+       or (event_type not in ('signup', 'purchase') and event_id % 2 = 0)""",
 )
 def b22(t):
-    shown = F.when(
-        F.col("event_type").isin("signup", "purchase"), F.col("event_id").cast("string")
-    ).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    e = F.col("event_id").cast("string")
+    # every second row of the other types is of another family (kept) or at the watermark with a fraction digit more or less
+    watermark = "1.000000000000000000" + "0" * 20 + "000000000200"
+    shown = (
+        F.when(F.col("event_type").isin("signup", "purchase"), F.concat(F.lit("1.000000000000000000" + "0" * 20), F.lpad(e, 12, "0")))
+        .when(F.col("event_id") % 2 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+        .otherwise(F.lit("0.1e+1"))
+    )
     df = t.events.select("event_id", shown.alias("c"))
-    return cur.refilter_fail_open(df, "c", "2024-01-15T00:00:00Z").select("event_id")
+    return cur.refilter_fail_open(df, "c", watermark).select("event_id")
 
 
 @query(
     "b23_lookback_dedup",
     """select event_id, ts, user_id, case when event_type = 'error' then 'changed' else event_type end as event_type
-       from events where ts > timestamp '2024-01-07 23:00:00'
+       from events where ts > timestamp '2023-12-01'
        and (ts > timestamp '2024-01-08' or event_type = 'error')""",
 )
 def b23(t):
     cols = ["event_id", "ts", "user_id", "event_type"]
     delivered = t.events.select(*cols).filter(F.col("ts") <= SINCE)
-    seen = cur.remember(delivered, ["event_id"], "ts")
+    # the lookback reaches over all that was delivered
+    seen = cur.remember(delivered, ["event_id"], "ts", horizon=D(2023, 12, 1))
     now = t.events.select(*cols).withColumn(
         "event_type", F.when(F.col("event_type") == "error", F.lit("changed")).otherwise(F.col("event_type"))
     )
-    return cur.lookback_dedup(cur.apply_lookback(now, "ts", SINCE, 3600), seen, ["event_id"])
+    return cur.lookback_dedup(cur.apply_lookback(now, "ts", SINCE, 38 * 86_400), seen, ["event_id"])
 
 
 @query("b24_full_list_cdc", "select c_custkey, c_name, c_acctbal from customer")

@@ -116,6 +116,8 @@ def h08(t):
        union all select 'N' || n_nationkey, 'R' || n_regionkey, 1, 'R' || n_regionkey || '/N' || n_nationkey, false from nation
        union all select 'C' || c_custkey, 'R' || n_regionkey, 2, 'R' || n_regionkey || '/N' || n_nationkey || '/C' || c_custkey, false
          from customer join nation on c_nationkey = n_nationkey
+       union all select 'L' || k, 'L0', cast(k as integer), (select string_agg('L' || j, '/' order by j) from range(0, k + 1) r(j)), false from range(0, 40) l(k)
+       union all select 'Z' || k, null, null, null, true from range(0, 3) z(k)
        union all select 'O' || o, 'R' || r, 3, 'R' || r || '/N' || n || '/C' || c || '/O' || o, false from x""",
 )
 def h09(t):
@@ -126,6 +128,10 @@ def h09(t):
         .unionByName(t.customer.select(name("C", "c_custkey").alias("id"), name("N", "c_nationkey").alias("parent")))
         .unionByName(t.orders.select(name("O", "o_orderkey").alias("id"), name("C", "o_custkey").alias("parent")))
     )
+    # a chain of forty, and a ring of two with a node that leads into it
+    line = t.spark.range(40).select(name("L", "id").alias("id"), F.when(F.col("id") > 0, F.concat(F.lit("L"), (F.col("id") - 1).cast("string"))).alias("parent"))
+    ring = t.spark.range(3).select(name("Z", "id").alias("id"), F.concat(F.lit("Z"), (F.col("id") % 2 + F.when(F.col("id") < 2, F.lit(1) - 2 * (F.col("id") % 2)).otherwise(0)).cast("string")).alias("parent"))
+    nodes = nodes.unionByName(line).unionByName(ring)
     # orders whose customer is not in the list would be roots of their own
     real = nodes.join(nodes.select(F.col("id").alias("parent")), "parent", "left_semi").unionByName(nodes.filter("parent is null"))
     return fm.hierarchy(real, "id", "parent")

@@ -27,6 +27,7 @@ def hl7_files(t):
         F.col("o_orderstatus"), "\r",
         "ORC|RE|P", _s("o_orderkey"), "^NS\r", "OBX|1|NM|TOTAL^Total^L||", F.col("o_totalprice").cast("decimal(18,2)").cast("string"), "~0|USD\r",
         "OBX|2|ST|PRIO^Priority||", F.col("o_orderpriority"), "\r", "ZOR|", _s("o_custkey"), "|", F.col("o_orderstatus"),
+        "|" * 24 + "twenty-six||P", _s("o_orderkey"),
     )
     odd = F.translate(F.replace(body, F.lit("\r"), F.lit("\n")), "|^~&", "#*+%")
     batch = _join("FHS|^~\\&|X\r\nBHS|^~\\&\r\n", F.replace(body, F.lit("\r"), F.lit("\r\n")), "\r\nBTS|1\r\nFTS|1\r\n")
@@ -111,10 +112,11 @@ def i05_msh(t):
 
 @query(
     "i06_hl7_generic",
-    "select cast(o_orderkey as varchar) as message_id, 'ZOR' as segment_type, cast(o_custkey as varchar) as field_1, o_orderstatus as field_2, cast(null as varchar) as field_25 from orders",
+    """select cast(o_orderkey as varchar) as message_id, 'ZOR' as segment_type, cast(o_custkey as varchar) as field_1, o_orderstatus as field_2, cast(null as varchar) as field_25,
+       'twenty-six|-|P' || o_orderkey as more_fields from orders""",
 )
 def i06(t):
-    return hl7.table(hl7_files(t), "text", "zor", "file").select("message_id", "segment_type", "field_1", "field_2", "field_25")
+    return hl7.table(hl7_files(t), "text", "zor", "file").select("message_id", "segment_type", "field_1", "field_2", "field_25", F.array_join("more_fields", "|", "-").alias("more_fields"))
 
 
 @query(
@@ -271,11 +273,11 @@ def i14(t):
 def i15(t):
     ms = F.unix_millis(F.col("o_orderdate").cast("timestamp")).cast("string")
     body = _join(
-        '{"__metadata":{"uri":"u"},"id":', _s("o_orderkey"), ',"startDate":"/Date(', ms, ')/","links":{"__deferred":{"uri":"u"}},"nav":{"__metadata":{},"status":"',
-        F.col("o_orderstatus"), '","on":"/Date(', ms, '+0000)/"}}',
+        '{"__metadata":{"uri":"u"},"id":', _s("o_orderkey"), ',"startDate":"/Date(', ms, ')/","links":{"__deferred":{"uri":"u"}},', '"nav":{"__metadata":{},' * 7, '"status":"',
+        F.col("o_orderstatus"), '","on":"/Date(', ms, '+0000)/"' + "}" * 8,
     )
     out = sap.records(t.orders.select(body.alias("b")), "b", {"id": "bigint", "startDate": "string", "nav": "string", "links": "string"})
-    nav = lambda n: F.get_json_object("nav", f"$.{n}")
+    nav = lambda n: F.get_json_object("nav", f"${'.nav' * 6}.{n}")
     return out.select("id", "startDate", nav("status").alias("status"), nav("on").alias("nested_date"), "links")
 
 

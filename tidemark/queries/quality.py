@@ -45,7 +45,8 @@ def k03(t):
 def k04(t):
     price = F.when(F.col("o_orderstatus") == "F", "n/a").otherwise(F.col("o_totalprice").cast("string"))
     body = F.to_json(F.struct(F.when(F.col("o_orderstatus") != "O", F.col("o_orderkey")).alias("id"), price.alias("price"), F.lit("x").alias("note")))
-    return q.check_records(t.orders.select(body.alias("b")), "b", T._parse_datatype_string("id bigint, price double, note string"), ["id"])
+    return q.check_records(t.orders.select(body.alias("b")), "b", T._parse_datatype_string(
+        "id bigint, price double, note string"), ["id"])
 
 
 @query("k05_check_pk_unique", "select l_orderkey, l_linenumber, count(*) as rows from lineitem group by 1, 2 having count(*) > 1")
@@ -53,28 +54,40 @@ def k05(t):
     return q.check_pk_unique(t.lineitem, ["l_orderkey", "l_linenumber"])
 
 
+def _nested(name, inner):
+    """``inner`` below eight members called ``name``."""
+    for _ in range(7):
+        inner = F.struct(inner.alias(name))
+    return inner.alias(name)
+
+
 @query(
     "k06_schema_diff",
-    """select * from (values ('extra', 'undeclared'), ('s.more', 'undeclared'), ('lost', 'absent')) v(path, side) where exists (select 1 from orders)""",
+    """select * from (values ('extra', 'undeclared'), ('s.more', 'undeclared'), ('lost', 'absent'), ('d.d.d.d.d.d.d.d.deep', 'undeclared')) v(path, side)
+       where exists (select 1 from orders)""",
 )
 def k06(t):
     body = F.to_json(F.struct(
         F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("extra"), F.struct(F.col("o_custkey").alias("cust"), F.lit(1).alias("more")).alias("s"),
         F.create_map(F.col("o_orderpriority"), F.lit(1)).alias("m"), F.array(F.struct(F.lit(1).alias("n"))).alias("items"),
+        _nested("d", F.struct(F.lit(1).alias("deep"), F.lit(2).alias("known"))),
     ))
-    schema = T._parse_datatype_string("id bigint, s struct<cust:bigint>, m map<string,int>, items array<struct<n:int>>, lost string")
+    schema = T._parse_datatype_string(
+        "id bigint, s struct<cust:bigint>, m map<string,int>, items array<struct<n:int>>, lost string, "
+        + "d " + "struct<d:" * 7 + "struct<known:int>" + ">" * 7
+    )
     return q.schema_diff(t.orders.select(body.alias("b")), "b", schema)
 
 
 @query(
     "k07_shape_diff",
-    """select * from (values ('price', 'float', 'str'), ('only', 'str', null)) v(path, "left", "right") where exists (select 1 from orders)""",
+    """select * from (values ('price', 'float', 'str'), ('only', 'str', null), ('d.d.d.d.d.d.d.d.x', 'int', 'str')) v(path, "left", "right") where exists (select 1 from orders)""",
 )
 def k07(t):
     key = F.col("o_orderkey").alias("id")
     note = F.when(F.col("o_orderstatus") == "F", "x").alias("note")
-    a = t.orders.select(F.to_json(F.struct(key, (F.col("o_totalprice") + 0.001).alias("price"), F.lit("x").alias("only"), note), {"ignoreNullFields": "false"}).alias("b"))
-    b = t.orders.select(F.to_json(F.struct(key, F.col("o_totalprice").cast("string").alias("price"), F.lit(None).cast("string").alias("note")), {"ignoreNullFields": "false"}).alias("b"))
+    a = t.orders.select(F.to_json(F.struct(key, (F.col("o_totalprice") + 0.001).alias("price"), F.lit("x").alias("only"), note, _nested("d", F.struct(F.lit(1).alias("x")))), {"ignoreNullFields": "false"}).alias("b"))
+    b = t.orders.select(F.to_json(F.struct(key, F.col("o_totalprice").cast("string").alias("price"), F.lit(None).cast("string").alias("note"), _nested("d", F.struct(F.lit("1").alias("x")))), {"ignoreNullFields": "false"}).alias("b"))
     return q.shape_diff(a, b, "b")
 
 

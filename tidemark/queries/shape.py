@@ -73,15 +73,16 @@ def f06(t):
 
 @query(
     "f07_strip_meta_keys",
-    """select o_orderkey, '{"key":' || o_orderkey || ',"nested":{"status":"' || o_orderstatus || '"}}' as body from orders""",
+    """select o_orderkey, '{"key":' || o_orderkey || ',"nested":{"nested":{"nested":{"nested":{"nested":{"nested":{"nested":{"status":"' || o_orderstatus
+       || '"}}}}}}}}' as body from orders""",
 )
 def f07(t):
+    # seven entities, each inside the one before
     raw = F.concat(
-        F.lit('{"__metadata":{"uri":"u"},"key":'), F.col("o_orderkey").cast("string"),
-        F.lit(',"key@type":"long","items":{"__deferred":{"uri":"u"}},"nested":{"__metadata":{},"status":"'),
-        F.col("o_orderstatus"), F.lit('"}}'),
+        F.lit('{"__metadata":{"uri":"u"},"key":'), F.col("o_orderkey").cast("string"), F.lit(',"key@type":"long","items":{"__deferred":{"uri":"u"}}'),
+        F.lit(',"nested":{"__metadata":{}' * 7), F.lit(',"status":"'), F.col("o_orderstatus"), F.lit('"' + "}" * 8),
     )
-    return t.orders.select("o_orderkey", sh.strip_meta_keys(raw).alias("body"))
+    return t.orders.select("o_orderkey", sh.strip_meta_keys(raw, sh.json_depth(t.orders, raw)).alias("body"))
 
 
 @query(

@@ -33,14 +33,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir`` (shared by all executors).
+    """A fresh folder below ``spark.checkpoint.dir``, which all executors share.
 
-    Only a local session without that setting falls back to a temporary folder: on a
-    cluster a machine-local folder would be lost with its executor, so that is an error.
+    Where it is unset, a ``local`` session (one process, as in tests) gets a folder of its own; for
+    any other session that is an error, as a folder of one machine would be lost with its executor.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = os.path.join(tempfile.gettempdir(), "tidemark-scratch")
     return f"{base.rstrip('/')}/tidemark-{purpose}-{uuid.uuid4().hex[:12]}"
@@ -56,9 +56,17 @@ def shared_file_system(spark: SparkSession, path: str):
 def checkpointed(df, purpose: str):
     """Cut the lineage of ``df`` with a written table in the shared folder.
 
-    Unlike a local checkpoint the data survives the loss of an executor.
+    Unlike a local checkpoint the data survives the loss of an executor. ``discard`` deletes it.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(table) -> None:
+    """Delete a table made by ``checkpointed`` that no later plan reads."""
+    fs, path = shared_file_system(table.sparkSession, table._scratch)
+    fs.delete(path(table._scratch), True)

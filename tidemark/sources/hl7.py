@@ -17,6 +17,7 @@ from tidemark.functions.dates import HL7_DTM, HL7_FILL
 from tidemark.sources.hl7_layouts import COMPOSITES, SEGMENTS, SINGLE
 
 ENVELOPE = ["FHS", "BHS", "BTS", "FTS"]
+# Fixed value: named columns of a segment without a layout; further fields go into one array column.
 GENERIC_FIELDS = 25
 # The usual separators (field, component, repetition, sub-component, escape) and
 # the order in which MSH names the last four.
@@ -332,7 +333,10 @@ def table(df: DataFrame, text: str, segment: str, source_file: str, send_time: s
     rows = _rows(df, text, name, source_file, send_time, create_time, base64)
     if name not in SEGMENTS:
         generic = [field(i).alias(f"field_{i}") for i in range(1, GENERIC_FIELDS + 1)]
-        return rows.select(*METADATA, F.col("segment").alias("segment_type"), *generic)
+        size = F.size("fields")
+        places = F.when(size > GENERIC_FIELDS + 1, F.sequence(F.lit(GENERIC_FIELDS + 1), size - 1))
+        more = F.transform(places, lambda n: _blank(_raw(F.get("fields", n))))
+        return rows.select(*METADATA, F.col("segment").alias("segment_type"), *generic, more.alias("more_fields"))
     fields = layout(name)
     if columns is not None:
         wanted = set(columns)
