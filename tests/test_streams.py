@@ -8,8 +8,8 @@ from tidemark.operators import family as fm
 from tidemark.operators import timeseries as ts
 from tidemark.plans.meta import TableMeta
 from tidemark.session import scratch_dir
-from tidemark.sources import files, landed
-from tidemark.streaming.apply import MergeTarget
+from tidemark.sources import files
+from tidemark.streaming.apply import AppendTarget, MergeTarget, SnapshotTarget
 from tidemark.streaming.read import append_stream, apply_stream, finish
 
 
@@ -27,36 +27,33 @@ def test_file_stream_continues_after_restart(spark, folder):
             _land(spark, f"{folder}/in", 10, 25)
 
 
-def test_landed_stream_continues_after_restart(spark, folder):
-    landed.register(spark)
-    _land(spark, f"{folder}/in", 0, 10)
-    for hi in (10, 25):
-        stream = spark.readStream.format("tidemark_landed").option("path", f"{folder}/in").option("cursor", "c").load()
-        finish(append_stream(stream, f"{folder}/out", f"{folder}/ck"))
-        assert sorted(r["id"] for r in spark.read.parquet(f"{folder}/out").collect()) == list(range(hi))
-        if hi == 10:
-            _land(spark, f"{folder}/in", 10, 25)
+def test_cursor_stream_keeps_late_ties_and_null_cursors(spark, folder):
+    schema = "id bigint, c decimal(20,3)"
+    land = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    src = files.Landed(f"{folder}/in", TableMeta(["id"], "c", "cdc"))
+    from decimal import Decimal as D
 
+    land([(1, D("1.5")), (2, None), (3, D("2.5"))])
+    for more in (None, [(4, D("2.5")), (5, None), (6, D("0.5"))]):
+        if more:
+            land(more)
+        finish(append_stream(files.read_cursor_stream(spark, src, D("1.0")), f"{folder}/out", f"{folder}/ck"))
+    assert sorted(r["id"] for r in spark.read.parquet(f"{folder}/out").collect()) == [1, 2, 3, 4, 5]
 
-def test_landed_plan_honours_both_ends(spark, folder):
-    _land(spark, f"{folder}/in", 0, 10)
-    _land(spark, f"{folder}/in", 10, 20)
-    plan = landed._Plan({"path": f"{folder}/in", "cursor": "c"})
-    assert plan.newest() == "190" and plan.partitions("190", "190") == []
-
-    def ids(since, until):
-        parts = plan.partitions(since, until)
-        return sorted(x for p in parts for b in landed._read(p, "c") for x in b["id"].to_pylist()), len(parts)
 
-    assert ids(None, None) == (list(range(20)), 2)
-    assert ids("30", "70") == ([4, 5, 6, 7], 1)  # the other file is pruned by its footer
-    assert ids("70", "120") == ([8, 9, 10, 11, 12], 2)
+def test_partitioned_read_prunes(spark, folder):
+    spark.range(100).selectExpr("id", "id * 10 as c", "uuid() as wide").write.parquet(f"{folder}/in")
+    src = files.Landed(f"{folder}/in", TableMeta(["id"], "c", "cdc"))
+    df = files.read_partitioned(spark, src, 300, 700).select("id")
+    assert sorted(r["id"] for r in df.collect()) == list(range(31, 71))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(c,300)" in plan and "LessThanOrEqual(c,700)" in plan and "wide" not in plan
 
 
 def test_failed_batch_is_repeated_once(spark, folder):
     _land(spark, f"{folder}/in", 0, 10)
     schema = spark.read.parquet(f"{folder}/in").schema
-    target = MergeTarget(spark, f"{folder}/t", schema, ["id"], "c", buckets=2)
+    target = MergeTarget(spark, f"{folder}/t", schema, ["id"], "c")
     real, calls = target.apply, []
 
     def flaky(batch, batch_id, flow):
@@ -69,7 +66,7 @@ def test_failed_batch_is_repeated_once(spark, folder):
     with pytest.raises(Exception, match="lost after the commit"):
         finish(apply_stream(files.read_stream(spark, files.Landed(f"{folder}/in")), target, f"{folder}/ck"))
     finish(apply_stream(files.read_stream(spark, files.Landed(f"{folder}/in")), target, f"{folder}/ck"))
-    assert calls == [0, 0] and target.read().count() == 10 and len(target.folder.numbers()) == 1
+    assert calls == [0, 0] and target.read().count() == 10 and target.log.since(-1).count() == 10
 
 
 def test_delete_stream_holds_keys_only(spark, folder):
@@ -80,6 +77,47 @@ def test_delete_stream_holds_keys_only(spark, folder):
         files.read_delete_stream(spark, files.Landed(f"{folder}/in", src.meta))
 
 
+def test_small_batch_writes_few_rows_and_compaction_keeps_the_state(spark, folder):
+    schema = "id bigint, c bigint, v string"
+    make = lambda rows: spark.createDataFrame(rows, schema)
+    for kind in (1, 2):
+        target = MergeTarget(spark, f"{folder}/m{kind}", make([]).schema, ["id"], "c", kind)
+        target.apply(make([(i, 1, "a") for i in range(500)]), 0)
+        target.apply(make([(1, 5, "b"), (2, 0, "late"), (None, 9, "no key"), (3, None, "no seq")]), 1)
+        assert target.log.since(0).count() == 4  # a batch writes its own rows only
+        before = sorted(map(str, target.read().collect()))
+        assert target.compact() == 1 and sorted(map(str, target.read().collect())) == before
+        target.apply(make([(1, 5, "b"), (2, 0, "late"), (None, 9, "no key"), (3, None, "no seq")]), 2)
+        assert sorted(map(str, target.read().collect())) == before
+        assert target.quarantine().count() == 4
+        target.compact()
+        target.log.forget()
+        assert target.log.since(-1).count() == 0 and sorted(map(str, target.read().collect())) == before
+
+
+def test_redelivered_rows_without_cursor_or_key_are_seen_once(spark, folder):
+    rows = spark.createDataFrame([(1, None), (None, 5), (2, 7), (None, None)], "id bigint, c bigint")
+    target = AppendTarget(spark, f"{folder}/a", rows.schema, ["id"], "c")
+    for n in (0, 1, 1):
+        target.apply(rows, n)
+    want = sorted([(1, None), (None, None), (2, 7)], key=str)
+    assert sorted(map(tuple, target.read().collect()), key=str) == want
+    target.compact()
+    target.apply(rows, 2)
+    assert sorted(map(tuple, target.read().collect()), key=str) == want
+
+
+def test_snapshots_number_themselves(spark, folder):
+    make = lambda rows: spark.createDataFrame(rows, "id bigint, v string")
+    target = SnapshotTarget(spark, f"{folder}/s", ["id"], 2)
+    assert [target.apply(make(r)) for r in ([(1, "a"), (2, "b")], [(1, "x"), (2, "b")], [(2, "b"), (3, "c")])] == [0, 1, 2]
+    got = sorted(((r.id, r.v, r["__START_AT"], r["__END_AT"]) for r in target.read().collect()), key=str)
+    assert got == sorted([(1, "a", 0, 1), (1, "x", 1, 2), (2, "b", 0, None), (3, "c", 2, None)], key=str)
+    assert target.apply(make([(2, "b"), (3, "c")]), 2) == 2  # the same again changes nothing
+    with pytest.raises(ValueError, match="other rows"):
+        target.apply(make([(9, "z")]), 2)
+
+
 def test_scratch_needs_a_shared_folder(spark):
     assert "tidemark-x-" in scratch_dir(spark, "x")
 

@@ -68,8 +68,8 @@ class Outcome:
 class Ingestion:
     """A run of a specification into folders below ``root``: one target and checkpoint per table."""
 
-    def __init__(self, spark: SparkSession, spec: dict, sources: dict[str, Landed], root: str, buckets: int = 32):
-        self.spark, self.sources, self.root, self.buckets = spark, sources, root.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, spec: dict, sources: dict[str, Landed], root: str):
+        self.spark, self.sources, self.root = spark, sources, root.rstrip("/")
         self.spec = PipelineSpec.parse(spec)
 
     def _folder(self, flow: Flow) -> str:
@@ -94,15 +94,20 @@ class Ingestion:
             if keys:
                 return flow, AppendTarget(self.spark, path, schema, [k.strip() for k in keys.split(",")], flow.sequence)
             return flow, None
-        return flow, MergeTarget(
-            self.spark, path, schema, flow.keys, flow.sequence, flow.scd_type, self.buckets, flow.cluster_by
-        )
+        return flow, MergeTarget(self.spark, path, schema, flow.keys, flow.sequence, flow.scd_type, flow.cluster_by)
+
+    def compact(self) -> None:
+        """Compact every table that has a change log."""
+        for spec in self.spec.tables:
+            _, target = self.target(spec.source_table)
+            if hasattr(target, "compact"):
+                target.compact()
 
     def read(self, table: str) -> DataFrame:
         flow, target = self.target(table)
         return target.read() if target else self.spark.read.parquet(self._folder(flow))
 
-    def _start(self, flow: Flow, target, version: int):
+    def _start(self, flow: Flow, target, version: int | None):
         src = self.sources[flow.table]
         files = flow.options.get("files_per_trigger")
         checkpoint = f"{self.root}/checkpoints/{flow.destination.replace('`', '')}"
@@ -121,10 +126,10 @@ class Ingestion:
             stream = stream.unionByName(gone.withColumnRenamed("_deleted", DELETED), allowMissingColumns=True)
         return apply_stream(stream, target, checkpoint)
 
-    def run(self, version: int = 0) -> list[Outcome]:
+    def run(self, version: int | None = None) -> list[Outcome]:
         """Bring every table up to date. A table that fails does not stop the others.
 
-        ``version`` numbers the snapshots of this run; it must grow from run to run.
+        ``version`` numbers the snapshots of this run; by default each is the next one of its table.
         """
         started, outcomes = [], []
         for spec in self.spec.tables:
@@ -151,7 +156,7 @@ class Ingestion:
         return outcomes
 
 
-def ingest(spark: SparkSession, spec: dict, sources: dict[str, Landed], root: str, version: int = 0) -> Ingestion:
+def ingest(spark: SparkSession, spec: dict, sources: dict[str, Landed], root: str, version: int | None = None) -> Ingestion:
     """Run the specification once; raises when a table failed, after all others finished."""
     run = Ingestion(spark, spec, sources, root)
     failed = [o for o in run.run(version) if o.error]

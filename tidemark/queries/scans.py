@@ -10,7 +10,7 @@ from tidemark.operators import cursor as cur
 from tidemark.plans.meta import TableMeta
 from tidemark.queries import query
 from tidemark.session import scratch_dir
-from tidemark.sources import files, landed
+from tidemark.sources import files
 from tidemark.streaming.apply import AppendTarget, MergeTarget
 from tidemark.streaming.drain import drain
 from tidemark.streaming.read import append_stream, apply_stream, finish
@@ -54,19 +54,33 @@ def a02(t):
     return t.spark.read.parquet(out)
 
 
-@query("a03_landed_stream", f"select {EV} from events")
+@query(
+    "a03_landed_stream",
+    """select event_id, case when event_type <> 'error' then ts end as ts, user_id from events
+       union all select -user_id, max(ts) over (), user_id from (select distinct user_id from events), (select max(ts) as ts from events)""",
+)
 def a03(t):
-    landed.register(t.spark)
+    # some rows have no cursor; after the first sitting more rows arrive whose cursor is the greatest one already read
+    df = t.events.select("event_id", F.when(F.col("event_type") != "error", F.col("ts")).alias("ts"), "user_id")
+    path = _landed_copy(t, df, 4, "a03-in")
+    src = files.Landed(path, TableMeta(["event_id"], "ts", "cdc"), df.schema)
     out, ck = scratch_dir(t.spark, "a03-out"), scratch_dir(t.spark, "a03-ck")
-    stream = t.spark.readStream.format("tidemark_landed").option("path", t.path("events")).option("cursor", "ts").load()
-    finish(append_stream(stream, out, ck))
+    finish(append_stream(files.read_cursor_stream(t.spark, src, files_per_trigger=2), out, ck))
+    newest = t.events.agg(F.max("ts")).scalar()
+    late = t.events.select("user_id").distinct().select((-F.col("user_id")).alias("event_id"), newest.alias("ts"), "user_id")
+    late.write.mode("append").parquet(path)
+    finish(append_stream(files.read_cursor_stream(t.spark, src, files_per_trigger=2), out, ck))
     return t.spark.read.parquet(out)
 
 
-@query("a04_partitioned_batch", f"select {ORD} from orders")
+@query(
+    "a04_partitioned_batch",
+    "select o_orderkey, o_orderdate from orders where o_orderdate > timestamp '1996-12-31' and o_orderdate <= timestamp '1998-12-31'",
+)
 def a04(t):
-    landed.register(t.spark)
-    return t.spark.read.format("tidemark_landed").option("path", t.path("orders")).option("cursor", "o_orderdate").load()
+    meta = TableMeta(["o_orderkey"], "o_orderdate", "cdc")
+    df = files.read_partitioned(t.spark, _source(t, "orders", meta=meta), dt.datetime(1996, 12, 31), dt.datetime(1998, 12, 31))
+    return df.select("o_orderkey", "o_orderdate")
 
 
 @query("a05_delete_stream", "select o_orderkey, o_orderdate, true as _deleted from orders where o_orderstatus = 'F'")
@@ -141,8 +155,13 @@ def _changes(t):
 def _merged(t, scd_type: int):
     df = _changes(t)
     src = files.Landed(_landed_copy(t, df, 6, "merge-in"))
-    target = MergeTarget(t.spark, scratch_dir(t.spark, "merge"), df.schema, ["o_custkey"], "seq", scd_type, 8)
-    finish(apply_stream(files.read_stream(t.spark, src, 3), target, scratch_dir(t.spark, "merge-ck")))
+    target = MergeTarget(t.spark, scratch_dir(t.spark, "merge"), df.schema, ["o_custkey"], "seq", scd_type)
+    ck = scratch_dir(t.spark, "merge-ck")
+    finish(apply_stream(files.read_stream(t.spark, src, 3), target, ck))
+    target.compact()
+    # a quarter of the changes is delivered again after the compaction
+    df.filter("o_custkey % 4 = 0").write.mode("append").parquet(src.path)
+    finish(apply_stream(files.read_stream(t.spark, src, 3), target, ck))
     return target.read()
 
 

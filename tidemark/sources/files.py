@@ -62,6 +62,27 @@ def read_delete_stream(spark: SparkSession, src: Landed, files_per_trigger: int
     return read_stream(spark, flow, files_per_trigger).withColumn("_deleted", F.lit(True))
 
 
+def _in_range(df: DataFrame, cursor: str, since, until) -> DataFrame:
+    """Rows after ``since`` up to ``until``; rows without a cursor are never outside."""
+    c, keep = F.col(cursor), F.lit(True)
+    if since is not None:
+        keep = keep & (c > F.lit(since))
+    if until is not None:
+        keep = keep & (c <= F.lit(until))
+    return df if since is None and until is None else df.filter(c.isNull() | keep)
+
+
+def read_cursor_stream(spark: SparkSession, src: Landed, since=None, until=None, files_per_trigger: int | None = None) -> DataFrame:
+    """The table as a stream by its cursor: new files are the offset, so rows that arrive late with a cursor
+    already seen, and rows without one, are delivered; the bounds are pushed to the scan."""
+    return _in_range(read_stream(spark, src, files_per_trigger), src.meta.cursor_field, since, until)
+
+
+def read_partitioned(spark: SparkSession, src: Landed, since=None, until=None) -> DataFrame:
+    """The table in one batch, split into tasks by the native scan, with the cursor's bounds pushed to it."""
+    return _in_range(read_batch(spark, src), src.meta.cursor_field, since, until)
+
+
 def read_between(df: DataFrame, cursor: str, start, end) -> DataFrame:
     """Replay of a committed range: after ``start``, up to and including ``end``."""
     out = df.filter(F.col(cursor) <= F.lit(end))
