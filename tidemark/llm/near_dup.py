@@ -6,10 +6,10 @@ collections of ``GROUPS`` minhash groups are computed, ``2 * GROUPS * WIDTH`` mi
 1 - (1 - (1 - s^WIDTH)^GROUPS)^2, below 4e-6 at 0.75.
 
 Hot groups. Texts of equal sets are one class from the start. Group values that occur once are dropped before the
-pairs are formed. In a table's bucket, members are compared with two pivots, not with each other; after the components of
-these links are known, only members outside the pivot's component are compared with the members of other components, and
-before that classes are put aside that can have no further link: of a set's shingles, those found in another candidate
-bound the overlap with anything. Every pair of a bucket is thus linked, compared, bounded away, or in one component.
+pairs are formed. In a table's bucket, members are compared with two pivots, not with each other. After the components of
+these links are known, members outside the pivot's component are compared with members of other components where a
+bound on the overlap, from the rare shingles that one has and the other doesn't, allows it. Every pair of a bucket is thus in one
+component, compared, or bounded away.
 
 Null and empty texts, and texts without words, have no shingle, are linked with nothing and kept. Rows of equal text
 are one class whatever their ids; repeated ids get the component of their own text. A null id has a null component unless
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fresh, map_rows, removed, ship, written
@@ -192,28 +192,43 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     mixed = named.groupBy("bucket").agg(
         F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("c"), F.min_by("part", F.xxhash64("class")).alias("main")
     ).filter("p <> q and c > 2")
-    open_ = written(named.join(mixed.select("bucket", "main"), "bucket"), "open")
-    # shingles of a class that another open class has bound its overlap with anything
-    narrow = sets.join(open_.select("class").distinct(), "class").select("class", F.explode("set").alias("shingle"))
-    alone = narrow.groupBy("shingle").agg(F.count("*").alias("c"), F.min("class").alias("class")).filter("c = 1")
-    alone = alone.groupBy("class").agg(F.count("*").alias("own"))
-    # an overlap of t allows partners up to (100 + s) / s * t - n shingles
-    most = F.floor((100 + SIMILARITY) * (F.col("n") - F.coalesce("own", F.lit(0))) / SIMILARITY) - F.col("n")
-    able = open_.join(alone, "class", "left").withColumn("most", most).filter(100 * F.col("most") >= SIMILARITY * F.col("n"))
-    able = written(able.select("bucket", "class", "n", "part", "main", "most"), "able")
-    x, y = able.filter("part <> main").alias("x"), able.alias("y")
-    rest = x.join(
-        y,
-        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.part") != F.col("y.part")) & _possible("x.n", "y.n")
-        & (F.col("x.n") <= F.col("y.most")) & (F.col("y.n") <= F.col("x.most")),
-    ).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
-    rest = rest.join(tested, ["a", "b"], "left_anti")
+    open_ = named.join(mixed.select("bucket", "main"), "bucket").groupBy("class").agg(
+        F.first("n").alias("n"), F.first("part").alias("part"), F.max(F.col("part") != F.col("main")).alias("aside"),
+        F.collect_set("bucket").alias("buckets"),
+    )  # at most GROUPS ** 2 buckets
+    open_ = written(open_, "open")
+    rest = untested(open_, sets).join(tested, ["a", "b"], "left_anti")
     more = confirmed(rest, sets).filter("linked").select("a", "b")
     out = written(linked.union(more), "links")
-    removed(members, sets, tested, parts, open_, able)
+    removed(members, sets, tested, parts, open_)
     return out
 
 
+def untested(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): the pairs of open classes of different components that share a bucket and that no bound rules out.
+
+    A set's shingles are put in order of how many open sets hold them, rare ones first. Of a similar pair, the first shingle in
+    common is near the start of both; all that either has after it bounds the overlap. Only pairs that meet at a shingle
+    where this bound allows the similarity are formed, so members of a large bucket that differ in shingles of their own
+    don't meet at those that all have.
+    """
+    held = sets.join(open_.select("class", "n", "part", "aside"), "class").select(
+        "class", "n", "part", "aside", F.explode("set").alias("shingle")
+    )
+    held = held.join(held.groupBy("shingle").agg(F.count("*").alias("c")), "shingle")
+    order = Window.partitionBy("class").orderBy("c", "shingle")
+    left = F.col("n") - F.row_number().over(order)  # shingles after this one
+    early = held.withColumn("left", left).filter((F.col("c") > 1) & (100 * (F.col("left") + 1) >= SIMILARITY * F.col("n")))
+    x, y = early.filter("aside").alias("x"), early.alias("y")
+    pairs = x.join(
+        y,
+        (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.part") != F.col("y.part")) & _possible("x.n", "y.n")
+        & ((100 + SIMILARITY) * (F.least("x.left", "y.left") + 1) >= SIMILARITY * (F.col("x.n") + F.col("y.n"))),
+    ).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
+    a, b = open_.select("class", "buckets").toDF("a", "in_a"), open_.select("class", "buckets").toDF("b", "in_b")
+    return pairs.join(a, "a").join(b, "b").filter(F.arrays_overlap("in_a", "in_b")).select("a", "b")
+
+
 def _members(docs: DataFrame) -> DataFrame:
     found = written(classes(docs), "classes")
     parts = components(links(docs, found))
