@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.coerce import to_timestamp
 
+# Fixed patterns: dates in milliseconds, relative times, HL7 time stamps.
 MS_DATE = r"^/Date\((-?\d+)([+-]\d{4})?\)/"
 RELATIVE = r"^\*-(\d+)([mhd])$"
 HL7_DTM = r"^(\d{4}(?:\d{2}){0,5})(?:\.\d+)?([+-]\d{4})?$"

@@ -168,14 +168,15 @@ def day_chunks(df: DataFrame, c: str, start: dt.date, end: dt.date, days: int, m
 
 
 def limit_batch(df: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """First ``n`` rows by a total order (cursor, then key): a distributed top-n."""
-    return df.orderBy(*order).limit(n)
+    """First ``n`` rows by a total order (cursor, then key): a cutoff by counts, then a filter."""
+    return ordered.rows_between(df, order, 0, n)
 
 
 def limit_keep_ties(df: DataFrame, n: int, c: str) -> DataFrame:
     """First ``n`` rows by cursor plus every row sharing the n-th row's cursor."""
-    cutoff = df.filter(F.col(c).isNotNull()).select(c).orderBy(c).limit(n).agg(F.max(c))
-    return df.filter(F.col(c) <= cutoff.scalar())
+    known = df.filter(F.col(c).isNotNull())
+    last = ordered.cutoff(known, c, n)
+    return known if last is None else ordered.up_to(known, c, last[0])
 
 
 def trim_boundary_cohort(df: DataFrame, c: str, truncated: bool) -> DataFrame:
@@ -212,7 +213,7 @@ def keyset_resume(df: DataFrame, c: str, tie: str, since=None, since_tie=None, l
             brk.isNull(), F.raise_error(F.lit(f"null tie-break in {tie}")).cast(df.schema[tie].dataType)
         ).otherwise(brk)
         out = out.withColumn(tie, checked)
-    return out.orderBy(c, tie).limit(limit) if limit else out
+    return ordered.rows_between(out, [c, tie], 0, limit) if limit else out
 
 
 def same_cluster_redrain(df: DataFrame, c: str, since, until, cap: int) -> DataFrame:
@@ -222,12 +223,10 @@ def same_cluster_redrain(df: DataFrame, c: str, since, until, cap: int) -> DataF
     the window, nothing would be left to resume from, so the whole window is read instead.
     """
     win = cursor_range(df, c, since, until)
-    head = win.select(c).orderBy(c).limit(cap)
-    ends = head.agg(
-        F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"), F.count(F.lit(1)).alias("n"))
-    ).scalar()
-    stuck = (ends.getField("n") >= cap) & (ends.getField("lo") == ends.getField("hi"))
-    return win.filter(stuck | (F.col(c) <= ends.getField("hi")))
+    last = ordered.cutoff(win, c, cap)
+    if last is None or last[1] == last[2]:  # fewer rows than the cap, or all up to it share the first cursor
+        return win
+    return ordered.up_to(win, c, last[0])
 
 
 # --- probes -----------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators import ordered
 from tidemark.session import checkpointed, discard
 
 
@@ -32,7 +33,7 @@ def sample_parents(parents: DataFrame, key: str, ids: list | None, n: int) -> Da
     """The parents a fan-out covers: those named, else the first ``n`` in key order."""
     if ids:
         return parents.filter(F.col(key).isin(ids))
-    return parents.orderBy(key).limit(n)
+    return ordered.rows_between(parents, [key], 0, n)
 
 
 def fk_names(levels: list[tuple[str, list[str]]], leaf_columns: list[str]) -> list[dict[str, str]]:

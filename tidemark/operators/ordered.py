@@ -253,3 +253,49 @@ def row_index(
     return running_total(df, by, order, F.lit(1).cast("bigint"), out, parts).withColumn(
         out, F.col(out) - 1
     )
+
+
+# --- positions in a total order ---------------------------------------------------------
+
+
+def cutoff(df: DataFrame, c: str, n: int):
+    """(value, rows at or before it, rows at it) of the ``n``-th row by ``c`` (nulls first); None if there are fewer.
+
+    Rows are counted for each value, and the running total is over that table: no task gathers ``n`` rows.
+    """
+    counts = df.groupBy(c).agg(F.count(F.lit(1)).alias(_TMP + "n"))
+    total = running_total(counts, [], [c], F.col(_TMP + "n"), _TMP + "t")
+    found = total.filter(F.col(_TMP + "t") >= n).agg(F.min(F.struct(_TMP + "t", c, _TMP + "n")).alias("x")).first()["x"]
+    return None if found is None else (found[1], found[0], found[2])
+
+
+def up_to(df: DataFrame, c: str, value) -> DataFrame:
+    """Rows at or before a cutoff's value."""
+    if value is None:
+        return df.filter(F.col(c).isNull())
+    return df.filter(F.col(c).isNull() | (F.col(c) <= F.lit(value).cast(df.schema[c].dataType)))
+
+
+def rows_between(df: DataFrame, order: list[str], start: int, stop: int | None) -> DataFrame:
+    """Rows ``start`` (from 0) to before ``stop`` under the total order ``order`` (nulls first).
+
+    Cutoffs of the first order column leave the rows in reach; these alone are numbered, split over the tasks.
+    """
+    start, c, skipped = max(start, 0), order[0], 0
+    if stop is not None:
+        if stop <= start:
+            return df.limit(0)
+        last = cutoff(df, c, stop)
+        df = df if last is None else up_to(df, c, last[0])
+    if start:
+        first = cutoff(df, c, start + 1)
+        if first is None:
+            return df.limit(0)
+        value, skipped = first[0], first[1] - first[2]
+        if value is not None:
+            df = df.filter(F.col(c) >= F.lit(value).cast(df.schema[c].dataType))
+    number = F.col(_TMP + "i") + skipped
+    keep = number >= start
+    if stop is not None:
+        keep = keep & (number < stop)
+    return row_index(df, [], order, _TMP + "i").filter(keep).drop(_TMP + "i")

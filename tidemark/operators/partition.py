@@ -44,16 +44,20 @@ def window_day_ceiling(cursor: dt.datetime | None, window_days: int, init: dt.da
 def match_windows(df: DataFrame, c: str, windows: DataFrame) -> DataFrame:
     """Every (row, window) with ``since < c <= until``.
 
-    Both sides meet on the day, so this is an equi-join with a residual filter and not a
-    comparison of every row with every window. Windows must be bounded on both sides.
+    Both sides meet on a slot as long as the shortest window, so a row meets only the windows that reach into its
+    slot: of disjoint windows two, however many there are. Windows must be bounded on both sides and not empty.
     """
-    days = F.explode(F.sequence(F.to_date("since"), F.to_date("until"))).alias("__day")
-    w = windows.select("*", days)
-    keyed = df.withColumn("__day", F.to_date(c))
+    micros = lambda x: F.unix_micros(F.col(x).cast("timestamp"))
+    width = windows.agg(F.min(micros("until") - micros("since"))).first()[0]  # one row per window, few
+    if width is None:
+        return df.join(windows.limit(0), F.lit(True))
+    slot = lambda x: F.floor(micros(x) / max(width, 1)).cast("bigint")
+    w = windows.select("*", F.explode(F.sequence(slot("since"), slot("until"))).alias("__slot"))
+    keyed = df.withColumn("__slot", slot(c))
     return (
-        keyed.join(w, "__day")
+        keyed.join(w, "__slot")
         .filter((F.col(c) > F.col("since")) & (F.col(c) <= F.col("until")))
-        .drop("__day")
+        .drop("__slot")
     )
 
 

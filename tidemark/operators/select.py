@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators import ordered
+
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATING = (T.FloatType, T.DoubleType, T.DecimalType)
 OPS = ("EQ", "NE", "GT", "GTE", "LT", "LTE", "IN")
@@ -74,7 +76,7 @@ def page_offset(df: DataFrame, order: list[str], offset: int, limit: int) -> Dat
     """Rows ``offset`` to ``offset + limit`` under a total order; beyond the end none."""
     if limit <= 0:
         return df.limit(0)
-    return df.orderBy(*order).offset(max(offset, 0)).limit(limit)
+    return ordered.rows_between(df, order, max(offset, 0), max(offset, 0) + limit)
 
 
 def page_number(df: DataFrame, order: list[str], page: int, size: int) -> DataFrame:

@@ -56,13 +56,11 @@ GRID_BLOCK = 10_000
 def grid(df: DataFrame, start: dt.datetime, end: dt.datetime, interval: dt.timedelta, tag: str = "tag", ts: str = "ts") -> DataFrame:
     """Every (tag, grid point); the number of points is fixed by the interval.
 
-    A long grid is made in blocks that are spread over the cluster before they are filled,
+    The grid is made in blocks that are spread over the cluster before they are filled,
     so neither one row nor one task holds all points of a tag.
     """
     step = F.make_dt_interval(secs=F.lit(interval.total_seconds()))
     tags = df.select(tag).distinct()
-    if (end - start) / interval < GRID_BLOCK:
-        return tags.select(tag, F.explode(F.sequence(F.lit(start), F.lit(end), step)).alias(ts))
     block = interval * GRID_BLOCK
     starts = F.sequence(F.lit(start), F.lit(end), F.make_dt_interval(secs=F.lit(block.total_seconds())))
     blocks = tags.select(tag, F.explode(starts).alias("__from")).repartition(tag, "__from")
@@ -125,11 +123,11 @@ def bucket_start(bucket: Column, start: dt.datetime, width: int, kind: str) -> C
 
 
 def plot(df: DataFrame, start: dt.datetime, end: dt.datetime, intervals: int = 300, tag: str = "tag", ts: str = "ts", value: str = "value", good: str | None = None) -> DataFrame:
-    """Per tag and interval the first, last, lowest, highest and first bad sample: the points
-    that matter for drawing, at most five."""
+    """Per tag and interval the first, last, lowest, highest and first bad sample of ``[start, end]``: the points
+    that matter for drawing, at most five. A sample at ``end`` belongs to the last interval."""
     width = -(-_width(end - start) // intervals)
-    d = df.filter((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end))).select(
-        tag, _bucket(F.col(ts), start, width).alias("__b"), F.struct(F.col(ts).alias("t"), F.col(value).alias("v")).alias("__s"),
+    d = df.filter((F.col(ts) >= F.lit(start)) & (F.col(ts) <= F.lit(end))).select(
+        tag, F.least(_bucket(F.col(ts), start, width), F.lit(intervals - 1).cast("bigint")).alias("__b"), F.struct(F.col(ts).alias("t"), F.col(value).alias("v")).alias("__s"),
         *([F.col(good).alias("__good")] if good else []),
     )
     t, v = F.col("__s.t"), F.col("__s.v")
@@ -153,14 +151,22 @@ def _statistics(weight: Column, v: Column, good: Column, total: Column, count: C
     }
 
 
+def _explode_range(df: DataFrame, first: Column, last: Column, out: str, block: int = 1000) -> DataFrame:
+    """A row for every number from ``first`` to ``last``, by blocks, so that no row holds a long list."""
+    d = df.select("*", first.alias("__first"), last.alias("__last"))
+    d = d.select("*", F.explode(F.sequence("__first", "__last", F.lit(block).cast("bigint"))).alias("__from"))
+    d = d.select("*", F.explode(F.sequence("__from", F.least(F.col("__from") + block - 1, F.col("__last")))).alias(out))
+    return d.drop("__first", "__last", "__from")
+
+
 def summary(
     df: DataFrame, start: dt.datetime, end: dt.datetime, types: list[str] = SUMMARY_TYPES, basis: str = "EventWeighted",
     duration: dt.timedelta | None = None, tag: str = "tag", ts: str = "ts", value: str = "value", good: str | None = None,
 ) -> DataFrame:
     """(tag, ts, type, value) per bucket of ``duration``, or one bucket for the whole range.
 
-    ``TimeWeighted`` holds each value until the next sample (the last until ``end``) and cuts
-    the pieces at the bucket borders; Total is the integral over days, Count the seconds.
+    ``TimeWeighted`` holds each value until the next sample (the last until ``end``), the last one before
+    ``start`` from ``start`` on, and cuts the pieces at the bucket borders; Total is the integral over days, Count the seconds.
     """
     if basis not in ("EventWeighted", "TimeWeighted"):
         raise ValueError(f"unknown basis {basis}")
@@ -170,9 +176,8 @@ def summary(
     kind = df.schema[ts].dataType.simpleString()
     width = _width(duration or (end - start))
     flag = F.col(good) if good else F.lit(True)
-    d = df.filter((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end))).select(
-        tag, F.col(ts).alias("__t"), F.col(value).cast("double").alias("__v"), flag.alias("__g")
-    )
+    named = df.select(tag, F.col(ts).alias("__t"), F.col(value).cast("double").alias("__v"), flag.alias("__g"))
+    d = named.filter((F.col("__t") >= F.lit(start)) & (F.col("__t") < F.lit(end)))
     v, g = F.col("__v"), F.col("__g")
     if basis == "EventWeighted":
         d = d.withColumn("__b", _bucket(F.col("__t"), start, width))
@@ -181,11 +186,14 @@ def summary(
         stats["StdDev"] = F.stddev_samp(ok)
         stats["PopulationStdDev"] = F.stddev_pop(ok)
     else:
-        d = ordered.lead_value(d, [tag], ["__t"], "__t", "__next")
+        held = named.filter(F.col("__t") < F.lit(start)).groupBy(tag).agg(F.max_by(F.struct("__v", "__g"), "__t").alias("__h"))
+        held = held.select(tag, F.lit(start).cast(kind).alias("__t"), "__h.__v", "__h.__g", F.lit(0).alias("__own"))
+        d = d.withColumn("__own", F.lit(1)).unionByName(held)
+        d = ordered.lead_value(d, [tag], ["__t", "__own"], "__t", "__next")
         lo, hi = _us(F.col("__t")) - _lit_us(start), F.coalesce(_us(F.col("__next")), _lit_us(end)) - _lit_us(start)
         d = d.select(tag, "__v", "__g", lo.alias("__lo"), hi.alias("__hi")).filter("__hi > __lo")
         first, last = F.floor(F.col("__lo") / width).cast("bigint"), F.floor((F.col("__hi") - 1) / width).cast("bigint")
-        d = d.select("*", F.explode(F.sequence(first, last)).alias("__b"))
+        d = _explode_range(d, first, last, "__b")
         piece = F.least(F.col("__hi"), (F.col("__b") + 1) * width) - F.greatest(F.col("__lo"), F.col("__b") * width)
         d = d.withColumn("__w", piece / 1e6)
         w = F.col("__w")
@@ -235,21 +243,44 @@ def event_frames(df: DataFrame, start, end, mode: str = "Overlapped", order: lis
         raise ValueError(f"unknown search mode {mode}")
     out = df.filter(tests[mode])
     if max_count is not None or start_index:
-        out = out.orderBy(*(order or [s])).offset(start_index)
-        out = out.limit(max_count) if max_count is not None else out
+        out = ordered.rows_between(out, list(order or [s]), start_index, None if max_count is None else start_index + max_count)
     return out
 
 
+def frame_statistics(frames: DataFrame, samples: DataFrame, end: dt.datetime, tag: str = "tag", ts: str = "ts", s: str = "start_time", e: str = "end_time") -> DataFrame:
+    """Frames with ``samples`` (how many lie in ``start <= ts < end``) and ``last_sample``, without pairing them.
+
+    The number of a tag's samples before a time is a running count; a frame's count is the difference of those at its
+    ends, looked up once for every distinct time. Linear in frames and samples.
+    """
+    f = frames.withColumn("__stop", F.coalesce(F.col(e), F.lit(end)))
+    x = samples.select(tag, F.col(ts).alias("__t"), F.lit(1).cast("bigint").alias("__n"), F.col(ts).alias("__s"))
+    x = x.groupBy(tag, "__t").agg(F.sum("__n").alias("__n"), F.max("__s").alias("__s"))
+    points = f.select(tag, F.explode(F.array(s, "__stop")).alias("__t")).distinct()
+    both = x.withColumn("__kind", F.lit(1)).unionByName(points.withColumn("__kind", F.lit(0)), allowMissingColumns=True)
+    both = ordered.with_chunk(both, [tag], ["__t", "__kind"])  # both steps share its partitioning
+    both = ordered.running_total(both, [tag], ["__t", "__kind"], F.coalesce("__n", F.lit(0)), "__before")
+    both = ordered.fill_value(both, [tag], ["__t", "__kind"], "__s", "__last")
+    at = both.filter("__kind = 0")
+    first, last = at.select(tag, F.col("__t").alias(s), F.col("__before").alias("__b0")), at.select(
+        tag, F.col("__t").alias("__stop"), F.col("__before").alias("__b1"), "__last"
+    )
+    out = f.join(first, [tag, s], "left").join(last, [tag, "__stop"], "left")
+    count = F.greatest(F.coalesce(F.col("__b1") - F.col("__b0"), F.lit(0)), F.lit(0))
+    return out.withColumn("samples", count).withColumn("last_sample", F.when(count > 0, F.col("__last"))).drop("__stop", "__b0", "__b1", "__last")
+
+
 def frame_samples(frames: DataFrame, samples: DataFrame, end: dt.datetime, slot: dt.timedelta, tag: str = "tag", ts: str = "ts", s: str = "start_time", e: str = "end_time") -> DataFrame:
-    """Samples within each frame of the same tag (``start <= ts < end``, an open frame until ``end``).
+    """Samples within each frame of the same tag (``start <= ts < end``, an open frame until ``end``): all pairs, so
+    as large as the frames are long. For counts and last values see ``frame_statistics``.
 
     Frames and samples meet on (tag, time slot): an equi-join with a residual filter whose
     hot slots adaptive execution can split.
     """
     width = _width(slot)
     stop = F.coalesce(F.col(e), F.lit(end))
-    slots = F.sequence(F.floor(_us(F.col(s)) / width).cast("bigint"), F.floor(_us(stop) / width).cast("bigint"))
-    f = frames.filter(stop >= F.col(s)).select("*", stop.alias("__stop"), F.explode(slots).alias("__slot"))
+    f = frames.filter(stop >= F.col(s)).select("*", stop.alias("__stop"))
+    f = _explode_range(f, F.floor(_us(F.col(s)) / width).cast("bigint"), F.floor(_us(F.col("__stop")) / width).cast("bigint"), "__slot")
     x = samples.withColumn("__slot", F.floor(_us(F.col(ts)) / width).cast("bigint"))
     return f.join(x, [tag, "__slot"]).filter((F.col(ts) >= F.col(s)) & (F.col(ts) < F.col("__stop"))).drop("__slot", "__stop")
 

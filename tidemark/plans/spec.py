@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+# Names and keys of a specification.
 SCD_TYPES = ("SCD_TYPE_1", "SCD_TYPE_2", "APPEND_ONLY")
 RESERVED = ("scd_type", "primary_keys", "sequence_by", "cluster_by")
 _TABLE_KEYS = {"source_table", "destination_catalog", "destination_schema", "destination_table", "table_configuration"}

@@ -80,15 +80,17 @@ def j06(t):
 
 @query(
     "j07_plot",
-    SAMPLES + """, b as (select *, (epoch_us(ts) - epoch_us(timestamp '2024-01-02')) // 46656000000 as b, value < 400 as good from s
-        where ts >= timestamp '2024-01-02' and ts < timestamp '2024-01-29'),
+    SAMPLES + """, u as (select * from s where ts <> timestamp '2024-01-29' union all select distinct tag, timestamp '2024-01-29', 123.0 from s),
+      b as (select *, least((epoch_us(ts) - epoch_us(timestamp '2024-01-02')) // 46656000000, 49) as b, value < 400 as good from u
+        where ts >= timestamp '2024-01-02' and ts <= timestamp '2024-01-29'),
       r as (select *, row_number() over (partition by tag, b order by ts) a1, row_number() over (partition by tag, b order by ts desc) a2,
         row_number() over (partition by tag, b order by value, ts) a3, row_number() over (partition by tag, b order by value desc, ts desc) a4,
         row_number() over (partition by tag, b, good order by ts) a5 from b)
       select tag, ts, value from r where a1 = 1 or a2 = 1 or a3 = 1 or a4 = 1 or (not good and a5 = 1)""",
 )
 def j07(t):
-    df = _samples(t).withColumn("good", F.col("value") < 400)
+    at_end = _samples(t).select("tag").distinct().select("tag", F.lit(E).cast("timestamp_ntz").alias("ts"), F.lit(123.0).alias("value"))
+    df = _samples(t).filter(F.col("ts") != F.lit(E)).unionByName(at_end).withColumn("good", F.col("value") < 400)
     return ts.plot(df, S, E, 50, good="good")
 
 
@@ -108,9 +110,10 @@ def j08(t):
 
 @query(
     "j08_summary_time_weighted",
-    SAMPLES + """, d as (select tag, value v, epoch_us(ts) - epoch_us(timestamp '2024-01-02') lo,
-        coalesce(lead(epoch_us(ts)) over (partition by tag order by ts), epoch_us(timestamp '2024-01-29')) - epoch_us(timestamp '2024-01-02') hi from s
-        where ts >= timestamp '2024-01-02' and ts < timestamp '2024-01-29'),
+    SAMPLES + """, u as (select tag, ts, value, 1 as own from s where ts >= timestamp '2024-01-02' and ts < timestamp '2024-01-29'
+        union all select tag, timestamp '2024-01-02', arg_max(value, ts), 0 from s where ts < timestamp '2024-01-02' group by tag),
+      d as (select tag, value v, epoch_us(ts) - epoch_us(timestamp '2024-01-02') lo,
+        coalesce(lead(epoch_us(ts)) over (partition by tag order by ts, own), epoch_us(timestamp '2024-01-29')) - epoch_us(timestamp '2024-01-02') hi from u),
       p as (select tag, v, b, (least(hi, (b + 1) * 86400000000) - greatest(lo, b * 86400000000)) / 1000000.0 w from
         (select *, unnest(generate_series(lo // 86400000000, (hi - 1) // 86400000000)) b from d where hi > lo)),
       a as (select tag, timestamp '2024-01-02' + to_days(cast(b as int)) as ts, sum(w * v) / 86400 as "Total", sum(w * v) / sum(w) as "Average",
@@ -162,8 +165,18 @@ def j11(t):
 )
 def j11_samples(t):
     fr = frames(t).withColumn("end_time", F.coalesce("end_time", F.col("start_time") + F.expr("interval 1 day")))
-    joined = ts.frame_samples(fr.drop("user_id"), _samples(t), dt.datetime(2024, 2, 2), dt.timedelta(hours=2))
-    return joined.groupBy("frame_id").agg(F.count(F.lit(1)).alias("samples"), F.max("ts").alias("last_sample"))
+    out = ts.frame_statistics(fr.drop("user_id"), _samples(t), dt.datetime(2024, 2, 2))
+    return out.filter("samples > 0").select("frame_id", "samples", "last_sample")
+
+
+@query(
+    "j11_frame_pairs",
+    FRAMES + """ select frame_id, e.ts, e.value from f join events e on e.event_type = f.tag
+      and e.ts >= start_time and e.ts < end_time where f.tag = 'error'""",
+)
+def j11_pairs(t):
+    closed = frames(t).filter("tag = 'error' and end_time is not null")
+    return ts.frame_samples(closed.drop("user_id"), _samples(t), dt.datetime(2024, 2, 2), dt.timedelta(hours=2)).select("frame_id", "ts", "value")
 
 
 @query(

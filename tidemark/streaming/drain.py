@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-MAX_STEPS = 50
 # Offset entries that are bookkeeping and do not count as progress.
 BOOKKEEPING_PREFIXES = ("lb_",)
 BOOKKEEPING_KEYS = ("capabilities",)
@@ -21,9 +20,11 @@ def progress_guard(start: dict | None, end: dict | None, emitted: bool) -> None:
         raise RuntimeError(f"rows were emitted but the offset stayed at {end}")
 
 
-def drain(step, offset: dict | None = None, max_steps: int = MAX_STEPS) -> tuple[dict | None, int]:
-    """Call ``step(offset) -> new offset`` until the offset is unchanged: (offset, steps)."""
-    for n in range(1, max_steps + 1):
+def drain(step, offset: dict | None = None, max_steps: int | None = None) -> tuple[dict | None, int]:
+    """Call ``step(offset) -> new offset`` until the offset is unchanged: (offset, steps). A caller may bound the steps."""
+    n = 0
+    while max_steps is None or n < max_steps:
+        n += 1
         new = step(offset)
         if _progress(new) == _progress(offset):
             return offset, n
