@@ -13,7 +13,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
 _MODULES = [
     "scans", "cursor", "change", "partition", "coerce", "shape", "select", "family", "timeseries",
-    "formats", "quality", "ingest", "reports",
+    "formats", "clinical", "quality", "ingest", "reports",
 ]
 
 
