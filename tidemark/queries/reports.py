@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import reports as rp
 from tidemark.queries import query
+from tidemark.session import scratch_dir
+from tidemark.sources import files
+from tidemark.streaming.read import append_stream, finish
 
 GAP = 6 * 3600
 SESS = """with e as (select user_id, ts, event_id, lag(ts) over (partition by user_id order by ts, event_id) p from events),
@@ -44,6 +47,20 @@ def n03_sessions(t):
     return rp.sessions(t.events, "user_id", "ts", GAP)
 
 
+@query("n03_streaming_sessions", SESS + ' select user_id, "start", "end", events from s')
+def n03_streaming(t):
+    # two sittings: all events, then one far in the future, which moves the watermark past every session
+    df = t.events.select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    path, out, ck = (scratch_dir(t.spark, f"n03-{x}") for x in ("in", "out", "ck"))
+    df.repartition(4).write.parquet(path)
+    for _ in range(2):
+        stream = files.read_stream(t.spark, files.Landed(path, schema=df.schema), 2)
+        finish(append_stream(rp.streaming_sessions(stream, "user_id", "ts", f"{GAP} seconds", "60 days"), out, ck))
+        df.limit(1).select(F.lit(-1).cast("bigint").alias("user_id"), (F.col("ts") + F.expr("interval 1000 days")).alias("ts")).write.mode("append").parquet(path)
+    done = t.spark.read.parquet(out).filter("user_id >= 0")
+    return done.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "events")
+
+
 @query("n03_avg_session_length", SESS + ' select cast("start" as date) as date, round(avg(seconds), 4) as length from s group by 1')
 def n03(t):
     return rp.avg_session_length(t.events, "user_id", "ts", GAP).withColumn("length", F.round("length", 4))
