@@ -199,12 +199,17 @@ def _text(x: str, flag: str) -> str:
     return f"nullif(if({flag}, {x}, translate({x}, __from, __to)), '')"
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``value`` computed once and called ``name`` in it."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
 def _dtm(x: str) -> str:
-    """``hl7_dtm`` as SQL."""
-    t = f"regexp_replace(trim({x}), '^[()]+|[()]+$', '')"
-    digits, offset = f"regexp_extract({t}, r'{HL7_DTM}', 1)", f"regexp_extract({t}, r'{HL7_DTM}', 2)"
-    full = f"concat({digits}, substring('{HL7_FILL}', length({digits}) + 1, 14), if({offset} = '', 'Z', {offset}))"
-    return f"""date_format(try_to_timestamp({full}, 'yyyyMMddHHmmssXX'), "yyyy-MM-dd'T'HH:mm:ss")"""
+    """``hl7_dtm`` as SQL; the text is cleaned and taken apart once."""
+    cut = f"struct(regexp_extract(t, r'{HL7_DTM}', 1) as d, regexp_extract(t, r'{HL7_DTM}', 2) as o)"
+    full = f"concat(p.d, substring('{HL7_FILL}', length(p.d) + 1, 14), if(p.o = '', 'Z', p.o))"
+    iso = f"""date_format(try_to_timestamp({full}, 'yyyyMMddHHmmssXX'), "yyyy-MM-dd'T'HH:mm:ss")"""
+    return _let("t", f"regexp_replace(trim({x}), '^[()]+|[()]+$', '')", f"if(t is null, null, {_let('p', cut, iso)})")
 
 
 def _int(x: str) -> str:
@@ -221,8 +226,8 @@ def _struct(named: list[tuple[str, str]]) -> str:
 
 def _filled(named: list[tuple[str, str]]) -> str:
     """The struct of the parts, or null when all of them are null."""
-    seen = ", ".join(f"({e}) is not null" for _, e in named)
-    return f"if(array_contains(array({seen}), true), {_struct(named)}, null)"
+    seen = " or ".join(f"({e}) is not null" for _, e in named)  # the first part found ends the test
+    return f"if({seen}, {_struct(named)}, null)"
 
 
 def _members(spec: str, comps: str, flag: str) -> list[tuple[str, str]]:
