@@ -24,7 +24,7 @@ ship(__name__)
 
 #: Words of repeated text in a row from which it is taken out. Chunks at the ends of a repeated passage differ, as they
 #: reach beyond it, so that a passage of 50 words shows this many or more.
-MIN_WORDS = 12
+MIN_WORDS = 16
 #: One word in so many starts a chunk.
 MEAN_WORDS = 5
 #: Multiplier and offset from which the gear table is made.
