@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import change as ch
-from tidemark.streaming.apply import AppendTarget, ManifestFolder, MergeTarget, SnapshotTarget
+from tidemark.streaming.apply import AppendTarget, MergeTarget, SnapshotTarget
 
 SCHEMA = "k bigint, seq bigint, v string, __deleted boolean"
 
@@ -58,24 +58,26 @@ def test_target_does_not_depend_on_batching(spark, folder, scd_type, seed):
     stream = rows + rnd.sample(rows, 60)  # shuffled and partly redelivered
     rnd.shuffle(stream)
     schema = spark.createDataFrame([], SCHEMA).schema
-    t = MergeTarget(spark, folder, schema, ["k"], "seq", scd_type, buckets=4)
+    t = MergeTarget(spark, folder, schema, ["k"], "seq", scd_type)
     cuts = sorted(rnd.sample(range(1, len(stream)), 2))
     parts = [stream[a:b] for a, b in zip([0, *cuts], [*cuts, len(stream)])]
     for i, part in enumerate(parts):
         t.apply(spark.createDataFrame(part, SCHEMA), i)
         t.apply(spark.createDataFrame(part, SCHEMA), i)  # the batch is repeated after a failure
+        if i == 1:
+            t.compact()
     if scd_type == 1:
         assert _rows(t.read(), "k", "seq", "v") == brute_scd1(rows)
     else:
         assert _rows(t.read(), "k", "v", "__START_AT", "__END_AT") == brute_scd2(rows)
-    assert len(ManifestFolder(spark, folder).numbers()) == len(parts)
     before = _rows(t.read(), "k", "v")
-    t.vacuum(1)
-    assert _rows(t.read(), "k", "v") == before
+    assert t.compact() == len(parts) - 1
+    t.log.forget()
+    assert t.log.since(-1).count() == 0 and _rows(t.read(), "k", "v") == before
 
 
 def test_late_upsert_does_not_resurrect(spark, folder):
-    t = MergeTarget(spark, folder, spark.createDataFrame([], SCHEMA).schema, ["k"], "seq", 1, buckets=2)
+    t = MergeTarget(spark, folder, spark.createDataFrame([], SCHEMA).schema, ["k"], "seq", 1)
     t.apply(spark.createDataFrame([(1, 5, "a", False)], SCHEMA), 0)
     t.apply(spark.createDataFrame([(1, 9, None, True)], SCHEMA), 1)
     t.apply(spark.createDataFrame([(1, 7, "late", False)], SCHEMA), 2)
@@ -98,7 +100,7 @@ def test_tie_is_decided_the_same_way_in_any_order(spark):
 
 
 def test_null_sequence_is_quarantined(spark, folder):
-    t = MergeTarget(spark, folder, spark.createDataFrame([], SCHEMA).schema, ["k"], "seq", 1, buckets=2)
+    t = MergeTarget(spark, folder, spark.createDataFrame([], SCHEMA).schema, ["k"], "seq", 1)
     t.apply(spark.createDataFrame([(1, None, "x", False), (None, 3, "y", False), (2, 3, "z", False)], SCHEMA), 0)
     assert _rows(t.read(), "k") == [(2,)]
     assert t.quarantine().count() == 2
@@ -155,10 +157,3 @@ def test_clustered_splits_a_hot_value(spark):
 def test_full_row_dedupe_with_maps(spark):
     rows = [(1, {"a": 1, "b": 2}), (1, {"b": 2, "a": 1}), (1, {"a": 1}), (1, None), (1, None)]
     assert ch.full_row_dedupe(spark.createDataFrame(rows, "k int, m map<string,int>")).count() == 3
-
-
-def test_second_writer_is_noticed(spark, folder):
-    m = ManifestFolder(spark, folder)
-    m.commit({"number": 0, "applied": {}, "parts": {}})
-    with pytest.raises(RuntimeError):
-        m.commit({"number": 0, "applied": {}, "parts": {}})

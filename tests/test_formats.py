@@ -117,7 +117,7 @@ def test_dicom_lower_case_tags_and_names(spark):
 
 def test_sap_dates(spark):
     body = '{"__metadata":{},"d":"/Date(-1000)/","t":"see /Date(5)/ here","n":{"__deferred":{}}}'
-    r = spark.createDataFrame([(body,)], "b string").select(sap.clean(F.col("b")).alias("c")).first()["c"]
+    r = spark.createDataFrame([(body,)], "b string").select(sap.clean(F.col("b"), 1).alias("c")).first()["c"]
     assert json.loads(r) == {"d": "1969-12-31T23:59:59Z", "t": "see /Date(5)/ here"}
 
 
