@@ -1,4 +1,4 @@
-"""Headline queries at one scale factor; prints one JSON line.
+"""Headline queries at one scale factor: the median of two runs after one to warm up; prints one JSON line.
 
 ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS`` (default 8), ``BENCH_ONLY``
 (comma-separated name parts) and ``BENCH_ALL=1`` for every registered query.
@@ -22,7 +22,9 @@ HEADLINE = [
     "f03_split_custom_props", "f23_redact_emails", "f24_row_digest", "g01_filter_ops", "h01_fan_out", "h02_tag_ancestor_fks",
     "h06_changed_parents_only", "i02_hl7_segments", "i05_hl7_table_pid", "i10_fhir_observation", "i12_dicom_json",
     "j02_interpolated", "j04_recorded_at", "j08_summary_time_weighted", "j11_frame_samples", "k05_check_pk_unique",
-    "k10_table_profile", "n01_report", "n02_active_users", "n03_sessions", "l01_ingest",
+    "k10_table_profile", "n01_report", "n02_active_users", "n03_sessions", "l01_ingest", "h09_hierarchy", "k06_schema_diff", "k07_shape_diff",
+    "c03_streaming_scd1", "c05_streaming_scd2", "e10_array", "e11_map", "i14_osdu_records", "i15_sap_records", "d04_bin_units",
+    "d06_plan_coverage",
 ]
 
 

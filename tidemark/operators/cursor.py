@@ -109,7 +109,7 @@ def window_compact(
     """Chain windows until ``max_records`` rows are gathered or the ceiling is reached.
 
     Whole windows only: the window that reaches the cap is still read in full. The window
-    runs over the per-window counts (one row per window), not over the data.
+    runs over the per-window counts in one task: one row per window, so range / size rows however large the data.
     """
     counts = window_counts(df, c, since, size, ceiling)
     before = Window.orderBy("window").rowsBetween(Window.unboundedPreceding, -1)
