@@ -24,16 +24,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, ship
+from tidemark.llm.common import map_rows, ship, written
 
 ship(__name__)
 
-#: Rows of the sample, parts, neighbours in the graph, units of the classifier.
+#: Rows of the sample, least number of parts, neighbours in the graph, units of the classifier.
 SAMPLE, PARTS, DEGREE, HIDDEN = 8_192, 32, 10, 128
+#: Rows for which there is one more part, as far as the sample has 64 rows for each.
+PART_ROWS = 100_000
 #: Recall that the share of probability is chosen for.
 RECALL = 0.96
 #: Most rows or queries of a block.
-BLOCK = 4_096
+BLOCK = 16_384
 
 
 @dataclass
@@ -129,10 +131,10 @@ def visited(probabilities: np.ndarray, share: float, sizes: np.ndarray, least: i
     return out
 
 
-def fit(vectors: np.ndarray, k: int, seed: int = 5) -> Router:
-    """A router from a bounded sample of vectors."""
+def fit(vectors: np.ndarray, k: int, parts: int = PARTS, seed: int = 5) -> Router:
+    """A router into ``parts`` (fewer for a small sample) from a bounded sample of vectors."""
     rng, n, d = np.random.default_rng(seed), *vectors.shape
-    parts = int(min(PARTS, n // 64))
+    parts = int(min(parts, n // 64))
     scale = float(d**0.5 / max(np.sqrt((vectors * vectors).sum(1).mean()), 1e-300)) if n else 1.0
     if parts < 2:
         return Router(d, scale, [np.zeros((d, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1)], 1.0)
@@ -168,12 +170,12 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 def search(df: DataFrame, is_query, k: int = 20, vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for the rows where ``is_query`` holds, the ``k`` nearest of all others found."""
-    base = usable(df, vector)
+    base = written(usable(df, vector), "vectors")
     sample = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()  # at most SAMPLE rows
     lengths = Counter(map(len, sample["vector"].to_pylist()))
     size = min(lengths, key=lambda n: (-lengths[n], n)) if lengths else 1
     rows = [v for v in sample["vector"].to_pylist() if len(v) == size]
-    router = fit(np.array(rows, np.float64).reshape(len(rows), size), k)
+    router = fit(np.array(rows, np.float64).reshape(len(rows), size), k, max(PARTS, base.count() // PART_ROWS))
     base = base.filter(F.size("vector") == size)
 
     w = Window.partitionBy("vector").orderBy("vec_id")
@@ -182,7 +184,7 @@ def search(df: DataFrame, is_query, k: int = 20, vector: str = "embedding") -> D
     def make_home():
         return lambda cols: [cols[0], cols[1], router.probabilities(np.array(cols[1])).argmax(1).astype(np.int32)]
 
-    indexed = map_rows(few, make_home, "vec_id bigint, vector array<double>, part int")
+    indexed = written(map_rows(few, make_home, "vec_id bigint, vector array<double>, part int"), "index")
     parts = router.layers[2].shape[1]
     counts = {r.part: r.n for r in indexed.groupBy("part").agg(F.count("*").alias("n")).collect()}  # one row a part
     sizes = np.array([counts.get(p, 0) for p in range(parts)])
