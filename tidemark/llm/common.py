@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
+import gc
 import os
+import re
 import sys
 import tempfile
 import uuid
@@ -40,7 +41,7 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``; a local session without that setting gets one of its own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = os.path.join(tempfile.gettempdir(), "tidemark-llm")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
@@ -62,12 +63,31 @@ def removed(*tables: DataFrame) -> None:
         p.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that are no longer held; it does so when the JVM collects garbage, which a
+    driver with little to do puts off."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+#: Rows that go to a Python worker at once, so that a batch of long texts stays small.
+BATCH_ROWS = 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's limit of rows in an Arrow batch to ``BATCH_ROWS``."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
     """Run Python over ``df`` in Arrow batches.
 
     ``make()`` is called once in each task and returns ``fn(columns) -> columns``, where columns
     are lists (or Arrow arrays) in schema order. Memory is bounded by one batch.
     """
+    small_batches(df.sparkSession)
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -76,8 +96,8 @@ def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for b in batches:
-            for start in range(0, b.num_rows, 1024):
-                part = b.slice(start, 1024)
+            for start in range(0, b.num_rows, BATCH_ROWS):
+                part = b.slice(start, BATCH_ROWS)
                 cols = fn([c.to_pylist() for c in part.columns])
                 if cols and len(cols[0]):
                     yield pa.RecordBatch.from_arrays(
@@ -91,11 +111,6 @@ def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFr
     return df.mapInArrow(run, schema)
 
 
-def digest64(data: bytes) -> int:
-    """Signed 64-bit digest."""
-    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
-
-
 def labelled_sample(labels: DataFrame, column: str, folds: int, fold: int, bound: int) -> DataFrame:
     """At most ``bound`` training rows (doc_id, label) in hash order: conflicting, null and held-out ids take no part.
 

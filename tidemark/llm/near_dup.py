@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, map_rows, removed, ship, written
+from tidemark.llm.common import fresh, map_rows, release, removed, ship, written
 from tidemark.llm.components import components
 
 ship(__name__)
@@ -131,7 +131,7 @@ def buckets(found: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(class, set) of the wanted classes (doc_id, class), each from one of its rows."""
+    """(class, set) of the wanted classes (class, _key), each from one of its rows."""
 
     def make():
         reader = Shingles()
@@ -143,7 +143,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
         return fn
 
-    rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", "class", "text")
+    rows = docs.select(row_key(), "text").join(wanted, "_key").select("_key", "class", "text")
     return map_rows(rows, make, "class bigint, set array<bigint>").dropDuplicates(["class"])
 
 
@@ -164,13 +164,16 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(a, b): links between classes, enough of them to connect every two classes that a chain of links connects.
 
     ``found`` is a written table of ``classes``."""
+    spark = docs.sparkSession
     reps = found.filter("class is not null").groupBy("class").agg(
-        F.min("doc_id").alias("_id"), F.max("n_shingles").alias("n"), F.min_by("groups", "n_shingles").alias("groups")
+        F.max("n_shingles").alias("n"), F.min_by("groups", "n_shingles").alias("groups")
     )
     members = written(buckets(reps.select("class", "n", "groups")), "buckets")
+    release(spark)
     candidates = members.select("class").distinct()
-    wanted = found.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("_id"))
+    wanted = found.filter("class is not null").groupBy("class").agg(F.min("_key").alias("_key"))
     sets = written(sets_of(docs, wanted.join(candidates, "class")), "sets")
+    release(spark)
 
     # two pivots for each bucket: the first by a hash of the class, and the largest set
     order = F.struct(F.xxhash64("class"), F.col("class"), F.col("n"))
@@ -182,6 +185,7 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
         F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")
     ).distinct()
     tested = written(confirmed(star, sets), "tested")
+    release(spark)
     linked = tested.filter("linked").select("a", "b")
     parts = written(components(linked), "parts")
 
@@ -201,6 +205,7 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     more = confirmed(rest, sets).filter("linked").select("a", "b")
     out = written(linked.union(more), "links")
     removed(members, sets, tested, parts, open_)
+    release(spark)
     return out
 
 
@@ -262,3 +267,25 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         twice = out.join(several, key, "left_semi").dropDuplicates([key])
         out = out.join(several, key, "left_anti").unionByName(twice)
     return out.select(*docs.columns)
+
+
+#: The rows of ``near_duplicates`` over ``documents``, in DuckDB's SQL: every two sets that share a shingle are compared.
+ORACLE = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), s as (
+  select distinct doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as shingle from d
+), n as (
+  select doc_id, count(*) as n from s group by 1
+), c as (
+  select a.doc_id as x, b.doc_id as y, count(*) as same from s a join s b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by 1, 2
+), l as (
+  select x, y from c join n p on p.doc_id = x join n q on q.doc_id = y where 100 * same >= 75 * (p.n + q.n - same)
+), r as (
+  select doc_id, doc_id as other from d union select r.doc_id, l.y from r join l on l.x = r.other
+)
+select r.doc_id, cast(coalesce(max(n.n), 0) as bigint) as n_shingles, min(other) as component_id, r.doc_id = min(other) as kept
+from r left join n on n.doc_id = r.doc_id group by r.doc_id
+"""

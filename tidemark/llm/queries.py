@@ -69,4 +69,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_mixing, op2_neighbours, op3_toxicity, op4_merkle, op5_licenses, op6_language_model, op7_substring, op8_byte_bpe, op9_near_dup, op10_quality)
 }
-ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE, "op9_near_dup": near_dup.ORACLE}

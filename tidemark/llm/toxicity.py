@@ -18,6 +18,7 @@ import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass, field
+from typing import Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, labelled_sample, map_rows, ship, written
+from tidemark.llm.common import held_out, labelled_sample, map_rows, removed, ship, small_batches, written
 
 ship(__name__)
 
@@ -42,7 +43,7 @@ Z_MIN, Z_OFF, LEAST = 3.3, 2.0, 1.0
 DRIFT = -0.25
 THRESHOLD = 0.3
 #: Distinct tokens remembered by a task.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 WORD = r"\w+"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -104,7 +105,7 @@ def count_tokens(rows: DataFrame) -> DataFrame:
                 own = {f for word in set(re.findall(WORD, (text or "").lower())) for f in features(word)}
                 counts.update((f, label) for f in own)
                 counts["n:", label] += 1
-                if len(counts) > 300_000:
+                if len(counts) > 150_000:
                     out = [a + b for a, b in zip(out, drain())]
             return out
 
@@ -213,13 +214,13 @@ def fit(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     """A model from at most ``bound`` labelled rows outside the held-out fold, of near copies one; three quarters give
     the odds, the rest the calibration."""
     chosen = labelled_sample(labels, "toxic", FOLDS, FOLD, bound)
-    rows = written(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxicity")
+    sample = written(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxicity")
     make_keys = lambda: lambda cols: [cols[0], [copy_keys(t) for t in cols[1]]]
-    keys = map_rows(rows.select("doc_id", "text"), make_keys, "doc_id bigint, keys array<bigint>").toArrow()
+    keys = map_rows(sample.select("doc_id", "text"), make_keys, "doc_id bigint, keys array<bigint>").toArrow()
     single = without_copies(np.array(keys["keys"].to_pylist(), np.int64).reshape(-1, 4), np.asarray(keys["doc_id"], np.int64))
     spark = documents.sparkSession
     single = spark.createDataFrame(pa.table({"doc_id": pa.array(single, pa.int64())}))  # at most ``bound`` ids
-    rows = rows.join(F.broadcast(single), "doc_id", "left_semi")
+    rows = sample.join(F.broadcast(single), "doc_id", "left_semi")
     calibration = F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(4)) == 0
     model = Model()
     model.odds = {r.token: r.score for r in significant(count_tokens(rows.filter(~calibration))).collect()}
@@ -236,6 +237,7 @@ def fit(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     seen = map_rows(
         rows.filter(calibration).select("text", "label"), make, "label int, tokens bigint, scores array<double>"
     ).collect()  # a part of the bounded sample
+    removed(sample)
     clean = [r for r in seen if r.label == 0]
     if not clean or len(clean) == len(seen):
         return model
@@ -285,13 +287,13 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
 def clean(documents: DataFrame, model: Model) -> DataFrame:
     """The rows of ``documents`` that score below the threshold, with all their columns; decided where the text is,
     without a join."""
+    small_batches(documents.sparkSession)
+
     @F.pandas_udf("double")
-    def probability(texts: pd.Series) -> pd.Series:
+    def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scanner = Scanner(model)
-        out = []
-        for text in texts:
-            n, found = scanner.segments(text)
-            out.append(scanner.probability(scanner.total(n, found)))
-        return pd.Series(out, dtype="float64")
+        for texts in batches:
+            found = map(scanner.segments, texts)
+            yield pd.Series([scanner.probability(scanner.total(n, x)) for n, x in found], dtype="float64")
 
     return documents.filter(probability("text") < THRESHOLD)
