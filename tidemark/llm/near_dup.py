@@ -114,20 +114,30 @@ def classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def shared(rows: DataFrame, key: str) -> DataFrame:
-    """The rows whose ``key`` occurs more than once."""
-    return rows.join(rows.groupBy(key).count().filter("count > 1").select(key), key)
+def shared(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(the rows whose ``key`` occurs more than once, the written table of these keys).
+
+    Counts are combined before the shuffle. As the keys are a table of their own, adaptive execution can split a
+    hot key's rows in the join, which it can't next to an aggregate.
+    """
+    keys = written(rows.groupBy(key).count().filter("count > 1").select(key), "keys")
+    return rows.join(keys, key), keys
 
 
 def buckets(found: DataFrame) -> DataFrame:
-    """(class, n, bucket): memberships in table buckets of two classes or more, from (class, n, groups)."""
+    """(class, n, bucket): memberships in table buckets of two classes or more, from (class, n, groups); written."""
     single = found.select("class", "n", F.posexplode("groups").alias("place", "value"))
-    some = shared(single, "value").groupBy("class", "n").agg(
+    some, values = shared(single, "value")
+    some = some.groupBy("class", "n").agg(
         F.collect_list(F.when(F.col("place") < GROUPS, F.col("value"))).alias("left"),
         F.collect_list(F.when(F.col("place") >= GROUPS, F.col("value"))).alias("right"),
     )  # at most GROUPS values each
     pairs = some.withColumn("u", F.explode("left")).withColumn("v", F.explode("right"))
-    return shared(pairs.select("class", "n", F.xxhash64("u", "v").alias("bucket")), "bucket")
+    pairs = written(pairs.select("class", "n", F.xxhash64("u", "v").alias("bucket")), "pairs")
+    members, keys = shared(pairs, "bucket")
+    out = written(members, "buckets")
+    removed(values, pairs, keys)
+    return out
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -168,7 +178,7 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     reps = found.filter("class is not null").groupBy("class").agg(
         F.max("n_shingles").alias("n"), F.min_by("groups", "n_shingles").alias("groups")
     )
-    members = written(buckets(reps.select("class", "n", "groups")), "buckets")
+    members = buckets(reps.select("class", "n", "groups"))
     release(spark)
     candidates = members.select("class").distinct()
     wanted = found.filter("class is not null").groupBy("class").agg(F.min("_key").alias("_key"))
@@ -181,6 +191,7 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     ends = pivots.select("bucket", F.explode(F.array(
         F.struct(F.col("p.class").alias("pivot"), F.col("p.n").alias("m")), F.struct(F.col("q.class").alias("pivot"), F.col("q.n").alias("m"))
     )).alias("e")).select("bucket", "e.*")
+    ends = written(ends, "pivots")  # a table, so that the join can split a hot bucket
     star = members.join(ends, "bucket").filter(_possible("n", "m")).filter("class <> pivot").select(
         F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")
     ).distinct()
@@ -195,8 +206,9 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
     mixed = named.groupBy("bucket").agg(
         F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("c"), F.min_by("part", F.xxhash64("class")).alias("main")
-    ).filter("p <> q and c > 2")
-    open_ = named.join(mixed.select("bucket", "main"), "bucket").groupBy("class").agg(
+    ).filter("p <> q and c > 2").select("bucket", "main")
+    mixed = written(mixed, "mixed")
+    open_ = named.join(mixed, "bucket").groupBy("class").agg(
         F.first("n").alias("n"), F.first("part").alias("part"), F.max(F.col("part") != F.col("main")).alias("aside"),
         F.collect_set("bucket").alias("buckets"),
     )  # at most GROUPS ** 2 buckets
@@ -204,7 +216,7 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     rest = untested(open_, sets).join(tested, ["a", "b"], "left_anti")
     more = confirmed(rest, sets).filter("linked").select("a", "b")
     out = written(linked.union(more), "links")
-    removed(members, sets, tested, parts, open_)
+    removed(members, sets, ends, tested, parts, mixed, open_)
     release(spark)
     return out
 
@@ -241,7 +253,7 @@ def _members(docs: DataFrame) -> DataFrame:
     named = least.join(parts, least["class"] == parts["node"], "left").select(
         "class", "least", F.coalesce("component", "class").alias("part")
     )
-    ids = named.groupBy("part").agg(F.min("least").alias("component_id"))
+    ids = written(named.groupBy("part").agg(F.min("least").alias("component_id")), "ids")
     rows = found.join(named.join(ids, "part").select("class", "component_id"), "class", "left")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select(
