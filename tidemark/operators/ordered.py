@@ -79,7 +79,7 @@ def chunked(df: DataFrame, by: list[str], order: list[str], cuts: dict[int, list
     if not cuts:
         return df.withColumn(CHUNK, F.lit(0))
     # constants: at most two cuts for each part
-    entries = [x for k, v in cuts.items() for x in (F.lit(k).cast("bigint"), F.array_sort(F.array(*[_position_of(df, order, c) for c in v])))]
+    entries = [x for k, v in cuts.items() for x in (F.lit(k).cast("bigint"), F.sort_array(F.array(*[_position_of(df, order, c) for c in v])))]
     own = F.element_at(F.create_map(*entries), _key(by))
     longest = max(map(len, cuts.values()))
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(longest.bit_length()))])
@@ -188,7 +188,8 @@ def fill_value(
         if out_last:
             df = df.withColumn(out_last, F.last(value, True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
         if out_next:
-            df = df.withColumn(out_next, F.first(value, True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+            back = Window.partitionBy(*by).orderBy(*[F.desc(c) for c in order])  # a frame that grows is linear
+            df = df.withColumn(out_next, F.last(value, True).over(back.rowsBetween(Window.unboundedPreceding, 0)))
         return df
     filled = d.filter(F.col(value).isNotNull())
     position = _position(order)
@@ -209,12 +210,12 @@ def fill_value(
     )
     w = _inside(by, order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    onward = w.rowsBetween(0, Window.unboundedFollowing)
+    onward = _inside(by, [F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0)  # linear, as the frame grows
     extra = []
     if out_last:
         extra.append(F.last(value, True).over(upto).alias(_TMP + "l"))
     if out_next:
-        extra.append(F.first(value, True).over(onward).alias(_TMP + "n"))
+        extra.append(F.last(value, True).over(onward).alias(_TMP + "n"))
     d = _join_summary(d.select("*", *extra), carry, by)
     if out_last:
         d = d.withColumn(out_last, F.coalesce(_TMP + "l", _TMP + "prev"))
