@@ -75,6 +75,28 @@ def test_passages_are_located(spark):
     assert row.predicted == 1 and toxicity.clean(docs, model).count() == 0
 
 
+def test_every_passage_scores_though_its_words_came_before(spark):
+    odds = {f"w:bad{i}": 2.0 for i in range(6)}
+    model = toxicity.Model(odds=odds, rate=1e-3, offset=-2, slope=1)
+    bad = " ".join(f"bad{i}" for i in range(6))
+    lone = " ".join(f"bad{i} " + "calm " * 2000 for i in range(6))  # each alone is below the threshold
+    docs = spark.createDataFrame([(1, f"{bad} {'calm ' * 60}{bad} {'calm ' * 10}{bad}"), (2, lone + bad), (3, lone)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = {d: [texts[d][p.start : p.end] for p in r.passages] for d, r in rows.items()}
+    assert found[1][0] == bad and sum(p.count("bad0") for p in found[1]) == 3
+    assert found[2] == [bad] and rows[2].predicted == 1
+    assert found[3] == [] and rows[3].predicted == 0
+    assert [r.doc_id for r in toxicity.clean(docs, model).collect()] == [3]
+
+
+def test_one_word_repeated_does_not_dominate():
+    scanner = toxicity.Scanner(toxicity.Model(odds={"w:bad": 5.0}))
+    for gap in (0, 1, 5, 20, 40):
+        _, found = scanner.segments(("bad " + "calm " * gap) * 200)
+        assert max(s for *_, s in found) <= 5 * sum(1 / n for n in range(1, toxicity.REACH + 2)) and len(found) == 1
+
+
 def test_fm_identity():
     rng = np.random.default_rng(2)
     model = quality.Model(0.1, rng.normal(size=quality.SLOTS), rng.normal(size=(quality.SLOTS, 4)))
