@@ -52,6 +52,33 @@ def test_passages_are_cut_from_later_documents_only(spark):
     assert np.mean(caught) > 0.9 and np.mean([out[d].removed_words > 0 for d in texts if d % 10]) > 0.98
 
 
+def test_every_kind_of_passage_is_cut(spark):
+    """51 words of prose, of few words and of equal lines, and stretches without white space: none stays whole."""
+    rng = random.Random(5)
+    few = [[rng.choice(["no", "yes", "well", f"w{i}"]) for _ in range(51)] for i in range(200)]
+    passages = [prose(rng, 51) for _ in range(200)]
+    passages += [" ".join(w) for w in few] + [" ".join([f"la{i}"] * 51) for i in range(100)]
+    passages += [" ".join([f"the line {i}"] * 17) for i in range(100)]
+    passages += ["".join(rng.choice("abcdefgh0123456789") for _ in range(300)) for _ in range(100)]
+    passages += ["".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(200)) for _ in range(100)]
+    rows = [(2 * i + k, f"{prose(rng, 40)} {p} {prose(rng, 40)}") for i, p in enumerate(passages) for k in range(2)]
+    rows += [(10_000 + k, prose(rng, 3) + "".join(["界", x, "世"])) for k, x in enumerate([passages[-1]] * 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = {r.doc_id: r for r in substring.dedup(df).collect()}
+    assert [p for i, p in enumerate(passages) if out[2 * i + 1].removed_words < 16] == []
+    assert all(out[10_000 + k].removed_words >= 16 for k in range(2))
+
+
+def test_no_window_lacks_a_cut():
+    rng = random.Random(6)
+    for text in (prose(rng, 500), "la " * 500, " ".join(rng.choice("ab") for _ in range(500))):
+        cuts, words, _ = substring.chunks(text)
+        assert words.max() <= 2 * substring.WINDOW and words.sum() == 500 and (np.diff(cuts) > 0).all()
+    for text in ("x" * 2000, "界" * 2000):
+        cuts, _, _ = substring.chunks(text)
+        assert np.diff(cuts).max() <= 2 * substring.WINDOW_CHARS * len(text[0].encode())
+
+
 def brute(rows):
     """{doc_id: new text} by one pass over the documents in order."""
     seen, out = {}, {}

@@ -1,13 +1,14 @@
 """Substring deduplication (operator 7): content-defined chunks of a gear rolling hash, deduplicated by digest.
 
-A text is cut before a word where the gear hash of the 16 bytes before it is low, so cuts depend on nearby bytes
-alone and an insertion moves no other cut. Every chunk but its first occurrence (smallest doc_id, then smallest row
+A text is cut before a word where the gear hash of the 16 bytes before it is the least of some ``WINDOW`` words in a row, so cuts
+depend on nearby bytes alone, an insertion moves no far cut, and no ``WINDOW`` words in a row lack a cut, whatever the text. Words of more
+than ``LONG`` bytes (scripts without spaces, encoded data) are cut inside in the same way, by ``WINDOW_CHARS`` characters. Every chunk but its first occurrence (smallest doc_id, then smallest row
 key, then earliest in the text) is repeated. Runs of repeated chunks of at least ``MIN_WORDS`` words are taken out of
 the text; shorter runs are phrases that recur by chance or short stock lines, and stay.
 
 Null and empty texts have no chunk and stay as they are. Rows of equal id and text are one row for the comparison and stay
 alike. Null ids come first. An empty table gives an empty table. Only doc_id and text are read; other columns pass
-through, and input columns named like the new ones are replaced. Texts are read whole; a text without any cut is one chunk.
+through, and input columns named like the new ones are replaced. Texts are read whole; a text shorter than a window is one chunk.
 """
 
 from __future__ import annotations
@@ -23,10 +24,13 @@ from tidemark.llm.common import fresh, map_rows, ship
 ship(__name__)
 
 #: Words of repeated text in a row from which it is taken out. Chunks at the ends of a repeated passage differ, as they
-#: reach beyond it, so that a passage of 50 words shows this many or more.
+#: reach beyond it. At most 9 words have less than 16 bytes of the passage before them, and the first and the last window after
+#: those hold a cut each, so 9 + 16 + 2 * (WINDOW - 1) + 1 = 44 words show this many or more.
 MIN_WORDS = 16
-#: One word in so many starts a chunk.
-MEAN_WORDS = 5
+#: Words of which one starts a chunk at least; (WINDOW + 1) / 2 words are a chunk on average.
+WINDOW = 10
+#: Bytes from which a word is cut inside, the characters of which one starts a chunk there, and the bytes that count as a word.
+LONG, WINDOW_CHARS, WORD_BYTES = 128, 40, 6
 #: Multiplier and offset from which the gear table is made.
 GEAR_SEED = 0x9E3779B97F4A7C15
 _SPACES = np.zeros(256, bool)
@@ -51,16 +55,43 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def minima(hashes: np.ndarray, window: int) -> np.ndarray:
+    """The places that are least (the first of equals) in some ``window`` places in a row."""
+    if len(hashes) < window:
+        return np.empty(0, np.int64)
+    least, size = hashes.astype(np.uint64) << np.uint64(40) | np.arange(len(hashes), dtype=np.uint64), 1
+    while size < window:
+        step = min(size, window - size)
+        least, size = np.minimum(least[:-step], least[step:]), size + step
+    found = np.zeros(len(hashes), bool)
+    found[(least & np.uint64((1 << 40) - 1)).astype(np.int64)] = True
+    return np.flatnonzero(found)
+
+
 def chunks(text: str) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """(byte starts and the end, words of each chunk, digest of each chunk) of a text that isn't empty."""
     raw = text.encode()
     data = np.frombuffer(raw, np.uint8)
     space = _SPACES[data]
     starts = np.flatnonzero(~space[1:] & space[:-1]) + 1  # first bytes of words but a word at the start
-    low = gear_hashes(data)[starts - 1] < (1 << 16) // MEAN_WORDS
-    cuts = np.concatenate([[0], starts[low], [len(data)]])
+    hashes = gear_hashes(data)
+    cuts = [np.zeros(1, np.int64), starts[minima(hashes[starts - 1], WINDOW)]]
     first = np.concatenate([[not space[0]], ~space[1:] & space[:-1]])
-    words = np.add.reduceat(first.astype(np.int64), cuts[:-1])
+    # words of more than LONG bytes: between white space that far apart
+    edges = np.concatenate([[-1], np.flatnonzero(space), [len(data)]])
+    long = np.flatnonzero(np.diff(edges) - 1 > LONG)
+    inside = np.zeros(len(data), np.int64)
+    for a, b in zip((edges[long] + 1).tolist(), edges[long + 1].tolist()):
+        inside[a:b] = 1
+        places = a + 1 + np.flatnonzero((data[a + 1 : b] & 0xC0) != 0x80)  # first bytes of characters
+        cuts.append(places[minima(hashes[places - 1], WINDOW_CHARS)])
+    cuts = np.concatenate(cuts)
+    if len(long):
+        cuts = np.unique(cuts)
+    words = np.add.reduceat(first.astype(np.int64), cuts)
+    if len(long):
+        words += np.add.reduceat(inside, cuts) // WORD_BYTES
+    cuts = np.append(cuts, len(data))
     view = memoryview(raw)
     edges = cuts.tolist()
     digests = [hashlib.blake2b(view[a:b], digest_size=8).digest() for a, b in zip(edges, edges[1:])]
