@@ -73,3 +73,13 @@ def test_odd_rows(odd, none):
 def test_rates_too_large_raise(odd):
     with pytest.raises(Exception, match="above 700"):
         mixing.mix(odd, epochs=5000.0).collect()
+
+
+def test_rates_above_700_are_sums_of_counts(spark):
+    docs = spark.createDataFrame([(0, "a" * 10, "small")] + [(i, "b" * 100, "large") for i in range(1, 401)], "doc_id long, text string, source string")
+    weights = spark.createDataFrame([("small", 0.5), ("large", 0.5)], "source string, weight double")
+    rate = 0.5 / (10 / 40010)  # 2000.5
+    copies = [r.doc_id for r in mixing.mix(docs, weights).select("doc_id").collect()].count(0)
+    parts = math.ceil(rate / 700)
+    want = sum(count(int(hashlib.md5(f"17|0|{k}".encode()).hexdigest()[:13], 16) / 2**52, rate / parts) for k in range(1, parts + 1))
+    assert copies == want and abs(copies - rate) < 6 * math.sqrt(rate)

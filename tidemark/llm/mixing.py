@@ -2,12 +2,12 @@
 
 A source's mean repetition rate is its target share of the output over its share of the input (sizes in code
 points), times ``epochs``. Every document draws its count from the Poisson distribution of that rate, by inversion of a
-number hashed from seed and id; it is exploded by its count, and all copies are shuffled by a hash.
+number hashed from seed and id (above ``MOST``, as the sum of counts of equal parts of the rate, each from a number of its own); it is exploded by its count, and all copies are shuffled by a hash.
 
 Without weights, a source's weight is the ``temperature`` power of its size. A null source is a source of its own;
 null and empty texts have no size, and sources without size get the rate ``epochs``; sources without a weight get none.
 Rows with equal ids draw alike; null ids draw as one. An empty table gives an empty table. All columns pass through; the
-new ones are ``copy`` (from 1) and ``shuffle_key``, and input columns of these names are replaced. Rates above 700 raise an error.
+new ones are ``copy`` (from 1) and ``shuffle_key``, and input columns of these names are replaced. Epochs above 700 raise an error, rates of single sources don't.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from tidemark.llm.common import fresh
 
 #: Sources whose table of rates is sent to every task, at most; more are joined by a shuffle.
 BROADCAST_SOURCES = 100_000
+#: Rate up to which a count is drawn at once; exp(-rate) must not vanish.
+MOST = 700
 _BITS = 52
 
 
@@ -40,7 +42,18 @@ def poisson(u: Column, rate: Column) -> Column:
         )
 
     count = F.aggregate(F.sequence(F.lit(1), top), start, step, lambda s: s["k"])
-    return F.when(rate > 700, F.raise_error(F.lit("a repetition rate is above 700")).cast("int")).otherwise(count)
+    return count
+
+
+def repetitions(seed: int, doc_id: Column, rate: Column) -> Column:
+    """A document's count. The sum of Poisson counts is Poisson of the sum of their rates."""
+    parts = F.ceil(rate / MOST).cast("int")
+
+    def add(total: Column, part: Column) -> Column:
+        return total + poisson(uniform(seed, doc_id, part), rate / parts)
+
+    several = F.aggregate(F.sequence(F.lit(1), parts), F.lit(0), add)
+    return F.when(rate > MOST, several).otherwise(poisson(uniform(seed, doc_id), rate))
 
 
 def rates(docs: DataFrame, weights: DataFrame | None, epochs: float, temperature: float) -> DataFrame:
@@ -63,13 +76,15 @@ def mix(
     docs: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0, temperature: float = 0.7, seed: int = 17
 ) -> DataFrame:
     """``docs`` repeated to the target weights (source, weight), in shuffled order."""
+    if epochs > MOST:
+        raise ValueError(f"epochs, the repetition rate of the whole, is above {MOST}")
     docs = docs.drop("copy", "shuffle_key")
     source, rate, times = (fresh(docs, c) for c in ("_source", "_rate", "_times"))
     found = rates(docs, weights, epochs, temperature).toDF(source, rate)
     if found.count() <= BROADCAST_SOURCES:
         found = F.broadcast(found)
     keyed = docs.withColumn(source, F.coalesce("source", F.lit("\0null"))).join(found, source)
-    drawn = keyed.withColumn(times, poisson(uniform(seed, F.col("doc_id")), F.col(rate))).filter(F.col(times) > 0)
+    drawn = keyed.withColumn(times, repetitions(seed, F.col("doc_id"), F.col(rate))).filter(F.col(times) > 0)
     copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(times))))
     key = F.md5(F.concat_ws("|", F.lit(f"order {seed}"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy").cast("string")))
     return (
