@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, language_model, licenses, merkle, mixing, near_dup, neighbours, quality, substring, toxicity
+from tidemark.llm import (
+    byte_bpe, filter_audit, language_model, lexical_search, licenses, merkle, mixing, near_dup, neighbours, quality, substring, toxicity, url_filter,
+)
 
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -65,8 +67,23 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(documents, quality.fit(documents, labels))
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages"))
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mixing, op2_neighbours, op3_toxicity, op4_merkle, op5_licenses, op6_language_model, op7_substring, op8_byte_bpe, op9_near_dup, op10_quality)
+    for f in (
+        op1_mixing, op2_neighbours, op3_toxicity, op4_merkle, op5_licenses, op6_language_model, op7_substring, op8_byte_bpe, op9_near_dup,
+        op10_quality, op11_lexical_search, op12_url_filter, op13_filter_audit,
+    )
 }
-ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE, "op9_near_dup": near_dup.ORACLE}
+ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE, "op9_near_dup": near_dup.ORACLE, "op11_lexical_search": lexical_search.ORACLE, "op13_filter_audit": filter_audit.ORACLE}
