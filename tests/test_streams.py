@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import family as fm
 from tidemark.operators import timeseries as ts
@@ -145,3 +146,96 @@ def test_sample_parents(spark):
     df = spark.range(10)
     assert [r["id"] for r in fm.sample_parents(df, "id", None, 3).collect()] == [0, 1, 2]
     assert fm.sample_parents(df, "id", [4], 3).count() == 1
+
+
+@pytest.mark.parametrize("kind", [1, 2])
+@pytest.mark.parametrize("sizes", [(2, 0, 2), (2, 0, 0), (0, 2), (0, 0, 3, 0)])
+def test_snapshots_may_be_empty(spark, folder, kind, sizes):
+    make = lambda n: spark.createDataFrame([(i, "v") for i in range(n)], "id bigint, v string")
+    target = SnapshotTarget(spark, f"{folder}/s", ["id"], kind)
+    closed, live = set(), {}
+    for at, n in enumerate(sizes):
+        assert target.apply(make(n)) == at and target.version() == at
+        closed |= {(i, start, at) for i, start in live.items() if i >= n}
+        live = {i: live.get(i, at) for i in range(n)}
+        rows = target.read().collect()
+        if kind == 1:
+            assert sorted(r.id for r in rows) == list(range(n))
+        else:
+            got = {(r.id, r["__START_AT"], r["__END_AT"]) for r in rows}
+            assert got == closed | {(i, start, None) for i, start in live.items()} and len(rows) == len(got)
+    assert target.apply(make(sizes[-1]), len(sizes) - 1) == len(sizes) - 1
+    with pytest.raises(ValueError, match="other rows"):
+        target.apply(make(sizes[-1] + 1), len(sizes) - 1)
+
+
+@pytest.mark.parametrize("kind", [1, 2])
+def test_half_written_snapshot_is_not_seen(spark, folder, kind, monkeypatch):
+    make = lambda rows: spark.createDataFrame(rows, "id bigint, v string")
+    target = SnapshotTarget(spark, f"{folder}/s", ["id"], kind)
+    target.apply(make([(1, "a"), (2, "b")]))
+    before = sorted(map(str, target.read().collect()))
+
+    def lost(*_):
+        raise RuntimeError("lost before the row about it")
+
+    with monkeypatch.context() as m:
+        m.setattr(target.published, "add", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            target.apply(make([(9, "z")]))
+    assert target.version() == 0 and sorted(map(str, target.read().collect())) == before
+    assert target.apply(make([(2, "c")])) == 1  # takes the number again, nothing of the lost one stays
+    rows = target.read().collect()
+    assert {r.id for r in rows} == ({2} if kind == 1 else {1, 2}) and len(rows) == (1 if kind == 1 else 3)
+
+
+def test_repeated_batch_without_rows_replaces_its_partition(spark, folder):
+    make = lambda rows: spark.createDataFrame(rows, "id bigint, c bigint")
+    target = MergeTarget(spark, f"{folder}/t", make([]).schema, ["id"], "c")
+    target.apply(make([(1, 1)]), 0)
+    target.apply(make([]), 0)
+    target.apply(make([]), 1)
+    assert target.read().count() == 0 and target.log.last() == 1 and target.compact() == 1
+
+
+def _files_read(df):
+    """The scan's own count."""
+    execution = df._jdf.queryExecution()
+    df._jdf.collect()
+    return execution.executedPlan().collectLeaves().head().metrics().get("numFiles").get().value()
+
+
+def test_changes_read_their_own_buckets_only(spark, folder):
+    import random
+
+    schema = "id bigint, c bigint, v string"
+    make = lambda rows: spark.createDataFrame(rows, schema)
+    rng = random.Random(3)
+    for kind in (1, 2):
+        target = MergeTarget(spark, f"{folder}/t{kind}", make([]).schema, ["id"], "c", kind, buckets=24)
+        whole = MergeTarget(spark, f"{folder}/w{kind}", make([]).schema, ["id"], "c", kind)
+        n = 0
+        for step in range(3):
+            ids = range(400) if step == 0 else rng.sample(range(500), 2)
+            rows = [(i, rng.randint(0, 9), rng.choice("abc")) for i in ids] + [(None, 1, "no key"), (ids[0], None, "no seq")]
+            gone = rng.random() < 0.5
+            for t in (target, whole):
+                t.apply(make(rows).withColumn("__deleted", F.lit(gone)), n)
+            n += 1
+            if step:
+                changed = target.touched()
+                read, files = (_files_read(df) for df in (target.old_rows(changed), target.log.base(target.schema)))
+                assert 0 < len(changed) <= 9 and 0 < read < files / 2  # of two batches at most
+                plan = target.read()
+                plan.collect()
+                assert "dynamicpruning" in plan._jdf.queryExecution().executedPlan().toString()
+            assert sorted(map(str, target.read().collect())) == sorted(map(str, whole.read().collect()))
+            if step != 1:
+                assert target.compact() == n - 1
+        assert sorted(map(str, target.quarantine().collect())) == sorted(map(str, whole.quarantine().collect()))
+        target.log.forget()
+        assert sorted(map(str, target.read().collect())) == sorted(map(str, whole.read().collect()))
+        target.apply(make([(1, 99, "z")]), n)
+        whole.apply(make([(1, 99, "z")]), n)
+        assert target.compact(buckets=5) == n and len(target._layout()) == 5
+        assert sorted(map(str, target.read().collect())) == sorted(map(str, whole.read().collect()))
