@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tidemark.llm import quality, toxicity
+from tidemark.llm import common, quality, toxicity
 
 
 def held_out(doc, folds, fold):
@@ -117,3 +117,19 @@ def test_odd_rows(spark, odd, none, operator):
     unfit = operator.fit(odd, labels.limit(0))
     assert operator.score(odd, unfit).count() == odd.count()
     assert operator.score(none, unfit).collect() == [] and operator.score(none, operator.fit(none, labels)).collect() == []
+
+
+def test_words_that_share_a_slot_are_one_feature(monkeypatch):
+    monkeypatch.setattr(quality, "WORDS", 4)
+    slots, values = quality.Reader().read("one two three four five six seven one")
+    words = slots < 4
+    assert len(set(slots)) == len(slots) and words.sum() <= 4
+    want = [(2 / 8) ** 0.5] + [(1 / 8) ** 0.5] * 6
+    assert np.isclose(values[words].sum(), sum(want))
+
+
+def test_an_id_in_every_row_is_one_row_of_the_sample(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 7}") for i in range(500)] + [(2, None)], "doc_id long, text string")
+    chosen = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, label int")
+    rows = common.labelled_rows(docs, chosen).collect()
+    assert sorted((r.doc_id, r.label) for r in rows) == [(1, 1), (2, 0)]

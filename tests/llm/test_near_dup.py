@@ -90,11 +90,32 @@ def test_odd_rows(spark, odd, none, long_text):
     assert near_dup.near_duplicates(none).collect() == []
     left = near_dup.deduplicated(odd)
     assert left.columns == odd.columns
-    # of the three equal texts one stays; rows without words, and those without any id in their group, all stay
+    # of the three equal texts one stays; all rows without words stay
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(["1", "3", "4", "5", "6", "7", "8", "None", "None"])
     assert near_dup.deduplicated(none).collect() == []
 
 
+def test_one_row_of_a_group_stays(spark):
+    """Also where several texts have the least id, or no row has one, or rows differ in other columns only."""
+    base = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, base + " zz", "a"), (1, base, "a"), (2, base + " yy", "a"), (None, base + " xx", "a")]
+    rows += [(None, other, "a"), (None, other + " zz", "a"), (None, other, "b")]
+    rows += [(5, "alone " + " ".join(f"u{i}" for i in range(20)), s) for s in "cbacb"]
+    rows += [(7, "", "a"), (7, "", "a"), (None, None, "a")]
+    for seed in range(2):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+        got = sorted(map(tuple, near_dup.deduplicated(docs).collect()), key=str)
+        texts = [t or "" for _, t, _ in got]
+        assert sum(t.startswith("w0") for t in texts) == sum(t.startswith("v0") for t in texts) == sum(t.startswith("alone") for t in texts) == 1
+        assert len(got) == 6 and [i for i, t, _ in got if (t or "").startswith("w0")] == [1]
+        assert [s for i, _, s in got if i == 5] == ["a"]
+        if seed:
+            assert got == before
+        before = got
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components(spark, seed):
     rng = random.Random(seed)

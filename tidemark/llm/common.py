@@ -119,3 +119,11 @@ def labelled_sample(labels: DataFrame, column: str, folds: int, fold: int, bound
     ids = labels.filter(F.col("doc_id").isNotNull() & F.col(column).isNotNull() & ~held_out(F.col("doc_id"), folds, fold))
     one = ids.groupBy("doc_id").agg(F.min(column).alias("label"), F.max(column).alias("_other")).filter("label = _other")
     return one.select("doc_id", F.col("label").cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+
+
+def labelled_rows(documents: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(doc_id, text, label) of a ``labelled_sample``: one row for each id, however many documents have it, the one with the
+    least hash of its text. So the sample's bound is one of rows too."""
+    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one = rows.groupBy("doc_id").agg(F.min_by(F.struct("text", "label"), F.xxhash64("text")).alias("_one"))
+    return one.select("doc_id", "_one.text", "_one.label")

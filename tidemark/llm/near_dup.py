@@ -254,31 +254,35 @@ def _members(docs: DataFrame) -> DataFrame:
         "class", "least", F.coalesce("component", "class").alias("part")
     )
     ids = written(named.groupBy("part").agg(F.min("least").alias("component_id")), "ids")
-    rows = found.join(named.join(ids, "part").select("class", "component_id"), "class", "left")
+    rows = found.join(named.join(ids, "part").select("class", "part", "component_id"), "class", "left")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select(
         "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), "_key",
+        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), "_key", "part",
     )
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; component_id is the least id reachable by links."""
-    return _members(docs).drop("_key")
+    return _members(docs).drop("_key", "part")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The row with the least id of each group of near-duplicates (of repeated rows one), and all rows without shingles
-    or without any id in their group; all columns stay."""
+    """One row of each group of near-duplicates: the one with the least id (null ids last), of rows with that id the one with the
+    least hash of its text, of repeated rows the least by their other columns. All rows without shingles; all columns stay."""
     found = written(_members(docs), "members")
-    stays = found.filter(F.col("kept") | (F.col("n_shingles") == 0) | F.col("component_id").isNull())
+    ranked = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")
+    chosen = found.filter("part is not null").groupBy("part").agg(F.min(ranked).alias("m")).select("m._key")
+    several = found.filter("part is not null").groupBy("_key").count().filter("count > 1").select("_key")
+    several = written(several.join(chosen, "_key", "left_semi"), "several")
+    stays = written(chosen.union(found.filter("part is null").select("_key")).distinct(), "stays")
     key = fresh(docs, "_key")
-    out = docs.withColumn(key, row_key()).join(stays.select(F.col("_key").alias(key)).distinct(), key, "left_semi")
-    several = found.filter("n_shingles > 0").groupBy("_key").count().filter("count > 1").select(F.col("_key").alias(key))
-    if not several.isEmpty():
-        twice = out.join(several, key, "left_semi").dropDuplicates([key])
-        out = out.join(several, key, "left_anti").unionByName(twice)
-    return out.select(*docs.columns)
+    out = docs.withColumn(key, row_key()).join(stays.withColumnRenamed("_key", key), key, "left_semi")
+    more = several.withColumnRenamed("_key", key)
+    # rows of one key differ in other columns at most, so the order by all columns is one by these
+    rest = F.to_json(F.struct(*[c for c in docs.columns if c != "text"]))
+    once = out.join(more, key, "left_semi").groupBy(key, "text").agg(F.min_by(F.struct(*docs.columns), rest).alias(key + "_row"))
+    return out.join(more, key, "left_anti").select(*docs.columns).unionByName(once.select(key + "_row.*"))
 
 
 #: The rows of ``near_duplicates`` over ``documents``, in DuckDB's SQL: every two sets that share a shingle are compared.

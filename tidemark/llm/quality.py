@@ -1,6 +1,7 @@
 """Quality classifier (operator 10): a factorisation machine over hashed words, structure statistics and metadata.
 
-Features of a text: its distinct words hashed into ``WORDS`` slots with the value sqrt(count / words), and the buckets
+Features of a text: its distinct words hashed into ``WORDS`` slots with the value sqrt(count / words), summed over words that
+share a slot, and the buckets
 of statistics of its structure and size, one slot each. The score is the logistic of
 w0 + sum w_i x_i + 1/2 sum_f ((sum v_if x_i)^2 - sum v_if^2 x_i^2), which takes time linear in the features.
 Weights are fitted by AdaGrad on a bounded sample of labelled rows.
@@ -21,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, labelled_sample, map_rows, ship
+from tidemark.llm.common import held_out, labelled_rows, labelled_sample, map_rows, ship
 
 ship(__name__)
 
@@ -81,7 +82,7 @@ class Reader:
         return s
 
     def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """(slots, values) of one text."""
+        """(slots, values) of one text; no slot occurs twice."""
         text = text or ""
         words = text.split()
         counts = Counter(words)
@@ -89,6 +90,8 @@ class Reader:
         values = np.sqrt(np.fromiter(counts.values(), np.float32, len(counts)) / max(len(words), 1))
         stats = np.array(statistics(text, words, counts))
         places = WORDS + np.arange(len(stats)) * BUCKETS + np.minimum((stats * BUCKETS).astype(int), BUCKETS - 1)
+        slots, place = np.unique(slots, return_inverse=True)  # words that share a slot are one feature
+        values = np.bincount(place, weights=values, minlength=len(slots)).astype(np.float32)
         return np.concatenate([slots, places.astype(np.int32)]), np.concatenate([values, np.ones(len(stats), np.float32)])
 
 
@@ -119,7 +122,6 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> Mode
                 continue
             seen_b += g * g
             model.bias -= rate * g / seen_b**0.5
-            # slots of one text may collide; the last of them counts, as each has the same sign of gradient
             gw = g * values + ridge * model.weights[slots]
             seen_w[slots] += gw * gw
             model.weights[slots] -= rate * gw / np.sqrt(seen_w[slots])
@@ -143,7 +145,7 @@ def fit(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
 
         return fn
 
-    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    rows = labelled_rows(documents, chosen)
     found = map_rows(rows, make, "doc_id bigint, label int, slots binary, x binary").toPandas()  # the bounded sample
     found = found.sort_values(["doc_id", "label"], kind="stable")
     return train([

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, labelled_sample, map_rows, removed, ship, small_batches, written
+from tidemark.llm.common import held_out, labelled_rows, labelled_sample, map_rows, removed, ship, small_batches, written
 
 ship(__name__)
 
@@ -228,7 +228,7 @@ def fit(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     """A model from at most ``bound`` labelled rows outside the held-out fold, of near copies one; three quarters give
     the odds, the rest the calibration."""
     chosen = labelled_sample(labels, "toxic", FOLDS, FOLD, bound)
-    sample = written(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxicity")
+    sample = written(labelled_rows(documents, chosen), "toxicity")
     make_keys = lambda: lambda cols: [cols[0], [copy_keys(t) for t in cols[1]]]
     keys = map_rows(sample.select("doc_id", "text"), make_keys, "doc_id bigint, keys array<bigint>").toArrow()
     single = without_copies(np.array(keys["keys"].to_pylist(), np.int64).reshape(-1, 4), np.asarray(keys["doc_id"], np.int64))
