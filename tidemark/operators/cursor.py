@@ -499,8 +499,8 @@ def refilter_fail_open(df: DataFrame, c: str, since: str) -> DataFrame:
     """
     from tidemark.functions.keys import cursor_key
 
-    d = df.withColumn("__k", cursor_key(F.col(c))).withColumn("__s", cursor_key(F.lit(since)))
-    same = F.col("__k.family") == F.col("__s.family")
+    d = df.withColumns({"__k": cursor_key(F.col(c)), "__s": cursor_key(F.lit(since))})
+    same = F.substring("__k", 1, 1) == F.substring("__s", 1, 1)
     return d.filter(~same | (F.col("__k") > F.col("__s")) | F.col(c).isNull()).drop("__k", "__s")
 
 

@@ -19,6 +19,8 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import checkpointed, discard
+
 CHUNK = "__chunk"
 _TMP = "__w_"
 FIRST = _TMP + "first"
@@ -250,7 +252,9 @@ def running_total(
 def row_index(
     df: DataFrame, by: list[str], order: list[str], out: str, parts: int | None = None
 ) -> DataFrame:
-    """``out`` = 0-based position of the row in its group under the total order ``order``."""
+    """``out`` = 0-based position of the row in its group under the total order ``order``; without groups see ``numbered``."""
+    if not by and CHUNK not in df.columns:
+        return numbered(df, order, out, parts)
     return running_total(df, by, order, F.lit(1).cast("bigint"), out, parts).withColumn(
         out, F.col(out) - 1
     )
@@ -258,15 +262,46 @@ def row_index(
 
 # --- positions in a total order ---------------------------------------------------------
 
+_IN_PART = 33  # bits of a row's place in its partition in Spark's ids
+
+
+def numbered(df: DataFrame, order: list[str], out: str, parts: int | None = None) -> DataFrame:
+    """``out`` = 0-based position of the row under the total order ``order``.
+
+    The rows are dealt out by ranges of the order and written once, each with its partition and its place there; the
+    partitions' row counts, one small row each, give what comes before. So ``df`` is computed once, no task holds more than a range.
+    """
+    laid = df.repartitionByRange(parts or default_parts(df), *order).sortWithinPartitions(*order)
+    table = checkpointed(laid.withColumn(_TMP + "id", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright(_TMP + "id", _IN_PART).alias(_TMP + "part")
+    counts = table.groupBy(part).agg(F.count(F.lit(1)).alias(_TMP + "n"))
+    before = Window.orderBy(_TMP + "part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
+    starts = counts.select(_TMP + "part", F.coalesce(F.sum(_TMP + "n").over(before), F.lit(0)).alias(_TMP + "start"))
+    placed = table.withColumn(_TMP + "part", part).join(F.broadcast(starts), _TMP + "part")
+    at = F.col(_TMP + "id").bitwiseAND(F.lit((1 << _IN_PART) - 1)) + F.col(_TMP + "start")
+    return placed.withColumn(out, at).select(*df.columns, out)
+
 
 def cutoff(df: DataFrame, c: str, n: int):
     """(value, rows at or before it, rows at it) of the ``n``-th row by ``c`` (nulls first); None if there are fewer.
 
-    Rows are counted for each value, and the running total is over that table: no task gathers ``n`` rows.
+    Rows are counted for each value, and the counts written once by ranges of the value. The sums of the ranges, one row each,
+    tell the range that holds the row; the running total is over that range alone. No task gathers ``n`` rows.
     """
-    counts = df.groupBy(c).agg(F.count(F.lit(1)).alias(_TMP + "n"))
-    total = running_total(counts, [], [c], F.col(_TMP + "n"), _TMP + "t")
-    found = total.filter(F.col(_TMP + "t") >= n).agg(F.min(F.struct(_TMP + "t", c, _TMP + "n")).alias("x")).first()["x"]
+    counts = df.groupBy(c).agg(F.count(F.lit(1)).alias(_TMP + "n")).repartitionByRange(default_parts(df), c)
+    table = checkpointed(counts.withColumn(_TMP + "part", F.spark_partition_id()), "counts")
+    before, inside = 0, None
+    for r in table.groupBy(_TMP + "part").agg(F.sum(_TMP + "n").alias("n")).orderBy(_TMP + "part").collect():
+        if before + r.n >= n:
+            inside = r[0]
+            break
+        before += r.n
+    found = None
+    if inside is not None:
+        w = Window.partitionBy(_TMP + "part").orderBy(c)
+        total = table.filter(F.col(_TMP + "part") == inside).withColumn(_TMP + "t", F.sum(_TMP + "n").over(w) + before)
+        found = total.filter(F.col(_TMP + "t") >= n).agg(F.min(F.struct(_TMP + "t", c, _TMP + "n")).alias("x")).first()["x"]
+    discard(table)
     return None if found is None else (found[1], found[0], found[2])
 
 
@@ -278,7 +313,7 @@ def up_to(df: DataFrame, c: str, value) -> DataFrame:
 
 
 def rows_between(df: DataFrame, order: list[str], start: int, stop: int | None) -> DataFrame:
-    """Rows ``start`` (from 0) to before ``stop`` under the total order ``order`` (nulls first).
+    """Rows ``start`` (from 0) to before ``stop`` under the total order ``order`` (nulls first), in this order.
 
     Cutoffs of the first order column leave the rows in reach; these alone are numbered, split over the tasks.
     """
@@ -299,4 +334,4 @@ def rows_between(df: DataFrame, order: list[str], start: int, stop: int | None)
     keep = number >= start
     if stop is not None:
         keep = keep & (number < stop)
-    return row_index(df, [], order, _TMP + "i").filter(keep).drop(_TMP + "i")
+    return row_index(df, [], order, _TMP + "i").filter(keep).orderBy(_TMP + "i").drop(_TMP + "i")

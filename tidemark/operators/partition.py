@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import ordered
+from tidemark.operators.intervals import points_in
 
 
 def plan_windows(
@@ -42,23 +43,12 @@ def window_day_ceiling(cursor: dt.datetime | None, window_days: int, init: dt.da
 
 
 def match_windows(df: DataFrame, c: str, windows: DataFrame) -> DataFrame:
-    """Every (row, window) with ``since < c <= until``.
+    """Every (row, window) with ``since < c <= until``, for windows of any lengths, in any order, with gaps and overlaps.
 
-    Both sides meet on a slot as long as the shortest window, so a row meets only the windows that reach into its
-    slot: of disjoint windows two, however many there are. Windows must be bounded on both sides and not empty.
+    A null bound is no bound; a window that ends where it starts, or before, holds nothing.
     """
     micros = lambda x: F.unix_micros(F.col(x).cast("timestamp"))
-    width = windows.agg(F.min(micros("until") - micros("since"))).first()[0]  # one row per window, few
-    if width is None:
-        return df.join(windows.limit(0), F.lit(True))
-    slot = lambda x: F.floor(micros(x) / max(width, 1)).cast("bigint")
-    w = windows.select("*", F.explode(F.sequence(slot("since"), slot("until"))).alias("__slot"))
-    keyed = df.withColumn("__slot", slot(c))
-    return (
-        keyed.join(w, "__slot")
-        .filter((F.col(c) > F.col("since")) & (F.col(c) <= F.col("until")))
-        .drop("__slot")
-    )
+    return points_in(df, windows, micros(c) - 1, micros("since"), micros("until"))
 
 
 def coverage(df: DataFrame, c: str, key: str, windows: DataFrame) -> DataFrame:

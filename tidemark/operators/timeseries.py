@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import ordered
+from tidemark.operators.intervals import points_in
 
 SUMMARY_TYPES = [
     "Total", "Average", "Minimum", "Maximum", "Range", "StdDev", "PopulationStdDev", "Count", "PercentGood",
@@ -270,19 +271,12 @@ def frame_statistics(frames: DataFrame, samples: DataFrame, end: dt.datetime, ta
     return out.withColumn("samples", count).withColumn("last_sample", F.when(count > 0, F.col("__last"))).drop("__stop", "__b0", "__b1", "__last")
 
 
-def frame_samples(frames: DataFrame, samples: DataFrame, end: dt.datetime, slot: dt.timedelta, tag: str = "tag", ts: str = "ts", s: str = "start_time", e: str = "end_time") -> DataFrame:
+def frame_samples(frames: DataFrame, samples: DataFrame, end: dt.datetime, tag: str = "tag", ts: str = "ts", s: str = "start_time", e: str = "end_time") -> DataFrame:
     """Samples within each frame of the same tag (``start <= ts < end``, an open frame until ``end``): all pairs, so
-    as large as the frames are long. For counts and last values see ``frame_statistics``.
-
-    Frames and samples meet on (tag, time slot): an equi-join with a residual filter whose
-    hot slots adaptive execution can split.
+    as large as the frames are long. For counts and last values see ``frame_statistics``. Frames may be of very unequal length.
     """
-    width = _width(slot)
     stop = F.coalesce(F.col(e), F.lit(end))
-    f = frames.filter(stop >= F.col(s)).select("*", stop.alias("__stop"))
-    f = _explode_range(f, F.floor(_us(F.col(s)) / width).cast("bigint"), F.floor(_us(F.col("__stop")) / width).cast("bigint"), "__slot")
-    x = samples.withColumn("__slot", F.floor(_us(F.col(ts)) / width).cast("bigint"))
-    return f.join(x, [tag, "__slot"]).filter((F.col(ts) >= F.col(s)) & (F.col(ts) < F.col("__stop"))).drop("__slot", "__stop")
+    return points_in(samples, frames.filter(F.col(s).isNotNull()), _us(F.col(ts)), _us(F.col(s)), _us(stop), [tag])
 
 
 def frame_elements(frames: DataFrame, elements: str, key: str, s: str = "start_time") -> DataFrame:

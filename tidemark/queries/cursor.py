@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.functions.digest import text_digest
-from tidemark.functions.keys import cursor_key
+from tidemark.functions.keys import cursor_key, key_family, key_sign
 from tidemark.operators import cursor as cur
 from tidemark.operators import ordered
 from tidemark.queries import query
@@ -196,14 +196,13 @@ def b21(t):
         .when(F.col("event_type") == "signup", F.concat(F.lit("12345678901234567890123456"), F.lpad(e, 12, "0")))
         .otherwise(F.concat(F.lit("-0.00000000000"), F.lpad(e, 12, "0"), F.lit("0e1")))
     )
-    df = t.events.select("event_id", "event_type", shown.alias("rendered")).withColumn("k", cursor_key(F.col("rendered")))
-    parts = [F.col(f"k.{c}") for c in ("family", "ts", "frac", "num.sign", "num.place", "num.digits")]
-    names = [f"__k{i}" for i in range(len(parts))]
-    df = ordered.row_index(df.select("*", *[p.alias(n) for p, n in zip(parts, names)]), [], [*names, "event_id"], "place")
-    sign = F.when(F.col("k.num.sign") < 0, -F.col("event_id")).when(F.col("k.num.sign") > 0, F.col("event_id"))
+    df = t.events.select("event_id", shown.alias("rendered")).withColumn("k", cursor_key(F.col("rendered")))
+    df = ordered.row_index(df, [], ["k", "event_id"], "place")
+    family, sign = key_family(F.col("k")), key_sign(F.col("k"))
     return df.select(
-        "event_id", "rendered", "k.family", F.col("k.ts").cast("timestamp_ntz").alias("instant"), sign.alias("number"),
-        (F.col("place") + 1).alias("place"),
+        "event_id", "rendered", family.alias("family"),
+        F.when(family == 2, F.try_to_timestamp("rendered").cast("timestamp_ntz")).alias("instant"),
+        F.when(sign < 0, -F.col("event_id")).when(sign > 0, F.col("event_id")).alias("number"), (F.col("place") + 1).alias("place"),
     )
 
 

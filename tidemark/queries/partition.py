@@ -65,6 +65,24 @@ def d06(t):
     return pt.coverage(t.events, "ts", "event_id", w)
 
 
+@query(
+    "d06_uneven_windows",
+    """with p as (select * from (values (0, null::timestamp, timestamp '2024-01-05'), (1, timestamp '2024-01-05', timestamp '2024-01-05 00:00:00.000001'),
+         (2, timestamp '2024-01-07', timestamp '2024-01-20'), (3, timestamp '2024-01-19 12:00:00', timestamp '2024-01-19 12:00:05'),
+         (4, timestamp '2024-01-25', timestamp '2025-01-25'), (5, timestamp '2024-01-30', null), (6, timestamp '2024-01-09', timestamp '2024-01-09')) v("window", since, until))
+       select matches, count(*) as rows from (select event_id, count(w) as matches from events left join (select *, 1 as w from p) p
+         on (since is null or ts > since) and (until is null or ts <= until) group by 1) group by 1""",
+)
+def d06_uneven(t):
+    at = lambda *x: dt.datetime(2024, *x)
+    rows = [
+        (0, None, at(1, 5)), (1, at(1, 5), at(1, 5, 0, 0, 0, 1)), (2, at(1, 7), at(1, 20)), (3, at(1, 19, 12), at(1, 19, 12, 0, 5)),
+        (4, at(1, 25), dt.datetime(2025, 1, 25)), (5, at(1, 30), None), (6, at(1, 9), at(1, 9)),
+    ]
+    w = t.spark.createDataFrame(rows, "window bigint, since timestamp_ntz, until timestamp_ntz")
+    return pt.coverage(t.events, "ts", "event_id", w)
+
+
 @query(
     "d07_chunk_ids",
     """select chunk, string_agg(cast(user_id as varchar), ',' order by i) as ids, count(*) as n from

@@ -171,12 +171,15 @@ def j11_samples(t):
 
 @query(
     "j11_frame_pairs",
-    FRAMES + """ select frame_id, e.ts, e.value from f join events e on e.event_type = f.tag
-      and e.ts >= start_time and e.ts < end_time where f.tag = 'error'""",
+    FRAMES + """ select frame_id, count(*) as samples, min(e.ts) as first_sample, max(e.ts) as last_sample, cast(sum(epoch_us(e.ts) % 1000003) as bigint) as mark
+      from f join events e on e.event_type = f.tag and e.ts >= start_time and e.ts < coalesce(end_time, timestamp '2024-02-02') group by 1""",
 )
 def j11_pairs(t):
-    closed = frames(t).filter("tag = 'error' and end_time is not null")
-    return ts.frame_samples(closed.drop("user_id"), _samples(t), dt.datetime(2024, 2, 2), dt.timedelta(hours=2)).select("frame_id", "ts", "value")
+    pairs = ts.frame_samples(frames(t).drop("user_id"), _samples(t), dt.datetime(2024, 2, 2))
+    mark = F.unix_micros(F.col("ts").cast("timestamp")) % 1000003
+    return pairs.groupBy("frame_id").agg(
+        F.count(F.lit(1)).alias("samples"), F.min("ts").alias("first_sample"), F.max("ts").alias("last_sample"), F.sum(mark).alias("mark")
+    )
 
 
 @query(
