@@ -148,3 +148,20 @@ def test_bins_are_balanced(spark):
     assert [r["count"] for r in sizes] == [3, 2, 2, 2]
     assert pt.bin_contiguous(df.limit(2), 4, ["o"]).select("bin").distinct().count() == 2
     assert pt.plan_windows(spark, None, __import__("datetime").datetime(2024, 1, 1), 1).count() == 1
+
+
+def test_paths_of_deep_and_odd_documents(spark):
+    """A deep row adds passes over its own nodes only; kinds of leaves, empty containers and nested lists."""
+    from tidemark.operators import quality as q
+
+    deep = '{"d":' * 40 + '{"x":1,"y":[[{"z":null}]]}' + "}" * 40
+    rows = ['{"a":1,"b":{"c":"t","e":{},"l":[]},"n":null,"f":1.5,"t":true}', '{"a":"s","b":[{"c":2},{"k":{"m":1}}]}', deep, "[1,2]", "7", "not json", None, "{}"]
+    df = spark.createDataFrame([(r,) for r in rows], "b string")
+    got = {(r.path, r.kind) for r in q.data_paths(df, "b").collect()}
+    base = ".".join(["d"] * 40)
+    want = {(".".join(["d"] * k), "dict") for k in range(1, 41)}
+    want |= {(base + ".x", "int"), (base + ".y", "list"), (base + ".y.z", "null")}
+    want |= {("a", "int"), ("a", "str"), ("b", "dict"), ("b", "list"), ("b.c", "str"), ("b.c", "int"), ("b.e", "dict"), ("b.l", "list"), ("b.k", "dict"), ("b.k.m", "int")}
+    want |= {("n", "null"), ("f", "float"), ("t", "bool")}
+    assert got == want
+    assert q.data_paths(df.limit(0), "b").count() == 0

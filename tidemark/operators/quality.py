@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.coerce import ERRORS, coerce
-from tidemark.functions.shape import json_depth
 from tidemark.operators.change import row_hash
 from tidemark.plans.meta import TableMeta
+from tidemark.session import checkpointed
 
 
 def check_non_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -84,44 +84,59 @@ def declared_paths(kind: T.DataType, path: str = "") -> list[str]:
     return []
 
 
-_NODE = "array<struct<path:string,v:variant,item:boolean>>"
+_KINDS = {"VOID": "null", "BOOLEAN": "bool", "BIGINT": "int", "STRING": "str", "ARRAY<VOID>": "list", "OBJECT<>": "dict"}
 
 
-def _children(v: Column, path: Column) -> Column:
-    """Members of an object and items of a list; an item keeps the path of its list."""
-    shape = F.schema_of_variant(v)
-    members = F.map_entries(F.when(shape.startswith("OBJECT"), F.try_variant_get(v, "$", "map<string,variant>")))
-    items = F.when(shape.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
-    name = lambda e: F.when(path == "", e["key"]).otherwise(F.concat(path, F.lit("."), e["key"]))
-    none = F.array().cast(_NODE)
-    return F.concat(
-        F.coalesce(F.transform(members, lambda e: F.struct(name(e).alias("path"), e["value"].alias("v"), F.lit(False).alias("item"))), none),
-        F.coalesce(F.transform(items, lambda x: F.struct(path.alias("path"), x.alias("v"), F.lit(True).alias("item"))), none),
-    )
+def leaf_kind(v: Column) -> Column:
+    """null, bool, int, float or str of a leaf, list or dict of an empty container."""
+    known = F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, F.schema_of_variant(v)), F.lit("float"))
+
+
+#: Levels that one pass goes down.
+LEVELS = 12
+_PAIRS = "array<struct<path:string,kind:string>>"
+
 
+def _descend(nodes: DataFrame) -> DataFrame:
+    """One level down: every open node (path, v) is replaced by its members or items, each a row; an item keeps its list's path.
 
-def json_kind(v: Column) -> Column:
-    """null, bool, int, float, str, list or dict."""
-    s = F.schema_of_variant(v)
-    return (
-        F.when(s == "VOID", "null").when(s == "BOOLEAN", "bool").when(s == "BIGINT", "int").when(s == "STRING", "str")
-        .when(s.startswith("ARRAY"), "list").when(s.startswith("OBJECT"), "dict").otherwise("float")
+    ``found`` collects (path, kind) on the first of these rows only, so each node is told once. A container's kind shows from
+    its children, so only leaves and empty containers are asked for their type. Rows without an open node stay as they are.
+    """
+    d = nodes.lateralJoin(nodes.sparkSession.tvf.variant_explode_outer(F.col("v").outer()))
+    kind = F.when(F.col("pos").isNull(), leaf_kind(F.col("v"))).when(F.col("key").isNotNull(), "dict").otherwise("list")
+    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    told = F.when(F.col("v").isNotNull() & F.col("named"), F.array_append("found", F.struct("path", kind.alias("kind")))).otherwise(F.col("found"))
+    name = F.when(F.col("path") == "", F.col("key")).otherwise(F.concat("path", F.lit("."), "key"))
+    return d.select(
+        F.when(first, told).otherwise(F.array().cast(_PAIRS)).alias("found"), F.coalesce(name, F.col("path")).alias("path"),
+        F.col("key").isNotNull().alias("named"), F.col("value").alias("v"),
     )
 
 
 def data_paths(df: DataFrame, body: str) -> DataFrame:
     """Distinct (path, kind) pairs present in a JSON column; lists are looked through.
 
-    One projection per level, each built from the one before it; one aggregate finds how many
-    levels the data has.
+    A worklist of open nodes: one pass goes ``LEVELS`` levels down and writes the pairs it finds, a small table. Only
+    if nodes are still open there, they alone are the next pass's input; so one deep document doesn't change what the others cost.
     """
-    depth = max(json_depth(df, body), 1)
-    d = df.select(F.try_parse_json(body).alias("__v")).select(_children(F.col("__v"), F.lit("")).alias("__l0"))
-    for i in range(1, depth):
-        d = d.select("*", F.flatten(F.transform(f"__l{i - 1}", lambda n: _children(n["v"], n["path"]))).alias(f"__l{i}"))
-    nodes = F.filter(F.concat(*[f"__l{i}" for i in range(depth)]), lambda n: ~n["item"])
-    pairs = F.transform(nodes, lambda n: F.struct(n["path"].alias("path"), json_kind(n["v"]).alias("kind")))
-    return d.select(F.explode(F.array_distinct(pairs)).alias("x")).select("x.*").distinct()
+    start = df.select(
+        F.array().cast(_PAIRS).alias("found"), F.lit("").alias("path"), F.lit(False).alias("named"), F.try_parse_json(body).alias("v")
+    )
+    tables, open_ = [], start
+    while True:
+        for _ in range(LEVELS):
+            open_ = _descend(open_)
+        # a null pair marks open nodes, so the pass that finds the pairs also tells whether there is another
+        more = F.when(F.col("v").isNotNull(), F.array_append("found", F.lit(None).cast("struct<path:string,kind:string>"))).otherwise(F.col("found"))
+        pairs = open_.select(F.explode(more).alias("x")).select("x.path", "x.kind").distinct()
+        tables.append(checkpointed(pairs, "paths"))
+        if tables[-1].filter("path is null").isEmpty():
+            break
+        rest = open_.filter("v is not null").select(F.array().cast(_PAIRS).alias("found"), "path", "named", "v")
+        open_ = checkpointed(rest, "nodes")
+    return reduce(DataFrame.union, tables).filter("path is not null").distinct()
 
 
 def schema_diff(df: DataFrame, body: str, schema: T.StructType) -> DataFrame:
@@ -148,14 +163,10 @@ def _quote(text: str) -> str:
 def shape_diff(a: DataFrame, b: DataFrame, body: str) -> DataFrame:
     """(path, left, right): fields whose JSON kinds differ; null fits every kind."""
     def kinds(df: DataFrame, name: str) -> DataFrame:
-        p = data_paths(df, body).filter("kind <> 'null'")
-        return p.groupBy("path").agg(F.array_join(F.array_sort(F.collect_set("kind")), ",").alias(name))
-
-    def present(df: DataFrame, name: str) -> DataFrame:
-        return data_paths(df, body).select("path").distinct().withColumn(name, F.lit(True))
+        known = F.array_sort(F.collect_set(F.when(F.col("kind") != "null", F.col("kind"))))
+        return data_paths(df, body).groupBy("path").agg(F.nullif(F.array_join(known, ","), F.lit("")).alias(name), F.lit(True).alias(f"in_{name}"))
 
-    j = present(a, "in_left").join(present(b, "in_right"), "path", "full_outer")
-    j = j.join(kinds(a, "left"), "path", "left").join(kinds(b, "right"), "path", "left")
+    j = kinds(a, "left").join(kinds(b, "right"), "path", "full_outer")
     missing = F.col("in_left").isNull() | F.col("in_right").isNull()
     differ = F.col("left").isNotNull() & F.col("right").isNotNull() & (F.col("left") != F.col("right"))
     return j.filter(missing | differ).select("path", "left", "right")
