@@ -11,7 +11,7 @@ from tidemark.plans.meta import TableMeta
 from tidemark.session import scratch_dir
 from tidemark.sources import files
 from tidemark.streaming.apply import AppendTarget, MergeTarget, SnapshotTarget
-from tidemark.streaming.read import append_stream, apply_stream, finish
+from tidemark.streaming.read import append_stream, apply_stream, dedup_stream, finish, join_streams, rocksdb_state
 
 
 def _land(spark, path, lo, hi):
@@ -239,3 +239,37 @@ def test_changes_read_their_own_buckets_only(spark, folder):
         whole.apply(make([(1, 99, "z")]), n)
         assert target.compact(buckets=5) == n and len(target._layout()) == 5
         assert sorted(map(str, target.read().collect())) == sorted(map(str, whole.read().collect()))
+
+
+def test_redelivery_after_restart_is_dropped_and_state_is_bounded(spark, folder):
+    rocksdb_state(spark)
+    schema = "id bigint, ts timestamp"
+    t0 = dt.datetime(2024, 1, 1)
+    held = []
+    for day in range(6):  # each run also delivers the day before again
+        rows = [(100 * d + i, t0 + dt.timedelta(days=d, minutes=i)) for d in {max(day - 1, 0), day} for i in range(50)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        query = append_stream(dedup_stream(stream, ["id"], "ts", "2 days"), f"{folder}/out", f"{folder}/ck")
+        finish(query)
+        held.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    got = [r.id for r in spark.read.parquet(f"{folder}/out").collect()]
+    assert len(got) == len(set(got)) == 300
+    assert max(held) <= 200 and held[-1] < 300  # keys of the days that the watermark still reaches
+
+
+def test_joined_streams_equal_the_batch_join(spark, folder):
+    t0 = dt.datetime(2024, 1, 1)
+    parents = [(i, t0 + dt.timedelta(hours=i), f"p{i}") for i in range(12)]
+    children = [(i % 14, t0 + dt.timedelta(hours=i % 14, minutes=i), i) for i in range(60)]
+    want = sorted((c, k, n) for c, ts, k in children for p, at, n in parents if c == p)
+    ps, cs = "id bigint, at timestamp, name string", "id bigint, ts timestamp, k int"
+    for n, cut in enumerate([1, 3]):
+        for i in range(cut):  # children first, so their parents are late
+            spark.createDataFrame(children[i::cut], cs).coalesce(1).write.mode("append").parquet(f"{folder}/c{n}")
+            rows = parents[(cut - 1 - i)::cut]
+            spark.createDataFrame(rows, ps).coalesce(1).write.mode("append").parquet(f"{folder}/p{n}")
+            p, c = (spark.readStream.schema(x).option("maxFilesPerTrigger", 1).parquet(f"{folder}/{y}{n}") for x, y in ((ps, "p"), (cs, "c")))
+            finish(append_stream(join_streams(p, c, "id", "at", "ts", "2 days"), f"{folder}/o{n}", f"{folder}/k{n}"))
+        got = sorted((r.id, r.k, r.name) for r in spark.read.parquet(f"{folder}/o{n}").collect())
+        assert got == want

@@ -48,6 +48,29 @@ def active_users(df: DataFrame, user: str, ts: str, by: str | None = None, unit:
     return df.groupBy(F.to_date(F.date_trunc(unit, ts)).alias("date"), segment.alias("segment")).agg(count.alias("count"))
 
 
+def dense_ids(df: DataFrame, user: str, out: str = "user_no") -> DataFrame:
+    """(user, number): users numbered without gaps, so that their bitmaps are full rather than many."""
+    return ordered.row_index(df.select(user).filter(F.col(user).isNotNull()).distinct(), [], [user], out)
+
+
+def daily_bitmaps(df: DataFrame, number: str, ts: str, by: str | None = None) -> DataFrame:
+    """(date, segment, bucket, users): a day's users as bitmaps of 32 768 numbers each, to be stored and merged later.
+
+    Users may be counted as often as they occur; a bitmap of one size is all that a task keeps or sends for a bucket.
+    """
+    segment = F.col(by) if by else F.lit("Totals")
+    bucket = F.bitmap_bucket_number(F.col(number).cast("bigint"))
+    rows = df.filter(F.col(number).isNotNull()).groupBy(F.to_date(ts).alias("date"), segment.alias("segment"), bucket.alias("bucket"))
+    return rows.agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col(number).cast("bigint"))).alias("users"))
+
+
+def active_users_of(bitmaps: DataFrame, unit: str = "day") -> DataFrame:
+    """(date, segment, count) for any interval of whole days: bitmaps are united, so a user of several days counts once."""
+    start = F.to_date(F.date_trunc(unit, "date")).alias("date")
+    merged = bitmaps.groupBy(start, "segment", "bucket").agg(F.bitmap_or_agg("users").alias("users"))
+    return merged.groupBy("date", "segment").agg(F.sum(F.bitmap_count("users")).alias("count"))
+
+
 def sessions(df: DataFrame, user: str, ts: str, gap_seconds: int) -> DataFrame:
     """(user, start, end, seconds, events): a pause of ``gap_seconds`` or more ends a session.
 

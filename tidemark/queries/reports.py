@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import reports as rp
 from tidemark.queries import query
-from tidemark.session import scratch_dir
+from tidemark.session import checkpointed, scratch_dir
 from tidemark.sources import files
 from tidemark.streaming.read import append_stream, finish
 
@@ -42,6 +42,20 @@ def n02(t):
     return rp.active_users(e, "user_id", "ts", "event_type").unionByName(rp.active_users(e, "user_id", "ts"))
 
 
+@query(
+    "n02_active_users_bitmaps",
+    " union all ".join(
+        f"select '{u}' as unit, cast(date_trunc('{u}', ts) as date) as date, event_type as segment, count(distinct user_id) as count from events group by 2, 3"
+        for u in ("day", "week", "month")
+    ),
+)
+def n02_bitmaps(t):
+    numbers = rp.dense_ids(t.events, "user_id")
+    stored = checkpointed(rp.daily_bitmaps(t.events.join(numbers, "user_id"), "user_no", "ts", "event_type"), "n02")
+    parts = [rp.active_users_of(stored, u).select(F.lit(u).alias("unit"), "date", "segment", "count") for u in ("day", "week", "month")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("n03_sessions", SESS + ' select user_id, "start", "end", seconds, events from s')
 def n03_sessions(t):
     return rp.sessions(t.events, "user_id", "ts", GAP)

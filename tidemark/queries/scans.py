@@ -13,7 +13,7 @@ from tidemark.session import scratch_dir
 from tidemark.sources import files
 from tidemark.streaming.apply import AppendTarget, MergeTarget
 from tidemark.streaming.drain import drain
-from tidemark.streaming.read import append_stream, apply_stream, finish
+from tidemark.streaming.read import append_stream, apply_stream, dedup_stream, finish, rocksdb_state
 
 EV = "event_id, ts, user_id, event_type, value, props"
 ORD = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
@@ -144,6 +144,19 @@ def c01(t):
     return target.read()
 
 
+@query("c13_streaming_dedup", "select event_id, user_id, cast(epoch_us(ts) as bigint) as us from events")
+def c13_streaming(t):
+    # everything is delivered, then the second half again, after a restart
+    rows = t.events.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    path, out, ck = (scratch_dir(t.spark, f"c13-{x}") for x in ("in", "out", "ck"))
+    rocksdb_state(t.spark)
+    for part in (rows, rows.filter("ts > timestamp '2024-01-15'")):
+        part.repartition(3).write.mode("append").parquet(path)
+        stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
+        finish(append_stream(dedup_stream(stream, ["event_id"], "ts", "40 days"), out, ck))
+    return t.spark.read.parquet(out).select("event_id", "user_id", F.unix_micros("ts").alias("us"))
+
+
 SEQ = "(datediff('day', timestamp '1970-01-01', o_orderdate) * 1000000000 + o_orderkey)"
 
 
