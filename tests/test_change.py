@@ -157,3 +157,32 @@ def test_clustered_splits_a_hot_value(spark):
 def test_full_row_dedupe_with_maps(spark):
     rows = [(1, {"a": 1, "b": 2}), (1, {"b": 2, "a": 1}), (1, {"a": 1}), (1, None), (1, None)]
     assert ch.full_row_dedupe(spark.createDataFrame(rows, "k int, m map<string,int>")).count() == 3
+
+
+def test_diff_by_digest_equals_the_full_join(spark, folder):
+    import random
+
+    rng = random.Random(4)
+    for n in (0, 3, 400):
+        old = {(i, i % 3): rng.choice("abc") for i in range(n)}
+        new = {k: (rng.choice("abcd") if rng.random() < 0.02 else v) for k, v in old.items() if rng.random() > 0.01}
+        new |= {(1000 + i, 0): None for i in range(2)}
+        make = lambda d: spark.createDataFrame([(a, b, v, {"x": v}) for (a, b), v in d.items()], "a int, b int, v string, m map<string,string>")
+        p, s = make(old), make(new)
+        want = sorted(map(str, ch.snapshot_diff(p, s, ["a", "b"]).collect()))
+        assert sorted(map(str, ch.snapshot_diff_by_digest(p, s, ["a", "b"], 64).collect())) == want
+        stored = ch.bucket_digests(p, ["a", "b"], 64)
+        assert sorted(map(str, ch.snapshot_diff_by_digest(p, s, ["a", "b"], 64, stored).collect())) == want
+        assert ch.differing_buckets(stored, stored).count() == 0
+
+
+def test_one_changed_row_reads_one_bucket(spark, folder):
+    p = spark.range(2000).selectExpr("id", "id % 7 as v")
+    s = p.withColumn("v", F.when(F.col("id") == 1234, 99).otherwise(F.col("v")))
+    ch.with_bucket(p, ["id"], 16).write.partitionBy("__bucket").parquet(folder + "/prev")
+    prev = spark.read.parquet(folder + "/prev")
+    digests = ch.bucket_digests(prev, ["id"], 16)
+    assert ch.differing_buckets(digests, ch.bucket_digests(s, ["id"], 16)).count() == 1
+    out = ch.snapshot_diff_by_digest(prev, s, ["id"], 16, digests)
+    assert [(r.id, r.v, r.op) for r in out.collect()] == [(1234, 99, "U")]
+    assert "dynamicpruning" in out._jdf.queryExecution().executedPlan().toString()

@@ -153,6 +153,45 @@ def snapshot_diff(prev: DataFrame, snap: DataFrame, keys: list[str]) -> DataFram
     )
 
 
+BUCKET = "__bucket"
+
+
+def with_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """``df`` with ``__bucket``, a number from the key's hash; a frame that has it, as a table laid out by it, stays as it is."""
+    return df if BUCKET in df.columns else df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def bucket_digests(df: DataFrame, keys: list[str], buckets: int = 4096) -> DataFrame:
+    """(__bucket, rows, digest, other): small enough to be stored with a table. Two sums of different row hashes, so that a
+    changed row goes unnoticed only if both agree by chance."""
+    cols = [c for c in df.columns if c != BUCKET]
+    d = with_bucket(df, keys, buckets).select(
+        BUCKET, row_hash(df, cols).alias("__h"), F.xxhash64(F.lit(1), *[_comparable(df, c) for c in sorted(cols)]).alias("__g")
+    )
+    total = lambda c: F.sum(F.col(c).cast("decimal(38,0)"))
+    return d.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("rows"), total("__h").alias("digest"), total("__g").alias("other"))
+
+
+def differing_buckets(prev: DataFrame, snap: DataFrame) -> DataFrame:
+    """(__bucket) where two tables' ``bucket_digests`` differ: as many rows as buckets at most."""
+    a, b = (d.select(BUCKET, F.struct("rows", "digest", "other").alias(n)) for d, n in ((prev, "__a"), (snap, "__b")))
+    return a.join(b, BUCKET, "full_outer").filter(~F.col("__a").eqNullSafe(F.col("__b"))).select(BUCKET)
+
+
+def snapshot_diff_by_digest(
+    prev: DataFrame, snap: DataFrame, keys: list[str], buckets: int = 4096, prev_digests: DataFrame | None = None
+) -> DataFrame:
+    """The rows of ``snapshot_diff``, where only buckets of keys whose digests differ are shuffled and joined.
+
+    ``prev_digests`` are those stored with ``prev``, of as many buckets. Where a side is a table partitioned by ``__bucket``, its
+    scan reads the partitions that differ only.
+    """
+    before = prev_digests if prev_digests is not None else bucket_digests(prev, keys, buckets)
+    differ = F.broadcast(differing_buckets(before, bucket_digests(snap, keys, buckets)))
+    old, new = (with_bucket(d, keys, buckets).join(differ, BUCKET, "left_semi").drop(BUCKET) for d in (prev, snap))
+    return snapshot_diff(old, new, keys)
+
+
 def apply_snapshot_scd1(prev: DataFrame, snap: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(new target, counts by op): the target becomes the snapshot."""
     counts = snapshot_diff(prev, snap, keys).groupBy("op").agg(F.count(F.lit(1)).alias("rows"))

@@ -107,20 +107,28 @@ def c07(t):
     return ch.apply_snapshot_scd2(h, v1, ["c_custkey"], F.lit(3))
 
 
-@query(
-    "c08_snapshot_diff",
+C08_SQL = (
     SNAP_SQL
     + """ select coalesce(v2.c_custkey, v1.c_custkey) c_custkey, coalesce(v2.c_name, v1.c_name) c_name,
       coalesce(v2.c_acctbal, v1.c_acctbal) c_acctbal, coalesce(v2.c_mktsegment, v1.c_mktsegment) c_mktsegment,
       case when v1.c_custkey is null then 'I' when v2.c_custkey is null then 'D' else 'U' end as op
       from v1 full join v2 on v1.c_custkey = v2.c_custkey
-      where v1.c_custkey is null or v2.c_custkey is null or v1.c_acctbal is distinct from v2.c_acctbal""",
+      where v1.c_custkey is null or v2.c_custkey is null or v1.c_acctbal is distinct from v2.c_acctbal"""
 )
+
+
+@query("c08_snapshot_diff", C08_SQL)
 def c08(t):
     v1, v2 = snapshots(t)
     return ch.snapshot_diff(v1, v2, ["c_custkey"])
 
 
+@query("c08_diff_by_digest", C08_SQL)
+def c08_by_digest(t):
+    v1, v2 = snapshots(t)
+    return ch.snapshot_diff_by_digest(v1, v2, ["c_custkey"])
+
+
 def _flagged(t):
     return t.orders.select(
         "o_custkey", "o_orderkey", "o_totalprice", _seq().alias("seq"), (F.col("o_orderstatus") == "F").alias("_deleted")
