@@ -83,3 +83,26 @@ def test_rates_above_700_are_sums_of_counts(spark):
     parts = math.ceil(rate / 700)
     want = sum(count(int(hashlib.md5(f"17|0|{k}".encode()).hexdigest()[:13], 16) / 2**52, rate / parts) for k in range(1, parts + 1))
     assert copies == want and abs(copies - rate) < 6 * math.sqrt(rate)
+
+
+def test_rows_without_ids_and_with_one_id(spark):
+    """Null ids draw by their texts; neither they nor rows of one id meet in one task."""
+    from pyspark.sql import functions as F
+
+    hot = next(d for d in range(100) if count(u_of(d), 2.0))
+    rows = [(None, f"text {i}", "a") for i in range(400)] + [(hot, f"other {i}", "a") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = mixing.mix(docs, epochs=2.0).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = {t: count(u_of("null " + hashlib.md5(t.encode()).hexdigest()), 2.0) for d, t, _ in rows if d is None}
+    got = {}
+    for r in out:
+        if r.doc_id is None:
+            got[r.text] = got.get(r.text, 0) + 1
+    assert got == {t: n for t, n in want.items() if n}
+    assert len({r.shuffle_key for r in out if r.doc_id is None}) == sum(want.values())
+    assert sum(r.doc_id == hot for r in out) == 400 * count(u_of(hot), 2.0)
+    assert len({r.part for r in out if r.doc_id == hot}) > 2  # one task per key would be as many as copies

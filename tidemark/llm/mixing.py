@@ -6,7 +6,8 @@ number hashed from seed and id (above ``MOST``, as the sum of counts of equal pa
 
 Without weights, a source's weight is the ``temperature`` power of its size. A null source is a source of its own;
 null and empty texts have no size, and sources without size get the rate ``epochs``; sources without a weight get none.
-Rows with equal ids draw alike; null ids draw as one. An empty table gives an empty table. All columns pass through; the
+Rows with equal ids draw alike; a row without id draws by its text. The shuffle spreads rows of equal ids by
+their texts, so no id is a hot key. An empty table gives an empty table. All columns pass through; the
 new ones are ``copy`` (from 1) and ``shuffle_key``, and input columns of these names are replaced. Epochs above 700 raise an error, rates of single sources don't.
 """
 
@@ -30,6 +31,11 @@ def uniform(seed: int, *parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << _BITS))
 
 
+def identity(doc_id: Column, text: Column) -> Column:
+    """What a row draws by: its id, or a digest of its text where it has none."""
+    return F.coalesce(doc_id.cast("string"), F.concat(F.lit("null "), F.md5(F.coalesce(text, F.lit("")).cast("binary"))))
+
+
 def poisson(u: Column, rate: Column) -> Column:
     """The count at ``u`` of the Poisson distribution function of ``rate``."""
     top = F.ceil(rate + 12 * F.sqrt(rate) + 20).cast("int")
@@ -84,12 +90,13 @@ def mix(
     if found.count() <= BROADCAST_SOURCES:
         found = F.broadcast(found)
     keyed = docs.withColumn(source, F.coalesce("source", F.lit("\0null"))).join(found, source)
-    drawn = keyed.withColumn(times, repetitions(seed, F.col("doc_id"), F.col(rate))).filter(F.col(times) > 0)
+    drawn = keyed.withColumn(times, repetitions(seed, identity(F.col("doc_id"), F.col("text")), F.col(rate))).filter(F.col(times) > 0)
     copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(times))))
-    key = F.md5(F.concat_ws("|", F.lit(f"order {seed}"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy").cast("string")))
+    key = F.md5(F.concat_ws("|", F.lit(f"order {seed}"), identity(F.col("doc_id"), F.col("text")), F.col("copy").cast("string")))
+    tie = F.xxhash64("text")
     return (
         copies.withColumn("shuffle_key", key).select(*docs.columns, "copy", "shuffle_key")
-        .repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+        .repartition("shuffle_key", tie).sortWithinPartitions("shuffle_key", tie)
     )
 
 
@@ -107,12 +114,12 @@ with s as (
   select source, rate, list_transform(range(0, cast(ceil(rate + 12 * sqrt(rate) + 20) as bigint)),
     lambda j: list_sum(list_transform(range(0, j + 1), lambda i: exp(-rate) * pow(rate, i) / gamma(i + 1)))) as cdf from r
 ), d as (
-  select d.*, c.cdf, cast('0x' || substr(md5('17|' || coalesce(doc_id::varchar, 'null')), 1, 13) as bigint) / 4503599627370496.0 as u
+  select d.*, c.cdf, cast('0x' || substr(md5('17|' || coalesce(doc_id::varchar, 'null ' || md5(coalesce(text, '')))), 1, 13) as bigint) / 4503599627370496.0 as u
   from documents d join c on c.source = coalesce(d.source, chr(1) || 'null')
 ), n as (
   select *, len(list_filter(cdf, lambda x: x <= u)) as times from d
 )
 select doc_id, text, lang, source, n_chars, copy::int as copy,
-  md5('order 17|' || coalesce(doc_id::varchar, 'null') || '|' || copy::varchar) as shuffle_key
+  md5('order 17|' || coalesce(doc_id::varchar, 'null ' || md5(coalesce(text, ''))) || '|' || copy::varchar) as shuffle_key
 from (select *, unnest(range(1, times + 1)) as copy from n where times > 0)
 """
