@@ -110,3 +110,27 @@ def test_odd_rows(odd, none):
     assert {r.text for r in rows if r.doc_id in (3, 4)} == {None, ""}
     assert len({r.text for r in rows if r.doc_id == 2}) == 1
     assert substring.dedup(none).collect() == []
+
+
+def test_a_digest_in_every_text_is_split(spark):
+    """A stock passage that all texts hold: the join splits its rows, and all but the first occurrence go."""
+    rng = random.Random(7)
+    stock = prose(rng, 60)
+    rows = [(i, f"{prose(rng, 30)} {stock} {prose(rng, 30)}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    names = {
+        "spark.sql.adaptive.enabled": "true", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        found = substring.repeated_chunks(df.selectExpr("doc_id", "text", "doc_id as _key"))
+        got = {r._key for r in found.collect()}
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+    assert got == set(range(1, 4000))

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, map_rows, ship
+from tidemark.llm.common import fresh, map_rows, ship, written
 
 ship(__name__)
 
@@ -135,8 +135,10 @@ def repeated_chunks(keyed: DataFrame) -> DataFrame:
         return fn
 
     rows = map_rows(keyed.select("doc_id", "_key", "text"), make, f"digest bigint, doc_id {kind}, _key bigint")
-    first = rows.groupBy("digest").agg(F.min(F.struct("doc_id", "_key")).alias("first"), F.max(F.struct("doc_id", "_key")).alias("last"))
-    first = first.filter("first <> last").select("digest", F.col("first._key").alias("_first"))
+    own = F.min(F.struct("doc_id", "_key")).alias("first")
+    first = rows.groupBy("digest").agg(own, F.min("_key").alias("least"), F.max("_key").alias("most")).filter("least <> most")
+    # a table of its own: both sides of the join are then shuffled for it alone, and a digest that many texts hold can be split
+    first = written(first.select("digest", F.col("first._key").alias("_first")), "repeated")
     return (
         rows.join(first, "digest").filter("_key <> _first").groupBy("_key").agg(F.collect_set("digest").alias("_digests"))
     )
