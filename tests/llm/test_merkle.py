@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 from pyspark.sql import functions as F
 
@@ -69,3 +70,51 @@ def test_odd_rows(odd, none):
     assert merkle.compared(none).collect() == []
     (one,) = merkle.compared(odd.filter("doc_id = 1")).collect()
     assert one.near_next == 1  # the only row follows itself
+
+
+def test_rows_of_one_id_and_without_ids_are_cut_too(spark):
+    rows = [(7 if i % 2 else None, f"text number {i} " * (i % 5 + 1)) for i in range(300)] + [(7, "twice the same")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    chunks = merkle.in_chunks(docs, rows_per_chunk=10).filter("not _guest")
+    assert chunks.filter("doc_id = 7").select("_chunk").distinct().count() > 4
+    assert chunks.filter("doc_id is null").select("_chunk").distinct().count() > 4
+    tie = {r["text"]: r.tie for r in docs.select("text", F.xxhash64("text").alias("tie")).collect()}
+    order = sorted(rows, key=lambda r: (-(1 << 63) if r[0] is None else r[0], tie[r[1]]), reverse=True)
+    want = []
+    for (_, text), (_, following) in zip(order, [*order[1:], order[0]]):
+        half = len(text) // 2
+        want.append(hashlib.sha256((text[: len(text) - half] + following[:half]).encode()).hexdigest())
+    assert sorted(r.edited_sha256 for r in merkle.compared(docs).collect()) == sorted(want)
+
+
+def brute_leaves(text):
+    """Pieces by another way: words with the white space after them, up to four a piece, anew after a sentence's end."""
+    out = set()
+    for line in re.findall(r"[^\n]*\n|[^\n]+", text):
+        piece, n = re.match(r"\s*", line).group(), 0
+        for word in re.findall(r"\S+\s*", line):
+            piece, n = piece + word, n + 1
+            if n == 4 or word.rstrip()[-1] in ".!?":
+                out.add(piece)
+                piece, n = "", 0
+        if piece:
+            out.add(piece)
+    return out
+
+
+def brute_likeness(a, b):
+    a, b = brute_leaves(a), brute_leaves(b)
+    return 1.0 if not a and not b else 2 * len(a & b) / (len(a) + len(b))
+
+
+def test_likeness_against_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    order = sorted(((r.doc_id, r.text or "") for r in docs.collect()), key=lambda r: -r[0])
+    want = {}
+    for (doc, text), (_, following) in zip(order, [*order[1:], order[0]]):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        want[doc] = (brute_likeness(text, edited), brute_likeness(text, following))
+    got = {r.doc_id: (r.near_edited, r.near_next) for r in merkle.compared(docs).collect()}
+    off = {d: (got[d], want[d]) for d in want if max(abs(x - y) for x, y in zip(got[d], want[d])) > 1e-12}
+    assert set(got) == set(want) and not off

@@ -14,11 +14,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import removed, written
+
 #: Up to three words that end no sentence, and one word of any kind, each with the white space after it.
 PIECE = r"\s*(?:\S*[^\s.!?]\s+){0,3}\S+\s*|\s+"
 #: First hexadecimal digits of the digests that start a section.
 STARTS = "[01]"
 _LOWEST = -(1 << 63)
+#: Chunks of neighbouring rows, at most; their borders go to the driver and to every task.
+CHUNKS = 16_384
 
 
 def paragraphs(text: Column) -> Column:
@@ -70,49 +74,52 @@ def differing_sections(a: Column, b: Column) -> Column:
     return F.array_except(a, b)
 
 
-def chunk_of(key: Column, cuts: list[int]) -> Column:
-    """How many of the ascending ``cuts`` are at or below ``key``, by binary search in a constant array."""
+def chunk_of(place: Column, cuts: list[tuple[int, int]]) -> Column:
+    """How many of the ascending ``cuts`` are at or below ``place`` (a struct of key and tie), by binary search in a constant array."""
     size = 1
     while size <= len(cuts):
         size *= 2
-    padded = ",".join(map(str, [*cuts, *[(1 << 63) - 1] * (size - len(cuts))]))
-    array = F.split(F.lit(padded), ",").cast("array<bigint>")
+    padded = [*cuts, *[((1 << 63) - 1, (1 << 63) - 1)] * (size - len(cuts))]
+    keys, ties = (F.split(F.lit(",".join(str(c[i]) for c in padded)), ",").cast("array<bigint>") for i in (0, 1))
+    array = F.arrays_zip(keys, ties).cast("array<struct<key:bigint,tie:bigint>>")
     steps = F.array(*[F.lit(size >> k) for k in range(1, size.bit_length())]) if size > 1 else F.array().cast("array<int>")
     return F.aggregate(
         steps, F.lit(0),
-        lambda at, step: F.when((at + step <= len(cuts)) & (F.element_at(array, at + step) <= key), at + step).otherwise(at),
+        lambda at, step: F.when((at + step <= len(cuts)) & (F.element_at(array, at + step) <= place), at + step).otherwise(at),
     )
 
 
 def in_chunks(docs: DataFrame, rows_per_chunk: int = 20_000) -> DataFrame:
-    """``docs`` in chunks of neighbouring ids: adds ``_key`` (the id; null ids lowest), ``_chunk`` and ``_guest``.
+    """``docs`` in chunks of neighbouring places: adds ``_place`` (id, null ids lowest, then the text's hash), ``_chunk`` and ``_guest``.
 
-    Spark's range partitioning of the ids alone gives the borders. Each chunk also holds, as a guest, a copy of the row
-    that follows its last one by descending id (after the last row: the first), so a window over the chunk sees every
-    neighbour and no task holds more than its chunk.
+    Spark's range partitioning of the places alone, which are written once, gives the borders, at most ``CHUNKS``. Each chunk also
+    holds, as a guest, a copy of the row that follows its last one in descending order (after the last row: the first), so a window
+    over the chunk sees every neighbour and no task holds more than its chunk. Rows of one id lie in as many chunks as they fill.
     """
     spark = docs.sparkSession
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LOWEST))
-    narrow = docs.select(key.alias("_key"))
-    rows = narrow.count()
-    parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), rows // rows_per_chunk)
+    place = F.struct(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LOWEST)).alias("key"), F.xxhash64("text").alias("tie"))
+    narrow = written(docs.select(place.alias("_place")), "places")
+    parts = min(CHUNKS, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), narrow.count() // rows_per_chunk))
     borders = (
-        narrow.repartitionByRange(parts, "_key").groupBy(F.spark_partition_id().alias("part"))
-        .agg(F.min("_key").alias("low"), F.max("_key").alias("high")).orderBy("low").collect()
-    )  # two ids for each chunk
+        narrow.repartitionByRange(parts, "_place").groupBy(F.spark_partition_id().alias("part"))
+        .agg(F.min("_place").alias("low"), F.max("_place").alias("high")).orderBy("low").collect()
+    )  # two places for each chunk, of which there are CHUNKS at most
+    removed(narrow)
     follow = spark.createDataFrame(
-        [(borders[i - 1].high, i) for i in range(len(borders))], "_key bigint, _chunk int"
-    )  # as many rows as chunks; the lowest chunk is followed by the highest id
-    keyed = docs.withColumn("_key", key)
-    own = keyed.withColumn("_chunk", chunk_of(F.col("_key"), [b.low for b in borders[1:]])).withColumn("_guest", F.lit(False))
-    return own.unionByName(keyed.join(F.broadcast(follow), "_key").withColumn("_guest", F.lit(True)))
+        [(*borders[i - 1].high, i) for i in range(len(borders))], "key bigint, tie bigint, _chunk int"
+    ).select(F.struct("key", "tie").alias("_place"), "_chunk")  # as many rows as chunks; the lowest chunk is followed by the highest place
+    keyed = docs.withColumn("_place", place)
+    own = keyed.withColumn("_chunk", chunk_of(F.col("_place"), [tuple(b.low) for b in borders[1:]])).withColumn("_guest", F.lit(False))
+    # repeated rows are one guest
+    guests = keyed.join(F.broadcast(follow), "_place").dropDuplicates(["_place", "_chunk"]).withColumn("_guest", F.lit(True))
+    return own.unionByName(guests)
 
 
 def compared(documents: DataFrame) -> DataFrame:
     """For every document its fingerprint, that of its edited text, and their likeness (see the query's contract)."""
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     both = with_tree(in_chunks(docs).repartition("_chunk"), "text", "")
-    w = Window.partitionBy("_chunk").orderBy("_guest", F.desc("_key"), F.xxhash64("text"))
+    w = Window.partitionBy("_chunk").orderBy("_guest", F.desc("_place"))
     both = both.withColumns({"_next": F.lead("text").over(w), "_next_leaves": F.lead("leaves").over(w)}).filter(~F.col("_guest"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
