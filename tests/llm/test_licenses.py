@@ -52,3 +52,65 @@ def test_odd_rows(odd, none):
     assert licenses.scan(none).collect() == []
     with pytest.raises(ValueError, match="fewer than 5"):
         licenses.Scanner({"short": "too few words"})
+
+
+def windows_by_brute_force(text, templates):
+    """{(template, window)}: every window of the grid that holds a template's shingles to 75 percent."""
+    w = re.findall(licenses.WORD, text.lower())
+    z = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    out = {}
+    for name, template in templates.items():
+        own = shingles(template)
+        length = licenses.length_class(len(own))
+        for start in range(0, len(z), length):
+            window = z[start : start + 2 * length]
+            inside = [start + k for k, s in enumerate(window) if s in own]
+            if len(set(window) & own) >= 0.75 * len(own):
+                out.setdefault(name, []).append((len(set(window) & own) / len(own), inside[0], inside[-1] + 4))
+    return out
+
+
+def united(finds):
+    """Overlapping finds are one."""
+    out = []
+    for share, a, b in finds:
+        if out and a <= out[-1][2]:
+            out[-1] = (max(share, out[-1][0]), min(a, out[-1][1]), max(b, out[-1][2]))
+        else:
+            out.append((share, a, b))
+    return out
+
+
+def test_every_window_of_75_percent_is_found(sf):
+    """All texts of the table, and texts of damaged copies, against every window of every template."""
+    import duckdb
+
+    rng = random.Random(8)
+    texts = [t for (t,) in duckdb.sql(f"select text from '{sf}/documents.parquet'").fetchall() if t]
+    notices = sorted(licenses.TEMPLATES.values())
+    for _ in range(60):
+        words = []
+        for notice in rng.sample(notices, 3):
+            copy = notice.split()
+            for _ in range(rng.randrange(4)):
+                at = rng.randrange(len(copy))
+                copy[at : at + rng.randrange(2)] = [f"x{rng.randrange(1000)}"]
+            words += [f"y{rng.randrange(10**6)}" for _ in range(rng.randrange(60))] + copy
+        texts.append(" ".join(words))
+    scanner, finds = licenses.Scanner(licenses.TEMPLATES), 0
+    for text in texts:
+        want = {n: united(f) for n, f in windows_by_brute_force(text, licenses.TEMPLATES).items()}
+        got = {}
+        for name, *find in scanner.scan(text):
+            got.setdefault(name, []).append(tuple(find))
+        assert got == want
+        finds += len(want)
+    assert finds > 100
+
+
+def test_classes_grow_by_a_quarter():
+    lengths = sorted({licenses.length_class(n) for n in range(1, 3000)})
+    assert all(b <= max(a + 1, a * 5 // 4) for a, b in zip(lengths, lengths[1:]))
+    # a template of a class has more shingles than the class before, so a window holds at most 2.5 times as many
+    assert all(2 * licenses.length_class(n) <= 2.5 * n for n in range(4, 3000))
+    assert len(licenses.TEMPLATES) > 60 and (8 / 11) ** licenses.BANDS < 3e-6
