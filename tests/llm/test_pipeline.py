@@ -7,7 +7,7 @@ from tidemark.llm.queries import QUERIES
 
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dup", "substring", "mixing", "byte_bpe"]
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))  # the thirteen operators
 
 
 def test_stages_one_by_one(spark, folder):
