@@ -131,3 +131,18 @@ def test_json_files_are_unwrapped_and_bad_lines_counted(spark, folder):
         f.write('[\n{"id":1},\n{"id":2}\n]')
     rows, bad = files.read_json_array(spark, f"{folder}/b.json")
     assert rows.count() == 2 and bad.first()["bad"] == 0
+
+
+def test_messages_of_one_split_are_parsed_by_many_tasks(spark, folder):
+    from tidemark.queries import Tables, clinical
+
+    rows = spark.range(2000).selectExpr("id as c_custkey", "'n' || id as c_name", "'S' as c_mktsegment")
+    rows.coalesce(1).write.parquet(f"{folder}/customer.parquet")
+    least = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    spark.conf.set(least, "1b")
+    try:
+        texts = clinical.messages(Tables(spark, folder))
+        per = texts.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset(least)
+    assert len(per) > 1 and sum(r["count"] for r in per) == 2000

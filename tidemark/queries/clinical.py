@@ -188,9 +188,14 @@ def sql_row(columns: dict, head: str) -> str:
     return f"select {head}, {', '.join(cols)} from customer"
 
 
+def customers(t):
+    """The customers dealt out anew: each becomes a text many times as large, so a split of the file holds far more work than bytes."""
+    return t.customer.select("c_custkey", "c_name", "c_mktsegment").repartition("c_custkey")
+
+
 def messages(t):
     text = "MSH|^~\\&|A|F|R|RF|20240102||ADT^A01|m{k}|P|2.5\r" + "\r".join(text for text, _ in SEGMENTS.values())
-    return t.customer.select(F.lit("f").alias("file"), spark_text(text).alias("text"))
+    return customers(t).select(F.lit("f").alias("file"), spark_text(text).alias("text"))
 
 
 def _segment_query(segment: str, columns: dict) -> None:
@@ -289,7 +294,7 @@ def _resource_query(resource: str, body: str, columns: dict) -> None:
     @query(f"i10_fhir_{resource.lower()}", sql_row(columns, "'r' || c_custkey as id"))
     def run(t):
         text = spark_text('{"resourceType":"' + resource + '","id":"r{k}",' + body + "}")
-        rows = fhir.resource_table(t.customer.select(text.alias("b")), "b", resource)
+        rows = fhir.resource_table(customers(t).select(text.alias("b")), "b", resource)
         return rows.selectExpr("id", *[f"{e} as `{n}`" for n, (e, _, _) in columns.items()])
 
 
@@ -310,7 +315,7 @@ def i12_series(t):
         '{"0020000E":{"vr":"UI","Value":["1.3.{k}"]},"0020000d":{"vr":"UI","Value":["1.2.{k}"]},"00200011":{"vr":"IS","Value":[" {k} "]},"0008103E":{"vr":"LO","Value":["{name}"]},'
         '"00080060":{"vr":"CS","Value":["MR","CT"]},"00180015":{"vr":"CS","Value":[]},"00080021":{"vr":"DA","Value":["20240102"]}}'
     )
-    return dicom.dicom_rows(t.customer.select(body.alias("b")), "b", "series").drop("study_date")
+    return dicom.dicom_rows(customers(t).select(body.alias("b")), "b", "series").drop("study_date")
 
 
 @query(
@@ -323,7 +328,7 @@ def i12_instances(t):
         '{"00080018":{"vr":"UI","Value":["1.4.{k}"]},"0020000E":{"vr":"UI","Value":["1.3.{k}"]},"00080016":{"vr":"UI","Value":["{seg}"]},"00200013":{"vr":"IS","Value":["x{k}"]},'
         '"00080023":{"vr":"DA","Value":["20240102"]},"00080033":{"vr":"TM","Value":["030405.6"]}}'
     )
-    return dicom.dicom_rows(t.customer.select(body.alias("b")), "b", "instances").drop("study_instance_uid", "study_date")
+    return dicom.dicom_rows(customers(t).select(body.alias("b")), "b", "instances").drop("study_instance_uid", "study_date")
 
 
 @query(
@@ -336,5 +341,5 @@ def i14_samples(t):
         '{"id":"s{k}","kind":"osdu:master-data--Sample:1","version":1,"data":{"SampleAcquisition":{"SampleAcquisitionJobID":"j{k}","SampleAcquisitionDetail":{"WellboreID":"w{k}","TopDepth":1500.5,"BaseDepth":"deep",'
         '"FormationCondition":{"Pressure":"210"}}},"ExtensionProperties":{"a":1}}}'
     )
-    out = osdu.records(t.customer.select(body.alias("b")), "b", ["Rock_and_Fluid"])
+    out = osdu.records(customers(t).select(body.alias("b")), "b", ["Rock_and_Fluid"])
     return out.select("id", "kind", "SampleAcquisitionJobID", "WellboreID", "TopDepth", "BaseDepth", "FormationPressure", "ToolKind", "ExtensionProperties_json")
