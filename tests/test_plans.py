@@ -165,3 +165,19 @@ def test_paths_of_deep_and_odd_documents(spark):
     want |= {("n", "null"), ("f", "float"), ("t", "bool")}
     assert got == want
     assert q.data_paths(df.limit(0), "b").count() == 0
+
+
+def test_rows_dealt_anew_by_their_size(spark):
+    from tidemark.operators import quality as q
+
+    df = spark.createDataFrame([(i, f"{i * 7919:x}" * 5) for i in range(40_000)], "id bigint, v string").repartition(8)
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        per = q.dealt_anew(df).groupBy(F.spark_partition_id()).agg(F.count("id").alias("count"), F.max("v")).collect()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert len(per) > 8 and sum(r["count"] for r in per) == 40_000
+    assert q.fingerprint(q.dealt_anew(df)).first() == q.fingerprint(df).first()
