@@ -122,6 +122,27 @@ def test_hierarchy_with_cycle_and_orphan(spark):
     assert all((far[f"n{i}"]["depth"], far[f"n{i}"]["root"], far[f"n{i}"]["cycle"]) == (i, "n0", False) for i in range(30))
 
 
+def test_hierarchy_joins_only_nodes_that_have_not_arrived(spark, monkeypatch):
+    written = []
+    keep = fm.checkpointed
+
+    def noted(df, purpose):
+        out = keep(df, purpose)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(fm, "checkpointed", noted)
+    rows = [("n0", None)] + [(f"n{i}", f"n{i - 1}") for i in range(1, 20)] + [(f"l{i}", f"n{i % 20}") for i in range(500)] + [(f"u{i}", "gone") for i in range(50)]
+    rows += [("twice", "n3"), ("twice", "n4"), ("twice", "gone"), (None, "n1"), ("r", "r"), ("under", "r")]
+    got = [tuple(r) for r in fm.hierarchy(spark.createDataFrame(rows, "id string, p string"), "id", "p").collect()]
+    path = lambda n: "/".join(f"n{i}" for i in range(n + 1))
+    want = [(f"n{i}", "n0", i, path(i), False) for i in range(20)] + [(f"l{i}", "n0", i % 20 + 1, f"{path(i % 20)}/l{i}", False) for i in range(500)]
+    want += [(f"u{i}", f"u{i}", 0, f"u{i}", False) for i in range(50)] + [(None,) * 5, ("r", None, None, None, True), ("under", None, None, None, True)]
+    want += [("twice", "n0", n + 1, f"{path(n)}/twice", False) for n in (3, 4)] * 3  # three rows of the key, two parents that exist
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert written[0] == len(rows) and max(written[1:]) == 21  # the rest are no one's parents
+
+
 def test_fk_names_collide():
     assert fm.fk_names([("A", ["id"]), ("A", ["id"])], ["A_id"]) == [{"id": "_A_id"}, {"id": "__A_id"}]
 

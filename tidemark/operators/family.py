@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import ordered
-from tidemark.session import checkpointed, discard
+from tidemark.session import checkpointed
 
 
 
@@ -135,38 +135,79 @@ def flatten_expand(df: DataFrame, levels: list[tuple[str, list[str]]]) -> DataFr
 def hierarchy(df: DataFrame, key: str, parent: str) -> DataFrame:
     """(key, root, depth, path, cycle) of every node; a root has a null or unknown parent.
 
-    Pointer doubling: after k rounds a node knows 2^k ancestors, so depth 1000 takes ten
-    joins. The state is written to the shared folder after each round, which keeps the plan
-    flat; the round before is deleted. A node that meets an ancestor twice is marked ``cycle``.
+    Only nodes that have children are ancestors of others, so these alone are followed upwards, by pointer doubling; the
+    others, mostly nearly all, take their parent's path in one join. The nodes are written once. A node that meets an ancestor
+    twice is marked ``cycle``. A key that occurs k times with m known parents stands for k * m nodes.
     """
     nodes = df.select(F.col(key).alias("id"), F.col(parent).alias("up"))
-    known = nodes.select(F.col("id").alias("up"))
+    wanted = nodes.filter(F.col("up").isNotNull()).select(F.col("up").alias("id")).distinct().withColumn("inner", F.lit(True))
+    keyed = nodes.filter(F.col("id").isNotNull()).join(wanted, "id", "left").select("id", "up", F.col("inner").isNotNull().alias("inner"))
+    keyed = keyed.withColumn("times", F.count(F.lit(1)).over(Window.partitionBy("id")))
+    # a null key has no parent and is no one's parent
+    unkeyed = nodes.filter(F.col("id").isNull()).select("id", F.lit(None).cast("string").alias("up"), F.lit(False).alias("inner"), F.lit(1).cast("bigint").alias("times"))
+    nodes = checkpointed(keyed.unionByName(unkeyed), "hierarchy")
+
+    above = _named_ancestors(_ancestors(nodes.filter("inner").select("id", "up")))
+    leaves = nodes.filter("not inner")
+    once, often = leaves.filter("times = 1"), leaves.filter("times > 1")
+    known = nodes.filter("inner").select(F.col("id").alias("up")).distinct()
+    linked = often.join(known, "up", "left_semi").select("id", "up")
+    placed = once.select("id", "up").unionByName(often.select("id").join(linked, "id", "left"))
+    up = above.select(F.col("id").alias("up"), *[F.col(c).alias(f"up_{c}") for c in ("root", "depth", "path", "cycle")])
+    under = placed.filter(F.col("up").isNotNull()).join(up, "up", "left")
+    found = F.col("up_cycle").isNotNull()
+    under = under.select(
+        "id",
+        F.when(found, F.col("up_root")).otherwise(F.col("id")).alias("root"),
+        F.when(found, F.col("up_depth") + 1).otherwise(F.lit(0)).alias("depth"),
+        F.when(found, F.concat("up_path", F.lit("/"), "id")).otherwise(F.col("id")).alias("path"),
+        F.coalesce("up_cycle", F.lit(False)).alias("cycle"),
+    )
+    alone = placed.filter(F.col("up").isNull()).select(
+        "id", F.col("id").alias("root"), F.when(F.col("id").isNotNull(), 0).alias("depth"), F.col("id").alias("path"),
+        F.when(F.col("id").isNotNull(), F.lit(False)).alias("cycle"),
+    )
+    out = above.unionByName(under).unionByName(alone)
+    return out.select(F.col("id").alias(key), "root", "depth", "path", "cycle")
+
+
+_TWICE = "array_contains(above, id) or size(array_distinct(above)) < size(above)"
+
+
+def _ancestors(nodes: DataFrame) -> DataFrame:
+    """(id, above: the ancestors' ids, nearest first) of nodes (id, up), by pointer doubling.
+
+    After k rounds a node knows 2^k ancestors, so depth 1000 takes ten joins. A round joins and writes only the nodes that
+    have not arrived; those that have stay in the round's table. A way round a cycle ends where an id comes twice.
+    """
+    known = nodes.select(F.col("id").alias("up")).distinct()
     # parents that do not exist count as none
-    linked = nodes.join(known.distinct(), "up", "left_semi").select("id", F.col("up").alias("top"))
+    linked = nodes.join(known, "up", "left_semi").select("id", F.col("up").alias("top"))
     state = nodes.select("id").join(linked, "id", "left").select(
         "id", "top", F.when(F.col("top").isNotNull(), F.array("top")).otherwise(F.array().cast("array<string>")).alias("above")
     )
-    twice = F.array_contains("above", F.col("id")) | (F.size(F.array_distinct("above")) < F.size("above"))
-    last = None
+    twice, done = F.expr(_TWICE), None
     while True:
         state = checkpointed(state, "hierarchy")
-        if last is not None:
-            discard(last)
-        last = state
-        if state.filter(F.col("top").isNotNull()).isEmpty():
-            break
-        right = state.select(F.col("id").alias("top"), F.col("top").alias("next"), F.col("above").alias("more"))
-        state = state.join(right, "top", "left").select(
+        arrived, active = state.filter(F.col("top").isNull()), state.filter(F.col("top").isNotNull())
+        done = arrived if done is None else done.unionByName(arrived)
+        if active.isEmpty():
+            return done.select("id", "above")
+        right = done.unionByName(active).select(F.col("id").alias("top"), F.col("top").alias("next"), F.col("above").alias("more"))
+        state = active.join(right, "top", "left").select(
             "id",
             F.when(~twice, F.col("next")).alias("top"),
             F.when(F.col("more").isNotNull() & ~twice, F.concat("above", "more")).otherwise(F.col("above")).alias("above"),
         )
-    cycle = twice
-    depth = F.size("above")
-    return state.select(
-        F.col("id").alias(key),
+
+
+def _named_ancestors(d: DataFrame) -> DataFrame:
+    """(id, root, depth, path, cycle) from (id, above)."""
+    cycle = F.expr(_TWICE)
+    return d.select(
+        "id",
         F.when(~cycle, F.coalesce(F.element_at(F.when(F.size("above") > 0, F.col("above")), -1), F.col("id"))).alias("root"),
-        F.when(~cycle, depth).alias("depth"),
+        F.when(~cycle, F.size("above")).alias("depth"),
         F.when(~cycle, F.array_join(F.concat(F.reverse("above"), F.array("id")), "/")).alias("path"),
         cycle.alias("cycle"),
     )
