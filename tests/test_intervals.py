@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import partition as pt
 from tidemark.operators import timeseries as ts
-from tidemark.operators.intervals import points_in
+from tidemark.operators import intervals, ordered
+from tidemark.operators.intervals import points_in, points_in_many
 
 
 @pytest.mark.parametrize("seed", range(2))
@@ -52,3 +53,38 @@ def test_second_and_year_frames_in_one_plan(spark):
     samples = spark.createDataFrame([("t", t0 + dt.timedelta(days=d), float(d)) for d in range(0, 400, 5)], "tag string, ts timestamp_ntz, value double")
     got = {r.frame_id: r.n for r in ts.frame_samples(frames, samples, t0 + dt.timedelta(days=20)).groupBy("frame_id").agg(F.count("*").alias("n")).collect()}
     assert got == {1: 1, 2: 74, 3: 2}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_many_points_in_intervals(spark, seed, monkeypatch):
+    rng = random.Random(seed)
+    low, top = -(1 << 63), (1 << 63) - 1
+    monkeypatch.setattr(intervals, "RUN", 8)
+    monkeypatch.setattr(ordered, "default_parts", lambda df: 7)  # groups are hot
+    points = [(i, rng.choice("ab"), rng.choice([rng.randint(-50, 50), 7, 7, low, top])) for i in range(300)] + [(900, "a", None), (901, None, 7)]
+    spans = [(j, rng.choice("abc"), rng.choice([None, 7, 8, low, rng.randint(-60, 60)]), rng.choice([None, 7, 8, top, rng.randint(-60, 60)])) for j in range(150)]
+    spans += [(500 + j, "a", -20, 40) for j in range(100)] + [(600, None, 0, 9), (601, "a", 0, 40), (601, "a", 0, 40)]
+    p = spark.createDataFrame(points, "i int, g string, x bigint").repartition(3)
+    s = spark.createDataFrame(spans, "j int, g string, a bigint, b bigint")
+    args = (F.col("x"), F.col("a"), F.col("b"), ["g"])
+    out = points_in_many(p, s, *args)
+    want = [(i, j) for i, g, x in points for j, h, a, b in spans if x is not None and g is not None and g == h and (a is None or x >= a) and (b is None or x < b) and not (a is not None and b is not None and b <= a)]
+    assert sorted((r.i, r.j) for r in out.collect()) == sorted(want) and out.columns == points_in(p, s, *args).columns == ["g", "i", "x", "j", "a", "b"]
+    assert points_in_many(p, s.limit(0), *args).count() == points_in_many(p.limit(0), s, *args).count() == 0
+
+
+def test_pairs_of_overlapping_frames_are_spread(spark, monkeypatch):
+    """Frames that are open to the end met all their samples in one task."""
+    monkeypatch.setattr(intervals, "RUN", 64)
+    t0 = dt.datetime(2024, 1, 1)
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("id")).cast("timestamp_ntz")
+    samples = spark.range(4096).select(F.lit("t").alias("tag"), at.alias("ts"), F.lit(1.0).alias("value"))
+    frames = spark.range(400).select(F.col("id").alias("frame_id"), F.lit("t").alias("tag"), at.alias("start_time"), F.lit(None).cast("timestamp_ntz").alias("end_time"))
+    least = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(least, "false")
+    try:
+        per = ts.frame_samples(frames, samples, t0 + dt.timedelta(seconds=4000)).groupBy(F.spark_partition_id()).agg(F.count("frame_id").alias("n")).collect()
+    finally:
+        spark.conf.unset(least)
+    total = sum(r.n for r in per)
+    assert total == sum(4000 - i for i in range(400)) and max(r.n for r in per) < total / 2
