@@ -152,3 +152,14 @@ def test_odd_rows(odd, none):
     assert lm.score(none).collect() == []
     held = odd.filter("doc_id = 2")  # crc32 of "2" modulo 5 decides; without training rows all is unknown
     assert all(r.train_tokens in (0, 2 * 9) for r in lm.score(held).collect())
+
+
+def test_keys_are_numbered_as_by_unique():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 50_000):
+        high, low = rng.integers(0, 300, n).astype(np.int32), rng.integers(0, 1 << 32, n, dtype=np.uint64) % np.uint64(200) + np.uint64((1 << 32) - 200)
+        keys = lm.joined(high, low.astype(np.uint32))
+        assert (keys == high.astype(np.uint64) << np.uint64(32) | low).all()
+        distinct, number = lm.numbered(keys)
+        want, inverse = np.unique(keys, return_inverse=True)
+        assert (distinct == want).all() and (number == inverse).all() and number.dtype == np.int32
