@@ -80,11 +80,13 @@ def test_pairs_of_overlapping_frames_are_spread(spark, monkeypatch):
     at = F.timestamp_seconds(F.lit(1704067200) + F.col("id")).cast("timestamp_ntz")
     samples = spark.range(4096).select(F.lit("t").alias("tag"), at.alias("ts"), F.lit(1.0).alias("value"))
     frames = spark.range(400).select(F.col("id").alias("frame_id"), F.lit("t").alias("tag"), at.alias("start_time"), F.lit(None).cast("timestamp_ntz").alias("end_time"))
-    least = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(least, "false")
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         per = ts.frame_samples(frames, samples, t0 + dt.timedelta(seconds=4000)).groupBy(F.spark_partition_id()).agg(F.count("frame_id").alias("n")).collect()
     finally:
-        spark.conf.unset(least)
+        for k in settings:
+            spark.conf.unset(k)
     total = sum(r.n for r in per)
     assert total == sum(4000 - i for i in range(400)) and max(r.n for r in per) < total / 2
