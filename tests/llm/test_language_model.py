@@ -163,3 +163,57 @@ def test_keys_are_numbered_as_by_unique():
         distinct, number = lm.numbered(keys)
         want, inverse = np.unique(keys, return_inverse=True)
         assert (distinct == want).all() and (number == inverse).all() and number.dtype == np.int32
+
+
+@pytest.mark.parametrize("contexts", [1 << 20, 4])
+def test_rarer_contexts_have_restaurants_of_their_own(spark, monkeypatch, contexts):
+    """Known to every task or not, each word is a context, with its own customers, and its probabilities add up to one."""
+    monkeypatch.setattr(lm, "CONTEXTS", contexts)
+    monkeypatch.setattr(lm, "CLASSES", 2, raising=False)  # of the pooled restaurants there once were
+    rows = [(i, f"a b c{i % 7} a d{i % 9} b a") for i in range(40)]
+    words = sorted({w for _, t in rows for w in t.split()})
+    asked = ["c3", "d5", "unknown"]
+    held = (i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 5 == 1)
+    rows += [(next(held), " ".join(f"{u} {w}" for w in [*words, "unknown"]) + f" {u}") for u in asked]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = collections.Counter()
+    for d, t in rows:
+        if zlib.crc32(str(d).encode()) % 5 != 1:
+            want.update(zip(tokens(t), [lm.END, *tokens(t)]))
+    table, totals = lm.fit(docs, 16)
+    own = pieces(table, totals)
+    names = {lm.xxhash.xxh64_intdigest(w): w for pair in want for w in pair}
+    by_context = {int(totals.contexts(np.array([h], np.uint64))[0]): w for h, w in names.items()}
+    assert len(by_context) == totals.vocabulary
+    got = {}
+    for p in own.values():
+        for w, x, n in zip(p.word, lm.unlisted(p.classes, p.listed), p.counts):
+            got[names[int(p.words[w])], by_context[int(x)]] = int(n)
+    assert got == want
+    customers = collections.Counter()
+    for (_, x), n in want.items():
+        customers[x] += n
+    hashes = np.array([lm.xxhash.xxh64_intdigest(w) for w in [*map(str.encode, [*words, "unknown"]), lm.END]], np.uint64)
+    for u in asked:
+        x = totals.contexts(np.full(len(hashes), lm.xxhash.xxh64_intdigest(u.encode()), np.uint64))
+        assert (x[0] >= lm.RARE) == (contexts == 4 or u == "unknown")
+        part, total = totals.route(hashes, x, 16 * lm.PIECES), 0
+        for i in np.unique(part):
+            p = own.get(i) or lm.Piece(totals, int(i), hashes[:0], np.empty(0, np.uint32), np.empty(0, np.int64))
+            number = p.number(x[part == i])
+            assert p.known(0, number)[0] == customers[u.encode()]
+            total += float((10 ** p.logs(hashes[part == i], number, p.averaged())[0]).sum())
+        assert math.isclose(total, 1.0, rel_tol=1e-9)
+
+
+def test_scores_do_not_depend_on_what_every_task_knows(spark, monkeypatch):
+    """Texts whose cells have one customer each but for one cell, so that the order of cells in a piece draws the same numbers."""
+    monkeypatch.setattr(lm, "HEAD", 1)
+    monkeypatch.setattr(lm, "PAIRS", 1)
+    docs = spark.createDataFrame([(i, f"x{i} z{i} y") for i in range(30)] + [(i, f"z{i - 30} x{i - 29} q{i} y w") for i in range(30, 50)], "doc_id long, text string")
+    first = {r.doc_id: r.score for r in lm.score(docs).collect()}
+    monkeypatch.setattr(lm, "CONTEXTS", 1)
+    monkeypatch.setattr(lm, "CLASSES", 2, raising=False)
+    second = {r.doc_id: r.score for r in lm.score(docs).collect()}
+    assert len(first) == 50 and first.keys() == second.keys()
+    assert all(math.isclose(first[d], second[d], rel_tol=1e-9) for d in first)
