@@ -217,3 +217,46 @@ def test_scores_do_not_depend_on_what_every_task_knows(spark, monkeypatch):
     second = {r.doc_id: r.score for r in lm.score(docs).collect()}
     assert len(first) == 50 and first.keys() == second.keys()
     assert all(math.isclose(first[d], second[d], rel_tol=1e-9) for d in first)
+
+
+def test_words_are_packed_by_their_numbers_where_they_are_known():
+    rng = np.random.default_rng(6)
+    known = np.unique(rng.integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2))
+    others = np.unique(rng.integers(0, 1 << 63, 50, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+    words = np.repeat(np.sort(np.concatenate([known[::2], others])), rng.integers(1, 9, len(known[::2]) + len(others)))
+    for some in (words, np.append(words, words), words[::-1], words[:0], others, known):
+        for own in (known, known[:0]):
+            assert (lm.unpack_words(lm.pack_words(some, own), own) == some).all()
+    assert len(lm.pack_words(words, known)) < 0.7 * len(lm.squeezed(lm.pack(words)))
+    assert lm.frames(lm.squeezed(b"") + lm.squeezed(b"ab")) == [b"", b"ab"] and lm.frames(b"") == []
+
+
+def test_the_most_frequent_words_are_known_to_every_task(spark, monkeypatch):
+    monkeypatch.setattr(lm, "CONTEXTS", 30)
+    rows = [(" ".join(f"a w{i % 25} once{i}" for _ in range(3)),) for i in range(50)]
+    totals = lm.words_of(spark.createDataFrame(rows, "text string"))
+    counts = collections.Counter(w for (t,) in rows for w in tokens(t))
+    want = {lm.xxhash.xxh64_intdigest(w) for w, n in counts.items() if n > 3}
+    assert len(want) == 27 and set(totals.words.tolist()) == want
+    assert (lm.step(np.array([1, 255, 256, 257, 1000, 123_456_789])) == [1, 255, 256, 256, 1000, 123_207_680]).all()
+
+
+def test_gathered_words_are_those_of_split():
+    texts = [None, "", " \n\t ", " A b\x0bc\x0cB ", "\u00c4\u00a0x\u2003 y\x1cz\x85 \U0001f600", "one", "a  a a"]
+    g = lm.Gathered()
+    for t in texts:
+        g.add(t)
+    hashes, at, before, lengths = g.drain()
+    want = [[lm.xxhash.xxh64_intdigest(w) for w in tokens(t)] for t in texts]
+    assert hashes[at].tolist() == sum(want, []) and lengths.tolist() == list(map(len, want))
+    assert hashes[before].tolist() == sum(([lm.xxhash.xxh64_intdigest(lm.END), *w[:-1]] for w in want), [])
+    assert (np.diff(hashes.astype(object)) > 0).all() and not g.texts
+
+
+def test_what_goes_to_the_shards_is_small(spark, scored):
+    """Bytes a token before Spark compresses; more when words went as hashes, pairs uncompressed and documents by keys."""
+    docs, got = scored
+    table, totals = lm.fit(docs, 16)
+    asked = lm.requests(docs, totals, (np.empty(0, np.uint64), np.empty(0), np.empty(0, np.int64)), 16)
+    size = sum(sum(len(x) for x in r if isinstance(x, (bytes, bytearray))) for r in asked.collect())
+    assert size < 9 * sum(r.n_tokens for r in got)
