@@ -90,3 +90,29 @@ def test_pairs_of_overlapping_frames_are_spread(spark, monkeypatch):
             spark.conf.unset(k)
     total = sum(r.n for r in per)
     assert total == sum(4000 - i for i in range(400)) and max(r.n for r in per) < total / 2
+
+
+def test_tiles_of_many_points_in_intervals(spark, monkeypatch):
+    rng = random.Random(5)
+    for name, n in {"RUN": 4, "RUNS": 3, "INTERVALS": 6, "TILES": 1}.items():
+        monkeypatch.setattr(intervals, name, n)
+    points = [(i if i % 7 else None, rng.choice("ab"), rng.choice([rng.randint(-50, 50), 7])) for i in range(200)]
+    spans = [(j if j % 5 else None, rng.choice("abc"), rng.choice([None, 7, rng.randint(-60, 60)]), rng.choice([None, 8, rng.randint(-60, 60)])) for j in range(80)]
+    p = spark.createDataFrame(points * 2, "i int, g string, x bigint")
+    s = spark.createDataFrame(spans * 2, "j int, g string, a bigint, b bigint")
+    args = (F.col("x"), F.col("a"), F.col("b"), ["g"])
+    rows = lambda df: sorted(map(repr, df.collect()))
+    got = rows(points_in_many(p, s, *args))
+    assert got == rows(points_in(p, s, *args)) and len(got) > 4000
+
+
+def test_partitions_of_pairs_see_few_intervals(spark, monkeypatch):
+    """Every partition met all open frames, so what it totals for each grew with their number."""
+    monkeypatch.setattr(intervals, "RUN", 64)
+    monkeypatch.setattr(intervals, "INTERVALS", 50, raising=False)
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("id")).cast("timestamp_ntz")
+    samples = spark.range(4096).select(F.lit("t").alias("tag"), at.alias("ts"), F.lit(1.0).alias("value"))
+    frames = spark.range(400).select(F.col("id").alias("frame_id"), F.lit("t").alias("tag"), at.alias("start_time"), F.lit(None).cast("timestamp_ntz").alias("end_time"))
+    pairs = ts.frame_samples(frames, samples, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=4000))
+    per = pairs.groupBy(F.spark_partition_id()).agg(F.count("frame_id").alias("n"), F.countDistinct("frame_id").alias("frames")).collect()
+    assert sum(r.n for r in per) == sum(4000 - i for i in range(400)) and max(r.frames for r in per) < 200
