@@ -116,3 +116,10 @@ def test_partitions_of_pairs_see_few_intervals(spark, monkeypatch):
     pairs = ts.frame_samples(frames, samples, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=4000))
     per = pairs.groupBy(F.spark_partition_id()).agg(F.count("frame_id").alias("n"), F.countDistinct("frame_id").alias("frames")).collect()
     assert sum(r.n for r in per) == sum(4000 - i for i in range(400)) and max(r.frames for r in per) < 200
+
+
+def test_many_points_in_intervals_of_a_type_that_is_not_written(spark):
+    p = spark.createDataFrame([(1, "a", 5), (2, "a", 9)], "i int, g string, x bigint")
+    s = spark.createDataFrame([(1, "a", 0), (2, "a", 6)], "j int, g string, a bigint").withColumns({"b": F.lit(None), "c": F.expr("make_interval(1)")})
+    out = points_in_many(p, s, F.col("x"), F.col("a"), F.col("b"), ["g"])
+    assert sorted((r.i, r.j) for r in out.select("i", "j").collect()) == [(1, 1), (2, 1), (2, 2)]
